@@ -1,0 +1,45 @@
+"""Size checks and lineage cuts."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+# Inputs up to this many bytes on disk may be handled by one task.
+SMALL_INPUT_BYTES = 512 << 20
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the relations a DataFrame reads, from Catalyst's statistics.
+
+    No job runs. Relations without statistics count as (nearly) infinite.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
+def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
+    return input_bytes(df) <= limit
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads no more than that."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint into the folder the cluster names, so lost executors cost little.
+
+    Only a local session without such a folder gets a temporary one.
+    """
+    spark: SparkSession = df.sparkSession
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local"):
+                return df
+            folder = tempfile.mkdtemp(prefix="wavemill-checkpoint-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip_whitespace
-
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^(?i)[+-]?inf(inity)?$"
 _WHOLE = r"^[+-]?[0-9]+$"
 
@@ -38,12 +36,11 @@ def drop_point_zero(c: Column) -> Column:
 
 
 def cast_variable(c: Column, canonical_name: str, dtype: str, formats: Sequence[str]) -> Column:
-    """One export column as its contract type."""
-    text = strip_whitespace(c)
+    """One stripped export column as its contract type."""
     if dtype == "timestamp":
-        return parse_timestamps(text, formats)
+        return parse_timestamps(c, formats)
     if dtype == "float":
-        return to_double(text)
+        return to_double(c)
     if dtype == "int":
-        return to_integral(text)
-    return drop_point_zero(text) if canonical_name == "form_version" else text
+        return to_integral(c)
+    return drop_point_zero(c) if canonical_name == "form_version" else c

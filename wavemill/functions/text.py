@@ -7,17 +7,20 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space plus the four ASCII separators, as Python's ``\s`` has it.
-_WS = r"[\s\x1c-\x1f]+"
+# Unicode white space, the no-break space included. As character lists these
+# are several times faster than a regular expression on every cell.
+_WS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def strip_whitespace(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U)^{_WS}|{_WS}$", "")
+    # Trimming by a list costs a search per end; most values begin and end with plain ASCII.
+    plain = F.ascii(c).between(33, 126) & F.ascii(F.substring(c, -1, 1)).between(33, 126)
+    return F.when(plain, c).otherwise(F.btrim(c, F.lit(_WS)))
 
 
 def normalize_household_id(c: Column) -> Column:
     """Upper case, no white space anywhere."""
-    return F.upper(F.regexp_replace(c, rf"(?U){_WS}", ""))
+    return F.upper(F.translate(c, _WS, ""))
 
 
 def title_case(c: Column) -> Column:

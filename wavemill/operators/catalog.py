@@ -33,6 +33,16 @@ def column_profile(df: DataFrame, columns: Sequence[str], by: str = "survey_cycl
                     "n_distinct", (F.col("_nulls") == F.col("_rows")).alias("all_null")))
 
 
+def collected_columns(df: DataFrame, columns: Sequence[str], by: str = "survey_cycle") -> DataFrame:
+    """(cycle, variable) of every column that holds any value in the cycle.
+
+    Only counts per column travel, whatever the number of rows or values.
+    """
+    long = df.select(by, *[F.col(quoted(c)).isNotNull().alias(c) for c in columns]).unpivot(
+        by, [F.col(quoted(c)) for c in columns], "variable", "present")
+    return long.groupBy(by, "variable").agg(F.bool_or("present").alias("any")).where("any").drop("any")
+
+
 def _is_system(c: Column) -> Column:
     return c.isin(*config.SYSTEM_COLUMNS)
 

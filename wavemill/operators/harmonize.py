@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import SPARK_TYPES, Cycle
 from ..functions import derive
 from ..functions.casts import cast_variable
-from ..functions.text import normalize_household_id
+from ..functions.text import normalize_household_id, strip_whitespace
 
 LINEAGE = ("_source_row", "_row_hash", "_ingested_at")
 
@@ -39,7 +39,7 @@ def contract_rows(vm: DataFrame, cycle: str) -> list[tuple[str, str, str | None]
 
 def harmonize(bronze: DataFrame, contract: list[tuple[str, str, str | None]],
               cycle: Cycle, lineage: Mapping[str, str] | None = None) -> DataFrame:
-    """One ``select`` that picks, casts and renames; only mapped columns are read.
+    """Pick, strip, cast and rename; only mapped columns are read.
 
     ``lineage`` maps bronze lineage columns to output names.
     """
@@ -50,16 +50,16 @@ def harmonize(bronze: DataFrame, contract: list[tuple[str, str, str | None]],
     if absent:
         raise KeyError(f"{cycle.code}: mapped source columns not found: {absent}")
 
-    columns = []
-    for name, dtype, src in contract:
-        if src:
-            column = cast_variable(F.col(quoted(src)), name, dtype, cycle.formats)
-        else:
-            column = F.lit(None).cast(SPARK_TYPES[dtype])
-        columns.append(column.alias(name))
-    typed = bronze.select(
+    # Stripped first, in a select of its own: the casts look at each value more than once.
+    stripped = bronze.select(
+        *[F.col(quoted(c)).alias(out) for c, out in lineage.items()],
+        *[strip_whitespace(F.col(quoted(src))).alias(name) for name, _, src in contract if src])
+    typed = stripped.select(
         F.lit(cycle.code).alias("survey_cycle"), F.lit(cycle.order).alias("cycle_order"),
-        *[F.col(quoted(c)).alias(out) for c, out in lineage.items()], *columns)
+        *lineage.values(),
+        *[(cast_variable(F.col(name), name, dtype, cycle.formats) if src
+           else F.lit(None).cast(SPARK_TYPES[dtype])).alias(name)
+          for name, dtype, src in contract])
     return typed.withColumns({
         "interview_minutes": derive.minutes_between(F.col("started_at"), F.col("ended_at")),
         "household_id_raw": F.col("household_id"),

@@ -16,7 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import SMALL_INPUT_BYTES, cut_lineage, is_small
+from .sizing import SMALL_INPUT_BYTES, materialize, is_small
+from .skew import join_null_safe
 
 _PARTS = 65_535
 _SALTS = 16
@@ -88,7 +89,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,
         return present.groupBy(*keys).agg(
             F.percentile(F.col(value).cast("double"), 0.5, frequency).alias(out))
     # One struct as key keeps NULL keys equal to themselves in the joins below.
-    counts = cut_lineage(
+    counts = materialize(
         present.groupBy(F.struct(*keys).alias("_g"), F.col(value).cast("double").alias("_v"))
         .agg(n.alias("_n")))
     level = _narrow(counts.withColumn("_cell", _octave_cell(F.col("_v"))), [])
@@ -103,3 +104,19 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,
     final = last.groupBy("_g").agg(((middle[0] + middle[1]) / 2).alias("_answer"))
     done = (answers.where(F.col("_answer").isNotNull()).select("_g", "_answer").unionByName(final))
     return done.select(*[F.col(f"_g.{k}").alias(k) for k in keys], F.col("_answer").alias(out))
+
+
+def aggregate_with_median(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], value: str,
+                          out: str, weight: str | None = None,
+                          small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+    """``groupBy(keys).agg(aggs)`` with the exact median of ``value`` beside it.
+
+    Small input takes one aggregate; large input joins the two results, one
+    row per group each.
+    """
+    if is_small(df, small_bytes):
+        frequency = F.col(weight).cast("bigint") if weight else F.lit(1)
+        median = F.percentile(F.col(value).cast("double"), 0.5, frequency)
+        return df.groupBy(*keys).agg(*aggs, median.alias(out))
+    return join_null_safe(df.groupBy(*keys).agg(*aggs),
+                          exact_median(df, keys, value, out, weight, small_bytes), keys)

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folders: list[tempfile.TemporaryDirectory] = []  # removed when the process ends
+
 # Inputs up to this many bytes on disk may be handled by one task.
 SMALL_INPUT_BYTES = 512 << 20
 
@@ -28,18 +31,51 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the folder the cluster names, so lost executors cost little.
+def spread(df: DataFrame, key: str, worth_bytes: int = 1 << 20) -> DataFrame:
+    """Use all cores on an input that is stored in fewer pieces than there are cores.
+
+    A table of ordinary size has many more pieces than cores and passes
+    through without a shuffle.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if input_bytes(df) < worth_bytes:
+        return df
+    pieces = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores, key) if pieces < cores else df
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder the cluster names for checkpoints; a local session without one gets its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        return None
+    if not _local_folders:
+        _local_folders.append(tempfile.TemporaryDirectory(prefix="wavemill-"))
+    return _local_folders[0].name
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a relation that several consumers read, and read it back.
+
+    What a lost executor takes with it is then read again, not recomputed, and
+    every consumer reads only its own columns. Without a shared folder the
+    relation is handed back as it is.
+    """
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder}/wavemill/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def compact(df: DataFrame, max_rows: int) -> DataFrame:
+    """A metadata relation of at most ``max_rows`` rows as literal rows; a larger one unchanged.
 
-    Only a local session without such a folder gets a temporary one.
+    Reads no more than ``max_rows`` + 1 rows.
     """
-    spark: SparkSession = df.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                return df
-            folder = tempfile.mkdtemp(prefix="wavemill-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    rows = df.limit(max_rows + 1).toArrow()
+    return df if rows.num_rows > max_rows else df.sparkSession.createDataFrame(rows, df.schema)

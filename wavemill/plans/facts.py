@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import derive
-from ..operators.decode import choice_conformed, decode, decode_table
+from ..operators.decode import MAX_BROADCAST_CHOICES, choice_conformed, decode, decode_table
+from ..operators.sizing import compact
 
 
 def conformed_lists(choices: DataFrame, label_map: DataFrame, cycles: DataFrame) -> DataFrame:
     """The decode table for all coded fields, the district code included."""
     fields = [f for f, *_ in config.DECODED_FIELDS] + [config.DISTRICT_FIELD]
-    return decode_table(choice_conformed(choices, label_map), cycles, fields)
+    table = decode_table(choice_conformed(choices, label_map), cycles, fields)
+    return compact(table, MAX_BROADCAST_CHOICES)
 
 
 def fct_survey_submissions(kept: DataFrame, lists: DataFrame,

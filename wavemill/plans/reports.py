@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from ..functions import derive
 from ..functions.text import title_case
 from ..operators.dedupe import REJECTED, SUPERSEDED
-from ..operators.median import exact_median
-from ..operators.skew import join_null_safe
+from ..operators.median import aggregate_with_median
+from ..operators.sizing import SMALL_INPUT_BYTES
 
 CYCLE_KEYS = ("survey_cycle", "cycle_order")
 
@@ -43,7 +43,7 @@ def rpt_field_operations(submissions: DataFrame) -> DataFrame:
 
 
 def rpt_field_operations_cycle(operations: DataFrame, kept: DataFrame, submissions: DataFrame,
-                               availability: DataFrame, small_bytes: int | None = None) -> DataFrame:
+                               availability: DataFrame, small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
     """Headline rates per cycle.
 
     ``availability``: survey_cycle, canonical_name, available. Where GPS was
@@ -55,11 +55,11 @@ def rpt_field_operations_cycle(operations: DataFrame, kept: DataFrame, submissio
         *[F.sum(s).alias(s) for s in sums],
         derive.ratio(F.sum("interview_minutes_sum"), F.sum("interview_minutes_n"))
         .alias("avg_interview_minutes"))
-    households = kept.groupBy("survey_cycle").agg(
-        F.count("*").alias("households"),
-        F.count_if(F.col("household_submissions") > 1).alias("households_with_duplicates"))
-    options = {} if small_bytes is None else {"small_bytes": small_bytes}
-    median = exact_median(kept, ["survey_cycle"], "interview_duration_sec", "median_sec", **options)
+    households = aggregate_with_median(
+        kept, ["survey_cycle"],
+        [F.count("*").alias("households"),
+         F.count_if(F.col("household_submissions") > 1).alias("households_with_duplicates")],
+        "interview_duration_sec", "median_sec", small_bytes=small_bytes)
     collected = (availability.where(F.col("canonical_name") == "gps_lat")
                  .groupBy("survey_cycle").agg(F.bool_or("available").alias("collected")))
     gps = (submissions.groupBy("survey_cycle")
@@ -69,7 +69,6 @@ def rpt_field_operations_cycle(operations: DataFrame, kept: DataFrame, submissio
                                     .alias("missing_gps_rate")))
     raw = F.col("submissions_raw")
     return (ops.join(households, "survey_cycle").join(gps, "survey_cycle")
-            .join(median, "survey_cycle", "left")
             .select(*CYCLE_KEYS, *sums[:4],
                     (1 - F.col("submissions_deduplicated") / raw).alias("dedup_reduction_rate"),
                     "households_with_duplicates",
@@ -86,7 +85,7 @@ def _share(hits: str, answers: str):
 
 
 def rpt_program_summary(fact: DataFrame, geography: DataFrame, time: DataFrame,
-                        small_bytes: int | None = None) -> DataFrame:
+                        small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
     """cycle x region x district x month of deduplicated households.
 
     Households without a place or a calendar day match no dimension row and
@@ -107,20 +106,17 @@ def rpt_program_summary(fact: DataFrame, geography: DataFrame, time: DataFrame,
     places = geography.select("geo_key", "region_name", "district")
     located = by_place.join(places, "geo_key")
     keys = [*CYCLE_KEYS, "region_name", "district", "year_month"]
-    options = {} if small_bytes is None else {"small_bytes": small_bytes}
-    median = exact_median(located, keys, "hhip", "median_hhip_usd_day", weight="agreed", **options)
-    counts = (located.groupBy(*keys)
-              .agg(F.sum("n").alias("households_attempted"),
-                   F.sum("done").alias("households_completed"),
-                   F.sum("agreed").alias("households_consented"),
-                   _share("met", "answered").alias("share_meeting_target")))
-    return (join_null_safe(counts, median, keys)
-            .select(*keys, "households_attempted", "households_completed",
-                    "households_consented",
-                    (c("households_completed") / c("households_attempted")).alias("completion_rate"),
-                    derive.ratio(c("households_consented"), c("households_completed"))
-                    .alias("consent_rate"),
-                    "median_hhip_usd_day", "share_meeting_target"))
+    totals = aggregate_with_median(
+        located, keys,
+        [F.sum("n").alias("households_attempted"), F.sum("done").alias("households_completed"),
+         F.sum("agreed").alias("households_consented"),
+         _share("met", "answered").alias("share_meeting_target")],
+        "hhip", "median_hhip_usd_day", "agreed", small_bytes)
+    return totals.select(
+        *keys, "households_attempted", "households_completed", "households_consented",
+        (c("households_completed") / c("households_attempted")).alias("completion_rate"),
+        derive.ratio(c("households_consented"), c("households_completed")).alias("consent_rate"),
+        "median_hhip_usd_day", "share_meeting_target")
 
 
 def rpt_program_cycle(summary: DataFrame) -> DataFrame:
@@ -158,7 +154,7 @@ def rpt_cohort_coverage(households: DataFrame) -> DataFrame:
 
 
 def rpt_panel_poverty(fact: DataFrame, households: DataFrame, geography: DataFrame,
-                      small_bytes: int | None = None) -> DataFrame:
+                      small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
     """Poverty of the same households in every cycle."""
     c = F.col
     panel = households.where("in_balanced_panel").select("household_id")
@@ -170,11 +166,10 @@ def rpt_panel_poverty(fact: DataFrame, households: DataFrame, geography: DataFra
                      F.count("is_ultra_poor").alias("graded")))
     located = by_place.join(geography.select("geo_key", "district"), "geo_key")
     keys = [*CYCLE_KEYS, "district"]
-    options = {} if small_bytes is None else {"small_bytes": small_bytes}
-    median = exact_median(located, keys, "hhip_usd_day", "median_hhip_usd_day", weight="n", **options)
-    shares = located.groupBy(*keys).agg(F.sum("n").alias("households"),
-                                        _share("met", "answered").alias("share_meeting_target"),
-                                        _share("poor", "graded").alias("share_ultra_poor"))
-    return (join_null_safe(shares, median, keys)
-            .select(*keys, "households", "median_hhip_usd_day",
-                    "share_meeting_target", "share_ultra_poor"))
+    shares = [F.sum("n").alias("households"),
+              _share("met", "answered").alias("share_meeting_target"),
+              _share("poor", "graded").alias("share_ultra_poor")]
+    return (aggregate_with_median(located, keys, shares, "hhip_usd_day", "median_hhip_usd_day",
+                                  "n", small_bytes)
+            .select(*keys, "households", "median_hhip_usd_day", "share_meeting_target",
+                    "share_ultra_poor"))

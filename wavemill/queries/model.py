@@ -12,6 +12,7 @@ from .. import config
 from ..functions import casts, derive, text
 from ..operators import catalog, dedupe, decode, harmonize, labels, profiling
 from ..operators.median import exact_median
+from ..operators.sizing import materialize
 from ..plans import dims, facts, quality, reads, reports
 from ..sources import adapter, forms
 
@@ -46,8 +47,8 @@ FORM_FIELDS = (
 class Survey:
     """Relations of the survey over one folder, built on first use."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, write_silver: bool = False):
+        self.spark, self.folder, self.write_silver = spark, folder, write_silver
 
     def table(self, name: str) -> DataFrame:
         return adapter.table(self.spark, self.folder, name)
@@ -66,7 +67,8 @@ class Survey:
 
     @cached_property
     def kept(self) -> DataFrame:
-        return dedupe.dedupe_latest(self.submissions)
+        kept = dedupe.dedupe_latest(self.submissions)
+        return materialize(kept) if self.write_silver else kept
 
     @cached_property
     def all(self) -> DataFrame:
@@ -118,10 +120,11 @@ class Survey:
 
     @cached_property
     def operations_cycle(self) -> DataFrame:
-        gps = catalog.column_profile(self.exports, ["GPS-Latitude"])
-        availability = gps.select(
-            "survey_cycle", F.lit("gps_lat").alias("canonical_name"),
-            (~F.col("all_null")).alias("available"))
+        gps = catalog.collected_columns(self.exports, ["GPS-Latitude"]).select(
+            "survey_cycle", F.lit(True).alias("available"))
+        availability = (self.cycles.join(F.broadcast(gps), "survey_cycle", "left")
+                        .select("survey_cycle", F.lit("gps_lat").alias("canonical_name"),
+                                F.coalesce("available", F.lit(False)).alias("available")))
         return reports.rpt_field_operations_cycle(self.operations, self.kept, self.all,
                                                   availability)
 
@@ -167,25 +170,28 @@ class Survey:
         return self.submissions.select("survey_cycle", F.col("source_row").alias("_source_row"),
                                        *columns, *extra)
 
+    @property
+    def export_columns(self) -> list[str]:
+        return [c for c in self.exports.columns if c not in ("survey_cycle", "_source_row")]
+
     @cached_property
     def profile(self) -> DataFrame:
-        own = [c for c in self.exports.columns if c not in ("survey_cycle", "_source_row")]
-        return catalog.column_profile(self.exports, own)
+        return catalog.column_profile(self.exports, self.export_columns)
 
     @cached_property
     def collected(self) -> DataFrame:
         """The variables a cycle collected: those with any value."""
-        return self.profile.where(~F.col("all_null"))
+        return catalog.collected_columns(self.exports, self.export_columns)
 
     @cached_property
     def form_fields(self) -> DataFrame:
         rows = [(c, *f) for c in CODES for f in FORM_FIELDS]
-        return self.spark.createDataFrame(
-            rows, "survey_cycle string, field string, section string, label string, n_choices int")
+        return config.literal_frame(
+            self.spark, rows, "survey_cycle string, field string, section string, label string, n_choices int")
 
     @cached_property
     def variables(self) -> DataFrame:
-        return catalog.meta_variable(self.collected, self.form_fields, CODES)
+        return catalog.meta_variable(self.profile.where(~F.col("all_null")), self.form_fields, CODES)
 
     @cached_property
     def resolved(self) -> DataFrame:
@@ -219,8 +225,8 @@ class Survey:
 
     @cached_property
     def part_conform(self) -> DataFrame:
-        confirmed = self.spark.createDataFrame(
-            [("Brand#1", "red widget", "Widget (red)"), ("Brand#2", "SMALL RING", "Ring, small")],
+        confirmed = config.literal_frame(
+            self.spark, [("Brand#1", "red widget", "Widget (red)"), ("Brand#2", "SMALL RING", "Ring, small")],
             "field string, raw_label string, conformed_label string")
         return labels.label_conform(self.part_choices, confirmed)
 
@@ -246,7 +252,7 @@ class Survey:
 
     @cached_property
     def bronze(self) -> DataFrame:
-        own = [c for c in self.exports.columns if c not in ("survey_cycle", "_source_row")]
+        own = self.export_columns
         # Rows of one household are made equal here, so that identical rows occur.
         same = [F.col(harmonize.quoted(c)) for c in ("hhid_2", "hh_size", "pre_village", "Quartile")]
         return self.exports.select(
@@ -423,9 +429,17 @@ QUERIES: dict[str, Callable[[Survey], DataFrame]] = {
 }
 
 
+# Queries that read the kept rows several times over; those are written first, as in the batch run.
+WRITE_SILVER = {
+    "rpt_program_summary", "rpt_program_cycle", "rpt_program_demographics", "rpt_panel_poverty",
+    "program_headline", "demographic_share", "rate_pivot", "panel_size", "dq_results",
+    "dq_counters", "dq_unmatched",
+}
+
+
 def build(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return QUERIES[name](Survey(spark, folder))
+        return QUERIES[name](Survey(spark, folder, name in WRITE_SILVER))
 
     run.__name__ = name
     return run

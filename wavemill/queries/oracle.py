@@ -87,8 +87,7 @@ _CODES = "('baseline'), ('year1'), ('year2')"
 
 def _ctes() -> dict[str, str]:
     c: dict[str, str] = {}
-    c["base"] = (f"SELECT {adapter.ansi_columns()} FROM orders JOIN customer ON o_custkey = c_custkey "
-                 f"JOIN nation ON c_nationkey = n_nationkey")
+    c["base"] = adapter.ansi_select()
     c["subs"] = ("SELECT *, upper(regexp_replace(household_id_raw, '\\s+', '', 'g')) AS household_id, "
                  "upper(regexp_replace(household_confirm_raw, '\\s+', '', 'g')) AS household_id_confirm, "
                  "epoch_us(ended_at - started_at) / 60e6 AS interview_minutes, "
@@ -358,7 +357,8 @@ def _queries() -> dict[str, str]:
                           "WHEN 5 THEN o_orderkey WHEN 7 THEN -o_orderkey * 10 END AS number FROM orders")
     q["normalize_household_id"] = "SELECT source_row, household_id FROM subs"
     off = ("cohort", "gps_lat", "gps_lon", "cluster")
-    names = [f"CASE WHEN survey_cycle <> 'year1' THEN {n} END AS {n}" if n in off else n
+    names = [f"CASE WHEN survey_cycle <> 'year1' THEN {n} END AS {n}" if n in off
+             else "trim(district) AS district" if n == "district" else n
              for n, _, _ in config.VARIABLE_SPEC]
     q["harmonize_contract"] = (f"SELECT survey_cycle, cycle_order, source_row, interview_minutes, {', '.join(names)} FROM "
                                "(SELECT * FROM subs)")

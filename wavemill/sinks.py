@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .config import literal_frame
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -42,12 +45,13 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 
 RUN_SCHEMA = ("run_id string, task string, status string, attempt int, seconds double, "
-              "output string, logged_at timestamp")
+              "output string")
 
 
 def append_runs(spark: SparkSession, rows: list[tuple], path: str) -> None:
     """Run metrics: one row per finished task, never rewritten."""
-    spark.createDataFrame(rows, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    (literal_frame(spark, rows, RUN_SCHEMA).withColumn("logged_at", F.current_timestamp())
+     .coalesce(1).write.mode("append").parquet(path))
 
 
 def append_manifest(df: DataFrame, path: str) -> None:

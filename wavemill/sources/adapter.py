@@ -11,14 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import literal_frame
 from ..functions import derive, text
-
-_CYCLE = ("CASE WHEN year(o_orderdate) <= 1996 THEN '{0}' WHEN year(o_orderdate) <= 1998 THEN '{1}' "
-          "ELSE '{2}' END")
-_BASE_ID = ("CASE c_custkey % 3 WHEN 0 THEN concat('HHD-NAT-M-', c_custkey) "
-            "WHEN 1 THEN concat('HHD-NAT-ABC-K', c_custkey) ELSE concat('HH-', c_custkey) END")
-_HHIP = ("CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 211 = 0 "
-         "THEN o_totalprice / CAST(2500 AS DOUBLE) ELSE o_totalprice / CAST(100000 AS DOUBLE) END")
+from ..operators.sizing import spread
+
+# Used by several columns below.
+HELPERS: dict[str, str] = {
+    "wave": ("CASE WHEN year(o_orderdate) <= 1996 THEN 0 WHEN year(o_orderdate) <= 1998 THEN 1 "
+             "ELSE 2 END"),
+    "base_id": ("CASE c_custkey % 3 WHEN 0 THEN concat('HHD-NAT-M-', c_custkey) "
+                "WHEN 1 THEN concat('HHD-NAT-ABC-K', c_custkey) ELSE concat('HH-', c_custkey) END"),
+    "hhip": ("CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 211 = 0 "
+             "THEN o_totalprice / CAST(2500 AS DOUBLE) ELSE o_totalprice / CAST(100000 AS DOUBLE) END"),
+}
 
 
 def _income(divisor: int, every: int) -> str:
@@ -32,15 +37,15 @@ def _code(expr: str) -> str:
 
 # name -> expression, or (Spark, ANSI) where the wording differs
 COLUMNS: dict[str, str | tuple[str, str]] = {
-    "survey_cycle": _CYCLE.format("baseline", "year1", "year2"),
-    "cycle_order": "CAST(" + _CYCLE.format("0", "1", "2") + " AS INT)",
+    "survey_cycle": "CASE wave WHEN 0 THEN 'baseline' WHEN 1 THEN 'year1' ELSE 'year2' END",
+    "cycle_order": "CAST(wave AS INT)",
     "source_row": "o_orderkey",
     "submission_key": ("CASE WHEN o_orderkey % 997 = 0 THEN NULL WHEN o_orderkey % 499 = 0 "
                        "THEN concat('K', o_orderkey + 1) ELSE concat('K', o_orderkey) END"),
-    "household_id_raw": (f"CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_orderkey % 7 = 0 "
-                         f"THEN concat(lower({_BASE_ID}), ' ') ELSE {_BASE_ID} END"),
-    "household_confirm_raw": (f"CASE WHEN o_orderkey % 61 = 0 THEN NULL WHEN o_orderkey % 67 = 0 "
-                              f"THEN 'X' ELSE {_BASE_ID} END"),
+    "household_id_raw": ("CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_orderkey % 7 = 0 "
+                         "THEN concat(lower(base_id), ' ') ELSE base_id END"),
+    "household_confirm_raw": ("CASE WHEN o_orderkey % 61 = 0 THEN NULL WHEN o_orderkey % 67 = 0 "
+                              "THEN 'X' ELSE base_id END"),
     "submitted_at": "o_orderdate",
     "started_at": (
         "o_orderdate - make_dt_interval(0, 0, CAST(o_orderkey % 600 AS INT), 0) "
@@ -63,10 +68,9 @@ COLUMNS: dict[str, str | tuple[str, str]] = {
     "subcounty": "CASE WHEN o_orderkey % 83 = 0 THEN NULL ELSE concat('S', c_custkey % 5) END",
     "parish": ("CASE WHEN o_orderkey % 23 = 0 THEN upper(concat('Parish ', c_custkey % 9)) "
                "ELSE concat('Parish ', c_custkey % 9) END"),
-    "cluster": ("CASE WHEN year(o_orderdate) <= 1996 THEN NULL "
-                "ELSE concat('cluster-', c_custkey % 6) END"),
+    "cluster": "CASE WHEN wave = 0 THEN NULL ELSE concat('cluster-', c_custkey % 6) END",
     "village": "CASE WHEN o_orderkey % 73 = 0 THEN NULL ELSE c_mktsegment END",
-    "cohort": ("CASE WHEN year(o_orderdate) <= 1998 OR o_orderkey % 3 = 0 THEN NULL "
+    "cohort": ("CASE WHEN wave < 2 OR o_orderkey % 3 = 0 THEN NULL "
                "ELSE concat('202', c_custkey % 3) END"),
     "wealth_quartile": "CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE concat('Q', 1 + c_custkey % 4) END",
     "respondent": _code("CASE WHEN o_orderkey % 43 = 0 THEN NULL ELSE 1 + o_orderkey % 3 END"),
@@ -77,11 +81,10 @@ COLUMNS: dict[str, str | tuple[str, str]] = {
     "head_education": _code("o_orderkey % 6"),
     "head_literate": _code("o_orderkey % 2"),
     "ppi_score": "CAST(o_orderkey % 100 AS DOUBLE)",
-    "hhip_usd_day": _HHIP,
-    "hhip_usd_ppp_day": f"({_HHIP}) * CAST(3 AS DOUBLE)",
-    "hhip_usd_year": (f"CASE WHEN o_orderkey % 103 = 0 THEN NULL WHEN o_orderkey % 53 = 0 "
-                      f"THEN ({_HHIP}) * CAST(400 AS DOUBLE) "
-                      f"ELSE ({_HHIP}) * CAST(365 AS DOUBLE) END"),
+    "hhip_usd_day": "hhip",
+    "hhip_usd_ppp_day": "hhip * CAST(3 AS DOUBLE)",
+    "hhip_usd_year": ("CASE WHEN o_orderkey % 103 = 0 THEN NULL WHEN o_orderkey % 53 = 0 "
+                      "THEN hhip * CAST(400 AS DOUBLE) ELSE hhip * CAST(365 AS DOUBLE) END"),
     "hh_income_usd_year": _income(500, 107),
     "consumption_residues_usd_year": _income(900, 109),
     "inc_seasonal_crops_usd": _income(2000, 6),
@@ -92,10 +95,10 @@ COLUMNS: dict[str, str | tuple[str, str]] = {
     "inc_business_usd": _income(3500, 21),
     "inc_remittances_usd": _income(9000, 26),
     "inc_rent_usd": _income(7000, 33),
-    "inc_vsla_profits_usd": f"CASE WHEN year(o_orderdate) > 1998 THEN {_income(9500, 34)} END",
-    "inc_vegetables_usd": f"CASE WHEN year(o_orderdate) > 1998 THEN {_income(8500, 35)} END",
-    "assets_usd": f"CASE WHEN year(o_orderdate) > 1996 THEN {_income(100, 38)} END",
-    "livestock_asset_usd": f"CASE WHEN year(o_orderdate) > 1996 THEN {_income(300, 39)} END",
+    "inc_vsla_profits_usd": f"CASE WHEN wave = 2 THEN {_income(9500, 34)} END",
+    "inc_vegetables_usd": f"CASE WHEN wave = 2 THEN {_income(8500, 35)} END",
+    "assets_usd": f"CASE WHEN wave > 0 THEN {_income(100, 38)} END",
+    "livestock_asset_usd": f"CASE WHEN wave > 0 THEN {_income(300, 39)} END",
     "savings_ugx": _income(10, 46),
     "loan_amount_ugx": _income(20, 51),
     "owns_land": _code("o_orderkey % 2"),
@@ -108,9 +111,9 @@ COLUMNS: dict[str, str | tuple[str, str]] = {
     "all_members_have_shoes": _code("o_orderkey % 2"),
     "water_litres_day": "CAST(o_orderkey % 10 AS DOUBLE)",
     "satisfied_quality_of_life": _code("1 + o_orderkey % 5"),
-    "gps_lat": ("CASE WHEN year(o_orderdate) > 1996 OR o_orderkey % 29 = 0 THEN NULL "
+    "gps_lat": ("CASE WHEN wave > 0 OR o_orderkey % 29 = 0 THEN NULL "
                 "ELSE CAST(c_custkey % 90 AS DOUBLE) END"),
-    "gps_lon": ("CASE WHEN year(o_orderdate) > 1996 OR o_orderkey % 29 = 0 THEN NULL "
+    "gps_lon": ("CASE WHEN wave > 0 OR o_orderkey % 29 = 0 THEN NULL "
                 "ELSE CAST(c_custkey % 180 AS DOUBLE) END"),
 }
 
@@ -161,9 +164,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def submissions(spark: SparkSession, folder: str) -> DataFrame:
     """Typed submissions with normalised household identifiers, one row per order."""
     nation = table(spark, folder, "nation")
-    rows = (table(spark, folder, "orders")
+    rows = (spread(table(spark, folder, "orders"), "o_orderkey")
             .join(table(spark, folder, "customer"), F.expr("o_custkey = c_custkey"))
             .join(nation, F.expr("c_nationkey = n_nationkey"))
+            .selectExpr("*", *[f"{e} AS {name}" for name, e in HELPERS.items()])
             .selectExpr(*[f"{_spark(e)} AS {name}" for name, e in COLUMNS.items()]))
     return rows.withColumns({
         "household_id": text.normalize_household_id(F.col("household_id_raw")),
@@ -183,16 +187,19 @@ def regions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def choices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(CHOICES), "survey_cycle string, field string, code string, label string")
+    return literal_frame(
+        spark, list(CHOICES), "survey_cycle string, field string, code string, label string")
 
 
 def label_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(LABEL_MAP), "field string, raw_label string, conformed_label string")
+    return literal_frame(
+        spark, list(LABEL_MAP), "field string, raw_label string, conformed_label string")
 
 
-def ansi_columns() -> str:
-    """The same select list for another SQL engine."""
-    return ",\n  ".join(f"{e if isinstance(e, str) else e[1]} AS {name}"
+def ansi_select() -> str:
+    """The same relation without derived columns, for another SQL engine."""
+    helpers = ", ".join(f"{e} AS {name}" for name, e in HELPERS.items())
+    columns = ", ".join(f"{e if isinstance(e, str) else e[1]} AS {name}"
                         for name, e in COLUMNS.items())
+    return (f"SELECT {columns} FROM (SELECT *, {helpers} FROM orders "
+            "JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)")

@@ -121,4 +121,5 @@ def read_bronze(spark: SparkSession, path: str, columns: Sequence[str] | None =
 def headers_frame(spark: SparkSession, headers: dict[str, Sequence[str]]) -> DataFrame:
     """(survey_cycle, header, position) of every export."""
     rows = [(cycle, name, i) for cycle, names in headers.items() for i, name in enumerate(names)]
-    return spark.createDataFrame(rows, "survey_cycle string, header string, position int")
+    return config.literal_frame(
+        spark, rows, "survey_cycle string, header string, position int")

@@ -10,6 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import literal_frame
 from ..sinks import _exists, append_manifest
 
 MANIFEST_SCHEMA = ("survey_cycle string, kind string, file string, path string, sha256 string, "
@@ -54,7 +55,7 @@ def fingerprints(spark: SparkSession, sources: DataFrame) -> DataFrame:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     if not _exists(spark, path):
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
+        return literal_frame(spark, [], MANIFEST_SCHEMA)
     return spark.read.schema(MANIFEST_SCHEMA).json(path)
 
 
@@ -67,8 +68,8 @@ def land(spark: SparkSession, sources: DataFrame, manifest: str) -> DataFrame:
                .withColumns({"status": F.when(F.col("_known"), "unchanged").otherwise("landed"),
                              "seen_at": F.current_timestamp()})
                .select(*[f.split()[0] for f in MANIFEST_SCHEMA.split(", ")]))
-    rows = entries.collect()  # a handful of files per cycle
-    entries = spark.createDataFrame(rows, MANIFEST_SCHEMA)
+    # A handful of files per cycle: fixed here, so that hashing and clock are not asked twice.
+    entries = spark.createDataFrame(entries.toArrow(), entries.schema)
     append_manifest(entries, manifest)
     return entries
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^(?i)[+-]?inf(inity)?$"
-_WHOLE = r"^[+-]?[0-9]+$"
 
 
 def parse_timestamps(c: Column, formats: Sequence[str]) -> Column:
@@ -24,11 +23,14 @@ def to_double(c: Column) -> Column:
     return F.when(c.rlike(_NUMBER), c.try_cast("double"))
 
 
+def whole(d: Column) -> Column:
+    """A double as integer; NULL unless it is one."""
+    return F.when(d == F.rint(d), d.try_cast("bigint"))
+
+
 def to_integral(c: Column) -> Column:
     """``3`` and ``3.0`` are 3; ``3.5`` is NULL."""
-    d = to_double(c)
-    return (F.when(c.rlike(_WHOLE), c.try_cast("bigint"))
-             .when(d == F.rint(d), d.try_cast("bigint")))
+    return whole(to_double(c))
 
 
 def drop_point_zero(c: Column) -> Column:
@@ -36,11 +38,9 @@ def drop_point_zero(c: Column) -> Column:
 
 
 def cast_variable(c: Column, canonical_name: str, dtype: str, formats: Sequence[str]) -> Column:
-    """One stripped export column as its contract type."""
+    """One stripped export column as its contract type; integers still as doubles."""
     if dtype == "timestamp":
         return parse_timestamps(c, formats)
-    if dtype == "float":
+    if dtype in ("float", "int"):
         return to_double(c)
-    if dtype == "int":
-        return to_integral(c)
     return drop_point_zero(c) if canonical_name == "form_version" else c

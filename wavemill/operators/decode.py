@@ -70,8 +70,9 @@ def decode(df: DataFrame, table: DataFrame, wanted: Sequence[tuple[str, str, str
             lookup = (table.where(F.col("field") == field)
                       .select("survey_cycle", F.col("code").alias("_code"),
                               F.col("label").alias(f"_{out}"),
-                              F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
-                              .cast("bigint").alias("_salt")))
+                              F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                   F.lit(_SALTS - 1).cast("bigint")))
+                              .alias("_salt")))
             joined = (joined.withColumns({"_code": F.col(code).cast("string"),
                                           "_salt": _salt(spread)})
                       .join(lookup, ["survey_cycle", "_code", "_salt"], "left")

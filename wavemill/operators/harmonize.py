@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import SPARK_TYPES, Cycle
 from ..functions import derive
-from ..functions.casts import cast_variable
+from ..functions.casts import cast_variable, whole
 from ..functions.text import normalize_household_id, strip_whitespace
 
 LINEAGE = ("_source_row", "_row_hash", "_ingested_at")
@@ -50,15 +50,19 @@ def harmonize(bronze: DataFrame, contract: list[tuple[str, str, str | None]],
     if absent:
         raise KeyError(f"{cycle.code}: mapped source columns not found: {absent}")
 
-    # Stripped first, in a select of its own: the casts look at each value more than once.
+    # One step per select: each looks at the value before it more than once.
     stripped = bronze.select(
         *[F.col(quoted(c)).alias(out) for c, out in lineage.items()],
         *[strip_whitespace(F.col(quoted(src))).alias(name) for name, _, src in contract if src])
-    typed = stripped.select(
+    parsed = stripped.select(
+        *lineage.values(),
+        *[cast_variable(F.col(name), name, dtype, cycle.formats).alias(name)
+          for name, dtype, src in contract if src])
+    typed = parsed.select(
         F.lit(cycle.code).alias("survey_cycle"), F.lit(cycle.order).alias("cycle_order"),
         *lineage.values(),
-        *[(cast_variable(F.col(name), name, dtype, cycle.formats) if src
-           else F.lit(None).cast(SPARK_TYPES[dtype])).alias(name)
+        *[(F.lit(None).cast(SPARK_TYPES[dtype]) if not src
+           else whole(F.col(name)) if dtype == "int" else F.col(name)).alias(name)
           for name, dtype, src in contract])
     return typed.withColumns({
         "interview_minutes": derive.minutes_between(F.col("started_at"), F.col("ended_at")),

@@ -102,11 +102,13 @@ def build_silver(lake: Lake, bronze: dict[str, str], vm: DataFrame) -> tuple[Dat
         contract = harmonize.contract_rows(vm, cycle.code)
         typed.append(harmonize.harmonize(lake.spark.read.parquet(bronze[cycle.code]), contract, cycle))
     rows = lake.write(reduce(DataFrame.unionByName, typed), "silver", "typed")
-    tagged = dedupe.tag_submissions(rows).withColumn("is_kept", F.col("reject_reason").isNull())
-    stored = sinks.write_table(tagged, lake.path("silver", "submission"), ["is_kept"])
-    kept = stored.where("is_kept").drop("is_kept", "reject_reason")
+    # Both halves in one write; as partitions they are read apart without a scan of the other.
+    tagged = dedupe.tag_submissions(rows).withColumn(
+        "kept", F.when(F.col("reject_reason").isNull(), 1).otherwise(0))
+    stored = sinks.write_table(tagged, lake.path("silver", "submission"), ["kept"])
+    kept = stored.where("kept = 1").drop("kept", "reject_reason")
     dedupe.check_kept(kept)
-    return kept, stored.where("NOT is_kept").drop("is_kept")
+    return kept, stored.where("kept = 0").drop("kept")
 
 
 def build_gold(lake: Lake, kept: DataFrame, quarantine: DataFrame, label_map: DataFrame,

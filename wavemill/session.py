@@ -11,6 +11,8 @@ SETTINGS = {
     # HotSpot does not compile methods above 8,000 bytes. Projections of a wide contract exceed
     # that when fused into one method and run 4x faster outside whole-stage code.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Call-site capture on every column expression triples the time to build a wide plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from wavemill import config
 from wavemill.operators import catalog, decode, dedupe, labels, profiling, sizing
 from wavemill.operators.median import aggregate_with_median, exact_median
-from wavemill.plans import dims, quality, reads
+from wavemill.operators.skew import lookup_join
+from wavemill.plans import dims, quality, reads, reports
 
 SUBMISSION = ("survey_cycle string, source_row bigint, household_id string, submission_key string, "
               "submitted_at timestamp_ntz, interview_status bigint, consent bigint")
@@ -234,3 +235,36 @@ def test_sizes_and_materialising(spark, tmp_path):
     again = sizing.materialize(stored)
     assert again.count() == 1000 and again.inputFiles() != stored.inputFiles()
     assert sizing.compact(stored, 10) is stored and sizing.compact(stored, 1000).count() == 1000
+
+
+def test_hot_keys_join_like_any_other(spark):
+    rows = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50)
+                                    .alias("k"))
+    lookup = spark.range(49).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    plain = sorted(map(tuple, rows.join(lookup, "k").collect()))
+    salted = lookup_join(rows, lookup, ["k"], small_bytes=0, hot_rows=100)
+    assert sorted(map(tuple, salted.collect())) == plain and len(plain) < 3000
+
+
+@pytest.mark.parametrize("name", ["summary", "panel", "operations_cycle"])
+def test_reports_are_the_same_on_the_way_for_large_input(spark, name):
+    from wavemill.queries.model import Survey
+
+    s = Survey(spark, "/root/testdata/sf0.001", write_silver=True)
+    big = {"summary": lambda: reports.rpt_program_summary(s.fact, s.geography, s.time, 0),
+           "panel": lambda: reports.rpt_panel_poverty(s.fact, s.households, s.geography, 0),
+           "operations_cycle": lambda: reports.rpt_field_operations_cycle(
+               s.operations, s.kept, s.all,
+               spark.createDataFrame([("baseline", "gps_lat", True), ("year1", "gps_lat", False),
+                                      ("year2", "gps_lat", False)],
+                                     "survey_cycle string, canonical_name string, available boolean"),
+               0)}[name]()
+    small = getattr(s, name)
+    assert sorted(big.columns) == sorted(small.columns)
+    order = sorted(small.columns)
+
+    def values(df):
+        return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+                       for r in df.select(order).collect()), key=repr)
+
+    assert values(big) == values(small)

@@ -256,6 +256,9 @@ def test_gold(built):
     assert reads.panel_size(panel).first()[0] == 3
     drift = [tuple(r) for r in lake.table("gold", "dq_schema_drift").collect()]
     assert {d[:2] for d in drift} == {("baseline", "year1"), ("year1", "year2")}
+    tables = {name: lake.table("gold", name) for name in warehouse.REQUIRED}
+    assert warehouse.missing_tables(tables) == set() and warehouse.missing_tables({}) == set(warehouse.REQUIRED)
+    assert warehouse.row_counts(tables)["fct_survey_submissions"] == 11
     runs = lake.table("gold", "ops_pipeline_runs").collect()
     assert {(r.task, r.status) for r in runs} == {
         (t, "success") for t in ("raw", "bronze", "catalog", "silver", "warehouse", "quality")}

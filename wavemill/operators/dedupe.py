@@ -59,7 +59,10 @@ def household_groups(accepted: DataFrame) -> DataFrame:
     """One row per (cycle, household): its best row and how often it was submitted."""
     return (accepted.groupBy(CYCLE, HOUSEHOLD)
             .agg(F.min(_preference()).alias("best"), F.count("*").alias("household_submissions"))
-            .select(CYCLE, HOUSEHOLD, F.col("best.row").alias("best_row"), "household_submissions"))
+            .select(CYCLE, HOUSEHOLD, F.col("best.row").alias("best_row"), "household_submissions")
+            # Never NULL; naming it keeps the aggregate the same for every consumer, so that one
+            # shuffle serves them all.
+            .where(F.col("best_row").isNotNull()))
 
 
 def dedupe_latest(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_label, match_key
+from .skew import lookup_join
 
 
 def load_choices(forms: DataFrame, cycles: DataFrame) -> DataFrame:
@@ -69,4 +70,4 @@ def label_review(choices: DataFrame, conform: DataFrame, fields: Sequence[str] |
 def distinct_labels_per_code(choices: DataFrame) -> DataFrame:
     """Every choice row with the number of different labels its (field, code) has."""
     counts = choices.groupBy("field", "code").agg(F.count_distinct("label").alias("n_labels"))
-    return choices.join(counts, ["field", "code"])
+    return lookup_join(choices, counts, ["field", "code"])

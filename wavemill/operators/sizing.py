@@ -67,7 +67,8 @@ def materialize(df: DataFrame) -> DataFrame:
     folder = shared_folder(df.sparkSession)
     if folder is None:
         return df
-    path = f"{folder}/wavemill/{uuid.uuid4().hex}"
+    # Below the application's own folder, which can be removed when the application has ended.
+    path = f"{folder}/wavemill/{df.sparkSession.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -15,6 +15,7 @@ from ..functions.text import title_case
 from ..operators.dedupe import REJECTED, SUPERSEDED
 from ..operators.median import aggregate_with_median
 from ..operators.sizing import SMALL_INPUT_BYTES
+from ..operators.skew import lookup_join
 
 CYCLE_KEYS = ("survey_cycle", "cycle_order")
 
@@ -104,7 +105,7 @@ def rpt_program_summary(fact: DataFrame, geography: DataFrame, time: DataFrame,
                      F.count_if(c("is_consented")).alias("agreed"), F.count_if(c("meets")).alias("met"),
                      F.count("meets").alias("answered")))
     places = geography.select("geo_key", "region_name", "district")
-    located = by_place.join(places, "geo_key")
+    located = lookup_join(by_place, places, ["geo_key"], small_bytes)
     keys = [*CYCLE_KEYS, "region_name", "district", "year_month"]
     totals = aggregate_with_median(
         located, keys,
@@ -164,7 +165,8 @@ def rpt_panel_poverty(fact: DataFrame, households: DataFrame, geography: DataFra
                      F.count("meets_target").alias("answered"),
                      F.count_if(c("is_ultra_poor")).alias("poor"),
                      F.count("is_ultra_poor").alias("graded")))
-    located = by_place.join(geography.select("geo_key", "district"), "geo_key")
+    located = lookup_join(by_place, geography.select("geo_key", "district"), ["geo_key"],
+                          small_bytes)
     keys = [*CYCLE_KEYS, "district"]
     shares = [F.sum("n").alias("households"),
               _share("met", "answered").alias("share_meeting_target"),

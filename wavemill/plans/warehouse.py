@@ -168,6 +168,19 @@ def run_quality(lake: Lake, bronze: dict[str, str], kept: DataFrame, quarantine:
     return results
 
 
+REQUIRED = ("fct_survey_submissions", "dim_geography", "dim_time", "dim_survey_cycle",
+            "dim_household", "rpt_field_operations", "rpt_program_summary")
+
+
+def missing_tables(gold: dict[str, DataFrame]) -> set[str]:
+    return set(REQUIRED) - gold.keys()
+
+
+def row_counts(gold: dict[str, DataFrame]) -> dict[str, int]:
+    """Rows per required table; a stored table answers from its file footers."""
+    return {name: gold[name].count() for name in REQUIRED}
+
+
 def build_all(lake: Lake, folder: str, vm: DataFrame, label_map: DataFrame,
               regions: DataFrame, multiline: bool = True) -> DataFrame:
     """Run every stage once; the history of runs is appended whatever happens."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..config import literal_frame
 from ..functions import derive, text
 from ..operators.sizing import spread
+from ..operators.skew import lookup_join
 
 # Used by several columns below.
 HELPERS: dict[str, str] = {
@@ -164,8 +165,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def submissions(spark: SparkSession, folder: str) -> DataFrame:
     """Typed submissions with normalised household identifiers, one row per order."""
     nation = table(spark, folder, "nation")
-    rows = (spread(table(spark, folder, "orders"), "o_orderkey")
-            .join(table(spark, folder, "customer"), F.expr("o_custkey = c_custkey"))
+    orders = spread(table(spark, folder, "orders"), "o_orderkey")
+    customer = table(spark, folder, "customer").withColumn("o_custkey", F.col("c_custkey"))
+    rows = (lookup_join(orders, customer, ["o_custkey"])
             .join(nation, F.expr("c_nationkey = n_nationkey"))
             .selectExpr("*", *[f"{e} AS {name}" for name, e in HELPERS.items()])
             .selectExpr(*[f"{_spark(e)} AS {name}" for name, e in COLUMNS.items()]))

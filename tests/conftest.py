@@ -5,19 +5,15 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from wavemill.session import SETTINGS  # noqa: E402
+from wavemill.session import get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    from pyspark.sql import SparkSession
-
-    builder = SparkSession.builder.master("local[4]").appName("tests")
-    for key, value in SETTINGS.items():
-        builder = builder.config(key, value)
-    session = (builder.config("spark.sql.shuffle.partitions", "4")
-               .config("spark.ui.enabled", "false").config("spark.driver.memory", "4g")
-               .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    session = get_session("tests", **{
+        "spark.master": "local[4]", "spark.sql.shuffle.partitions": "4",
+        "spark.driver.memory": "4g", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

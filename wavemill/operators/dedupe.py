@@ -65,11 +65,15 @@ def household_groups(accepted: DataFrame) -> DataFrame:
             .where(F.col("best_row").isNotNull()))
 
 
+def winners(df: DataFrame) -> DataFrame:
+    """(cycle, source row, household_submissions) of the rows to keep; reads narrow columns only."""
+    return (household_groups(accepted_rows(df))
+            .select(CYCLE, F.col("best_row").alias(ROW), "household_submissions"))
+
+
 def dedupe_latest(df: DataFrame) -> DataFrame:
     """The kept rows: one per household and cycle, with outcome flags and the group size."""
-    winners = (household_groups(accepted_rows(df))
-               .select(CYCLE, F.col("best_row").alias(ROW), "household_submissions"))
-    return with_outcome_flags(df.join(winners, [CYCLE, ROW]))
+    return with_outcome_flags(df.join(winners(df), [CYCLE, ROW]))
 
 
 def tag_submissions(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

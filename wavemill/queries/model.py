@@ -67,7 +67,7 @@ class Survey:
 
     @cached_property
     def kept(self) -> DataFrame:
-        kept = dedupe.dedupe_latest(self.submissions)
+        kept = adapter.kept(self.spark, self.folder)
         return materialize(kept) if self.write_silver else kept
 
     @cached_property
@@ -318,8 +318,9 @@ def _title_case(s: Survey) -> DataFrame:
 
 
 def _dedupe(s: Survey) -> DataFrame:
-    return s.kept.select("survey_cycle", "source_row", "household_id", "submission_key",
-                         "submitted_at", "is_completed", "is_consented", "household_submissions")
+    return dedupe.dedupe_latest(s.submissions).select(
+        "survey_cycle", "source_row", "household_id", "submission_key", "submitted_at",
+        "is_completed", "is_consented", "household_submissions")
 
 
 QUERIES: dict[str, Callable[[Survey], DataFrame]] = {

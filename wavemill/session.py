@@ -11,14 +11,19 @@ SETTINGS = {
     # HotSpot does not compile methods above 8,000 bytes. Projections of a wide contract exceed
     # that when fused into one method and run 4x faster outside whole-stage code.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Call-site capture on every column expression triples the time to build a wide plan.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
 
+# Can only be set when the session is made.
+STATIC_SETTINGS = {
+    # Call-site capture on every column expression triples the time to build a wide plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Set the run-time settings on a session that already exists."""
     for key, value in SETTINGS.items():
@@ -28,6 +33,6 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 def get_session(app: str = "wavemill", **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

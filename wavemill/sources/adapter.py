@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import literal_frame
 from ..functions import derive, text
+from ..operators import dedupe
 from ..operators.sizing import spread
 from ..operators.skew import lookup_join
 
@@ -162,15 +163,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def submissions(spark: SparkSession, folder: str) -> DataFrame:
-    """Typed submissions with normalised household identifiers, one row per order."""
-    nation = table(spark, folder, "nation")
+def joined(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per order with its customer and nation."""
     orders = spread(table(spark, folder, "orders"), "o_orderkey")
     customer = table(spark, folder, "customer").withColumn("o_custkey", F.col("c_custkey"))
-    rows = (lookup_join(orders, customer, ["o_custkey"])
-            .join(nation, F.expr("c_nationkey = n_nationkey"))
-            .selectExpr("*", *[f"{e} AS {name}" for name, e in HELPERS.items()])
-            .selectExpr(*[f"{_spark(e)} AS {name}" for name, e in COLUMNS.items()]))
+    return (lookup_join(orders, customer, ["o_custkey"])
+            .join(table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey")))
+
+
+def project(rows: DataFrame, *more: str) -> DataFrame:
+    """Typed submissions with normalised household identifiers; ``more`` are columns to carry along."""
+    rows = (rows.selectExpr("*", *[f"{e} AS {name}" for name, e in HELPERS.items()])
+            .selectExpr(*[f"{_spark(e)} AS {name}" for name, e in COLUMNS.items()], *more))
     return rows.withColumns({
         "household_id": text.normalize_household_id(F.col("household_id_raw")),
         "household_id_confirm": text.normalize_household_id(F.col("household_confirm_raw")),
@@ -179,6 +183,23 @@ def submissions(spark: SparkSession, folder: str) -> DataFrame:
     })
 
 
+def submissions(spark: SparkSession, folder: str) -> DataFrame:
+    return project(joined(spark, folder))
+
+
+def kept(spark: SparkSession, folder: str) -> DataFrame:
+    """The deduplicated submissions.
+
+    Winners are joined to the stored rows, and the wide contract is derived
+    for them alone: what is shuffled has a dozen columns instead of seventy.
+    """
+    rows = joined(spark, folder)
+    best = dedupe.winners(project(rows)).select(F.col(dedupe.ROW).alias("o_orderkey"),
+                                                "household_submissions")
+    return dedupe.with_outcome_flags(
+        project(rows.join(best, "o_orderkey"), "household_submissions"))
+
+
 def regions(spark: SparkSession, folder: str) -> DataFrame:
     """District to region; the last nation has none."""
     return (table(spark, folder, "nation").where("n_nationkey < 24")

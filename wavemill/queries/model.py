@@ -275,6 +275,11 @@ class Survey:
         return quality.dq_results(self.checks)
 
 
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """Results of floating-point sums and interpolation, to nine decimals."""
+    return df.withColumns({c: F.round(c, 9) for c in columns})
+
+
 def _parse_timestamps(s: Survey) -> DataFrame:
     out = None
     for cycle in config.CYCLES:
@@ -375,20 +380,21 @@ QUERIES: dict[str, Callable[[Survey], DataFrame]] = {
     "fct_survey_submissions": lambda s: s.fact,
     # reports
     "rpt_field_operations": lambda s: s.operations,
-    "rpt_field_operations_cycle": lambda s: s.operations_cycle,
-    "rpt_program_summary": lambda s: s.summary,
+    "rpt_field_operations_cycle": lambda s: _rounded(
+        s.operations_cycle, "avg_interview_minutes", "median_interview_minutes"),
+    "rpt_program_summary": lambda s: _rounded(s.summary, "median_hhip_usd_day"),
     "rpt_program_cycle": lambda s: reports.rpt_program_cycle(s.summary),
     "rpt_program_demographics": lambda s: s.demographics,
     "rpt_cohort_coverage": lambda s: s.coverage,
-    "rpt_panel_poverty": lambda s: s.panel,
-    "duration_median": lambda s: exact_median(
+    "rpt_panel_poverty": lambda s: _rounded(s.panel, "median_hhip_usd_day"),
+    "income_median": lambda s: _rounded(exact_median(
         s.submissions, ["survey_cycle", "interview_status"], "hh_income_usd_year",
-        "median_income", small_bytes=0),
+        "median_income", small_bytes=0), "median_income"),
     # reads of the reports
     "filtered_field_ops": lambda s: reads.filtered(
         s.operations, ["baseline", "year2"], ["Nation_1", "Nation_2", "Nation_20"], True),
     "daily_submissions": lambda s: reads.daily_submissions(s.operations),
-    "ops_headline": lambda s: reads.ops_headline(s.operations),
+    "ops_headline": lambda s: _rounded(reads.ops_headline(s.operations), "avg_interview_minutes"),
     "program_headline": lambda s: reads.program_headline(s.summary),
     "status_share": lambda s: reads.status_share(s.operations),
     "demographic_share": lambda s: reads.demographic_share(s.demographics),

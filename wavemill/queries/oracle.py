@@ -25,22 +25,21 @@ def _values(rows, columns: str) -> str:
 
 
 def _title(expr: str) -> str:
-    return (f"array_to_string(list_transform(string_split(lower(trim({expr})), ' '), "
-            f"lambda w: upper(w[1]) || w[2:]), ' ')")
+    return f"array_to_string([upper(left(w, 1)) || substr(w, 2) FOR w IN str_split(lower(trim({expr})), ' ')], ' ')"
 
 
 def _status(c: str) -> str:
-    return (f"CASE {c} WHEN 1 THEN 'Found' WHEN 2 THEN 'Moved away' WHEN 3 THEN 'Not found' "
-            f"WHEN 4 THEN 'Unavailable' WHEN 5 THEN 'Disability' ELSE 'Missing' END")
+    names = ", ".join(f"'{config.STATUS_LABELS[i]}'" for i in range(1, 6))
+    return f"coalesce(([{names}])[{c}], 'Missing')"
 
 
-_SIZE_BAND = ("CASE WHEN hh_size IS NULL THEN 'Unknown' WHEN hh_size <= 3 THEN '1-3' WHEN hh_size <= 6 "
-              "THEN '4-6' WHEN hh_size <= 9 THEN '7-9' ELSE '10+' END")
-_AGE_BAND = ("CASE WHEN head_age IS NULL OR head_age < 15 OR head_age > 100 THEN 'Unknown' "
-             "WHEN head_age < 25 THEN '15-24' WHEN head_age < 35 THEN '25-34' WHEN head_age < 45 THEN '35-44' "
-             "WHEN head_age < 55 THEN '45-54' WHEN head_age < 65 THEN '55-64' ELSE '65+' END")
-_GEO = "md5(lower(trim(district)) || '|' || lower(trim(village)))"
-_DAY = "CAST(strftime(submitted_at, '%Y%m%d') AS INTEGER)"
+_SIZE_BAND = ("CASE WHEN hh_size > 9 THEN '10+' WHEN hh_size > 6 THEN '7-9' WHEN hh_size > 3 THEN '4-6' "
+              "WHEN hh_size IS NOT NULL THEN '1-3' ELSE 'Unknown' END")
+_DECADE = "10 * ((head_age - 15) // 10)"
+_AGE_BAND = (f"CASE WHEN head_age BETWEEN 65 AND 100 THEN '65+' WHEN head_age BETWEEN 15 AND 64 "
+             f"THEN ({_DECADE} + 15) || '-' || ({_DECADE} + 24) ELSE 'Unknown' END")
+_GEO = "md5(lower(trim(district) || '|' || trim(village)))"
+_DAY = "CAST(replace(left(CAST(submitted_at AS VARCHAR), 10), '-', '') AS INTEGER)"
 _SUBMISSION = ("survey_cycle, cycle_order, submission_key, household_id, submitted_at, interview_status, "
                "consent, interview_duration_sec, district, subcounty, parish, village, gps_lat")
 _SOURCES = {"baseline": "baseline", "year1": "year2", "year2": "year2"}
@@ -110,29 +109,34 @@ def _ctes() -> dict[str, str]:
     c["regions"] = ("SELECT n_name AS district, 'R' || r_regionkey AS region_code, r_name AS region_name, "
                     "'Sub ' || (n_nationkey % 3) AS sub_region FROM nation JOIN region ON n_regionkey = r_regionkey "
                     "WHERE n_nationkey < 24")
+    c["span"] = "SELECT date_trunc('day', min(submitted_at)) AS lo, date_trunc('day', max(submitted_at)) AS hi FROM alls"
     c["calendar"] = (
-        "SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, CAST(year(d) AS INTEGER) AS year, "
-        "CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name, "
-        "strftime(d, '%Y-%m') AS year_month, CAST(weekofyear(d) AS INTEGER) AS iso_week, "
-        "CAST(isodow(d) AS INTEGER) AS day_of_week, dayname(d) AS day_name, isodow(d) >= 6 AS is_weekend "
-        "FROM (SELECT CAST(unnest(generate_series(CAST(CAST(min(submitted_at) AS DATE) AS TIMESTAMP), "
-        "CAST(CAST(max(submitted_at) AS DATE) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM alls)")
+        "SELECT CAST(date_part('year', d) * 10000 + date_part('month', d) * 100 + date_part('day', d) AS INTEGER) "
+        "AS date_key, d AS date, CAST(date_part('year', d) AS INTEGER) AS year, "
+        "CAST(ceil(date_part('month', d) / 3) AS INTEGER) AS quarter, CAST(date_part('month', d) AS INTEGER) AS month, "
+        "strftime(d, '%B') AS month_name, left(CAST(d AS VARCHAR), 7) AS year_month, "
+        "CAST(date_part('week', d) AS INTEGER) AS iso_week, CAST((dayofweek(d) + 6) % 7 + 1 AS INTEGER) AS day_of_week, "
+        "strftime(d, '%A') AS day_name, dayofweek(d) IN (0, 6) AS is_weekend "
+        "FROM (SELECT CAST(unnest(range(lo, hi + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d FROM span)")
     c["places"] = f"SELECT {_GEO} AS geo_key, * FROM kept"
-    c["history"] = ("SELECT DISTINCT geo_key, survey_cycle, district, subcounty, parish, cluster, village FROM places")
-    latest = ", ".join(f"arg_max({_title(n)}, (cycle_order, submitted_at, submission_key)) AS {n}"
-                       for n in ("district", "subcounty", "parish", "cluster", "village"))
-    c["geo0"] = (f"SELECT geo_key, {latest}, count(DISTINCT survey_cycle) AS cycles_seen, "
-                 f"count(DISTINCT lower(parish)) AS parish_spellings_seen FROM places GROUP BY geo_key")
+    c["history"] = "SELECT geo_key, survey_cycle, district, subcounty, parish, cluster, village FROM places GROUP BY ALL"
+    latest = ", ".join(
+        f"last({_title(n)} ORDER BY cycle_order, submitted_at, submission_key) FILTER (WHERE {n} IS NOT NULL) AS {n}"
+        for n in ("district", "subcounty", "parish", "cluster", "village"))
+    c["geo0"] = (f"SELECT geo_key, {latest}, len(list_distinct(list(survey_cycle))) AS cycles_seen, "
+                 f"len(list_distinct(list(lower(parish)))) AS parish_spellings_seen FROM places GROUP BY geo_key")
     c["geography"] = ("SELECT g.geo_key, r.region_code, r.region_name, r.sub_region, g.district, g.subcounty, g.parish, "
                       "g.cluster, g.village, g.cycles_seen, g.parish_spellings_seen FROM geo0 g "
                       "LEFT JOIN regions r ON lower(r.district) = lower(g.district)")
+    c["panels"] = ("SELECT household_id, list(survey_cycle ORDER BY cycle_order) AS seen, min(cycle_order) AS first_seen, "
+                   "first(wealth_quartile ORDER BY cycle_order) FILTER (WHERE wealth_quartile IS NOT NULL) AS quartile, "
+                   "first(head_sex ORDER BY cycle_order) FILTER (WHERE head_sex IS NOT NULL) AS sex, "
+                   "max(cohort) AS cohort, list_distinct(list(district)) AS districts FROM kept GROUP BY household_id")
     c["households"] = (
-        "SELECT household_id, min(cycle_order) AS first_cycle_order, count(DISTINCT survey_cycle) AS n_cycles, "
-        "string_agg(survey_cycle, ' + ' ORDER BY cycle_order) AS cycle_pattern, "
-        "count(DISTINCT survey_cycle) = 3 AS in_balanced_panel, bool_or(survey_cycle = 'baseline') AS has_baseline, "
-        "arg_min(wealth_quartile, cycle_order) AS first_wealth_quartile, coalesce(max(cohort), '2021') AS cohort, "
-        "arg_min(head_sex, cycle_order) AS head_sex_first_seen, count(DISTINCT district) > 1 AS moved_district "
-        "FROM kept GROUP BY household_id")
+        "SELECT household_id, first_seen AS first_cycle_order, CAST(len(seen) AS BIGINT) AS n_cycles, "
+        "array_to_string(seen, ' + ') AS cycle_pattern, len(seen) = 3 AS in_balanced_panel, "
+        "list_contains(seen, 'baseline') AS has_baseline, quartile AS first_wealth_quartile, "
+        "ifnull(cohort, '2021') AS cohort, sex AS head_sex_first_seen, len(districts) > 1 AS moved_district FROM panels")
     c["choices"] = (_values(adapter.CHOICES, "survey_cycle, field, code, label")
                     + " UNION ALL SELECT s, 'district', CAST(n_nationkey + 1 AS VARCHAR), n_name FROM nation, "
                       "(VALUES ('baseline'), ('year2')) AS x(s)")
@@ -144,72 +148,78 @@ def _ctes() -> dict[str, str]:
     c["lists"] = ("SELECT s.survey_cycle, c.field, c.code, c.label FROM conformed c JOIN ("
                   + _values(list(_SOURCES.items()), "survey_cycle, choice_cycle")
                   + ") s ON s.choice_cycle = c.survey_cycle")
-    fact_first = ("household_id, survey_cycle, cycle_order, geo_key, " + f"{_DAY} AS date_key, "
-                  "submission_key, submitted_at, started_at, ended_at, enumerator, form_version, household_submissions, "
-                  f"row_hash, interview_status, {_status('interview_status')} AS interview_status_label, consent, "
-                  "is_completed, is_consented, interview_duration_sec / CAST(60 AS DOUBLE) AS interview_duration_min, "
-                  f"interview_minutes AS wall_clock_minutes, hh_size, {_SIZE_BAND} AS hh_size_band, head_age, "
-                  f"{_AGE_BAND} AS head_age_band, head_sex, respondent, head_education, head_literate, hhip_usd_day, "
-                  "hhip_usd_ppp_day, hhip_usd_year, ppi_score, wealth_quartile, hhip_usd_day < 1.0 AS is_ultra_poor, "
-                  "hhip_usd_day >= 2.0 AS meets_target, hhip_usd_day / nullif(hh_size, 0) AS hhip_usd_day_per_capita, "
-                  "hh_income_usd_year, consumption_residues_usd_year, " + ", ".join(config.INCOME_PARTS)
-                  + ", inc_vsla_profits_usd, inc_vegetables_usd, assets_usd, livestock_asset_usd, savings_ugx, "
-                  "loan_amount_ugx, owns_land, land_owned_acres, roof_material, water_source, toilet_type, cooking_fuel, "
-                  "lighting_source, all_members_have_shoes, water_litres_day, satisfied_quality_of_life, gps_lat, gps_lon")
-    c["fact"] = f"SELECT {fact_first}, {_labels('p')} FROM places p"
-    c["ops"] = (
+    not_in_fact = {"household_id", "household_id_confirm", "district_code", "district", "subcounty", "parish", "cluster",
+                   "village", "cohort", "interview_duration_sec"}
+    carried = ", ".join(n for n, _, _ in config.VARIABLE_SPEC if n not in not_in_fact)
+    c["fact"] = (
+        f"SELECT household_id, survey_cycle, cycle_order, geo_key, {_DAY} AS date_key, household_submissions, row_hash, "
+        f"is_completed, is_consented, {carried}, {_status('interview_status')} AS interview_status_label, "
+        f"interview_minutes AS wall_clock_minutes, interview_duration_sec / CAST(60 AS DOUBLE) AS interview_duration_min, "
+        f"{_SIZE_BAND} AS hh_size_band, {_AGE_BAND} AS head_age_band, "
+        f"hhip_usd_day < {config.ULTRA_POOR_USD_DAY} AS is_ultra_poor, "
+        f"NOT hhip_usd_day < {config.TARGET_USD_DAY} AS meets_target, "
+        f"CASE WHEN hh_size <> 0 THEN hhip_usd_day / hh_size END AS hhip_usd_day_per_capita, {_labels('p')} FROM places p")
+    c["ops0"] = (
         f"SELECT survey_cycle, cycle_order, {_DAY} AS date_key, CAST(submitted_at AS DATE) AS submission_date, "
-        f"coalesce({_title('district')}, 'Missing') AS district, {_status('interview_status')} AS interview_status_label, "
-        "count(*) AS submissions_raw, count(*) FILTER (WHERE is_kept) AS submissions_deduplicated, "
-        "count(*) FILTER (WHERE reject_reason = 'superseded_duplicate') AS submissions_superseded, "
-        "count(*) FILTER (WHERE reject_reason IN ('missing_household_id', 'duplicate_submission_key')) "
-        "AS submissions_rejected, count(*) FILTER (WHERE district IS NULL OR subcounty IS NULL OR parish IS NULL "
-        "OR village IS NULL) AS submissions_missing_location, sum(interview_duration_sec) / CAST(60 AS DOUBLE) "
-        "AS interview_minutes_sum, count(interview_duration_sec) AS interview_minutes_n FROM alls GROUP BY ALL")
-    sums = ", ".join(f"CAST(sum({x}) AS BIGINT) AS {x}" for x in (
-        "submissions_raw", "submissions_deduplicated", "submissions_superseded", "submissions_rejected",
-        "submissions_missing_location"))
-    c["opc1"] = (f"SELECT survey_cycle, cycle_order, {sums}, sum(interview_minutes_sum) / nullif(sum(interview_minutes_n), 0) "
-                 "AS avg_interview_minutes FROM ops GROUP BY survey_cycle, cycle_order")
-    c["opc2"] = ("SELECT survey_cycle, count(*) AS households, count(*) FILTER (WHERE household_submissions > 1) "
-                 "AS households_with_duplicates, median(interview_duration_sec) / CAST(60 AS DOUBLE) "
-                 "AS median_interview_minutes FROM kept GROUP BY survey_cycle")
-    c["opc3"] = ("SELECT survey_cycle, CASE WHEN survey_cycle = 'baseline' THEN avg(CAST(gps_lat IS NULL AS INTEGER)) END "
-                 "AS missing_gps_rate FROM alls GROUP BY survey_cycle")
-    c["opc"] = ("SELECT o.survey_cycle, o.cycle_order, o.submissions_raw, o.submissions_deduplicated, "
-                "o.submissions_superseded, o.submissions_rejected, 1 - o.submissions_deduplicated / o.submissions_raw "
-                "AS dedup_reduction_rate, d.households_with_duplicates, d.households_with_duplicates / d.households "
-                "AS duplicate_household_rate, o.submissions_missing_location / o.submissions_raw AS missing_location_rate, "
-                "g.missing_gps_rate, o.avg_interview_minutes, d.median_interview_minutes "
-                "FROM opc1 o JOIN opc2 d USING (survey_cycle) JOIN opc3 g USING (survey_cycle)")
+        f"ifnull({_title('district')}, 'Missing') AS district, {_status('interview_status')} AS interview_status_label, "
+        "is_kept, ifnull(reject_reason, '') AS why, interview_duration_sec AS sec, "
+        "NOT (district || subcounty || parish || village) IS NOT NULL AS unplaced FROM alls")
+    c["ops"] = (
+        "SELECT survey_cycle, cycle_order, date_key, submission_date, district, interview_status_label, "
+        "count(*) AS submissions_raw, CAST(count_if(is_kept) AS BIGINT) AS submissions_deduplicated, "
+        "CAST(count_if(why LIKE 'superseded%') AS BIGINT) AS submissions_superseded, "
+        "CAST(count_if(NOT is_kept AND why NOT LIKE 'superseded%') AS BIGINT) AS submissions_rejected, "
+        "CAST(count_if(unplaced) AS BIGINT) AS submissions_missing_location, "
+        "sum(sec) / CAST(60 AS DOUBLE) AS interview_minutes_sum, count(sec) AS interview_minutes_n "
+        "FROM ops0 GROUP BY 1, 2, 3, 4, 5, 6")
+    # Straight from the submissions, not from the daily table.
+    c["opc1"] = (
+        "SELECT survey_cycle, cycle_order, count(*) AS raw, CAST(count_if(is_kept) AS BIGINT) AS kept, "
+        "CAST(count_if(why LIKE 'superseded%') AS BIGINT) AS superseded, "
+        "CAST(count_if(NOT is_kept AND why NOT LIKE 'superseded%') AS BIGINT) AS rejected, "
+        "CAST(count_if(unplaced) AS BIGINT) AS unplaced, avg(sec) / 60 AS mean_minutes FROM ops0 GROUP BY 1, 2")
+    c["opc2"] = ("SELECT survey_cycle, count(*) AS households, CAST(count_if(household_submissions > 1) AS BIGINT) AS doubled, "
+                 "quantile_cont(interview_duration_sec, 0.5) / 60 AS middle FROM kept GROUP BY 1")
+    c["opc3"] = ("SELECT survey_cycle, count_if(gps_lat IS NULL) / count(*) AS rate FROM alls "
+                 "WHERE survey_cycle = 'baseline' GROUP BY 1")
+    c["opc"] = (
+        "SELECT survey_cycle, cycle_order, raw AS submissions_raw, kept AS submissions_deduplicated, "
+        "superseded AS submissions_superseded, rejected AS submissions_rejected, 1 - kept / raw AS dedup_reduction_rate, "
+        "doubled AS households_with_duplicates, doubled / households AS duplicate_household_rate, "
+        "unplaced / raw AS missing_location_rate, rate AS missing_gps_rate, round(mean_minutes, 9) AS avg_interview_minutes, "
+        "round(middle, 9) AS median_interview_minutes FROM opc1 NATURAL JOIN opc2 LEFT JOIN opc3 USING (survey_cycle)")
+    c["summary0"] = (
+        "SELECT f.survey_cycle, f.cycle_order, g.region_name, g.district, t.year_month, f.is_completed AS done, "
+        "f.is_consented AS agreed, CASE WHEN f.is_consented THEN f.hhip_usd_day END AS hhip "
+        "FROM calendar t, geography g, fact f WHERE f.geo_key = g.geo_key AND f.date_key = t.date_key")
     c["summary"] = (
-        "SELECT f.survey_cycle, f.cycle_order, g.region_name, g.district, t.year_month, count(*) AS households_attempted, "
-        "count(*) FILTER (WHERE f.is_completed) AS households_completed, "
-        "count(*) FILTER (WHERE f.is_consented) AS households_consented, "
-        "count(*) FILTER (WHERE f.is_completed) / count(*) AS completion_rate, "
-        "count(*) FILTER (WHERE f.is_consented) / nullif(count(*) FILTER (WHERE f.is_completed), 0) AS consent_rate, "
-        "median(f.hhip_usd_day) FILTER (WHERE f.is_consented) AS median_hhip_usd_day, "
-        "avg(CAST(f.meets_target AS INTEGER)) FILTER (WHERE f.is_consented) AS share_meeting_target "
-        "FROM fact f JOIN geography g USING (geo_key) JOIN calendar t USING (date_key) GROUP BY ALL")
-    c["program0"] = ("SELECT survey_cycle, cycle_order, CAST(sum(households_attempted) AS BIGINT) AS households_attempted, "
-                     "CAST(sum(households_completed) AS BIGINT) AS households_completed, "
-                     "CAST(sum(households_consented) AS BIGINT) AS households_consented FROM summary "
-                     "GROUP BY survey_cycle, cycle_order")
+        "SELECT survey_cycle, cycle_order, region_name, district, year_month, count(*) AS households_attempted, "
+        "CAST(count_if(done) AS BIGINT) AS households_completed, CAST(count_if(agreed) AS BIGINT) AS households_consented, "
+        "count_if(done) / count(*) AS completion_rate, "
+        "CASE WHEN count_if(done) > 0 THEN count_if(agreed) / count_if(done) END AS consent_rate, "
+        "round(quantile_cont(hhip, 0.5), 9) AS median_hhip_usd_day, "
+        f"CASE WHEN count(hhip) > 0 THEN count_if(hhip >= {config.TARGET_USD_DAY}) / count(hhip) END "
+        "AS share_meeting_target FROM summary0 GROUP BY 1, 2, 3, 4, 5")
+    # Straight from the rows behind the summary.
+    c["program0"] = ("SELECT survey_cycle, cycle_order, count(*) AS households_attempted, "
+                     "CAST(count_if(done) AS BIGINT) AS households_completed, "
+                     "CAST(count_if(agreed) AS BIGINT) AS households_consented FROM summary0 GROUP BY 1, 2")
     c["program1"] = ("SELECT *, households_completed / households_attempted AS completion_rate, "
-                     "households_consented / nullif(households_completed, 0) AS consent_rate FROM program0")
-    dims = (("Head of household age", "head_age_band"), ("Head of household sex", "head_sex_label"),
-            ("Household size", "hh_size_band"), ("Respondent", "respondent_label"))
-    c["agreed"] = ("SELECT f.*, g.district FROM fact f JOIN geography g USING (geo_key) "
-                   "WHERE f.is_completed AND f.is_consented")
-    c["demographics"] = " UNION ALL ".join(
-        f"SELECT survey_cycle, cycle_order, district, '{d}' AS dimension, {x} AS category, count(*) AS households "
-        f"FROM agreed GROUP BY ALL" for d, x in dims)
-    c["coverage"] = "SELECT n_cycles, cycle_pattern, count(*) AS households FROM households GROUP BY ALL"
+                     "households_consented / households_completed AS consent_rate FROM program0")
+    c["agreed"] = (
+        "SELECT survey_cycle, cycle_order, geography.district, unnest(['Head of household age', 'Head of household sex', "
+        "'Household size', 'Respondent']) AS dimension, unnest([head_age_band, head_sex_label, hh_size_band, "
+        "respondent_label]) AS category FROM fact, geography WHERE fact.geo_key = geography.geo_key AND is_consented")
+    c["demographics"] = ("SELECT survey_cycle, cycle_order, district, dimension, category, count(*) AS households "
+                         "FROM agreed GROUP BY 1, 2, 3, 4, 5")
+    c["coverage"] = "SELECT n_cycles, cycle_pattern, count(household_id) AS households FROM households GROUP BY 1, 2"
     c["panel"] = (
-        "SELECT f.survey_cycle, f.cycle_order, g.district, count(*) AS households, "
-        "median(f.hhip_usd_day) AS median_hhip_usd_day, avg(CAST(f.meets_target AS INTEGER)) AS share_meeting_target, "
-        "avg(CAST(f.is_ultra_poor AS INTEGER)) AS share_ultra_poor FROM fact f JOIN households h USING (household_id) "
-        "JOIN geography g USING (geo_key) WHERE h.in_balanced_panel AND f.is_consented GROUP BY ALL")
+        "SELECT survey_cycle, cycle_order, geography.district, count(*) AS households, "
+        "round(quantile_cont(hhip_usd_day, 0.5), 9) AS median_hhip_usd_day, "
+        f"count_if(hhip_usd_day >= {config.TARGET_USD_DAY}) / nullif(count(hhip_usd_day), 0) AS share_meeting_target, "
+        f"count_if(hhip_usd_day < {config.ULTRA_POOR_USD_DAY}) / nullif(count(hhip_usd_day), 0) AS share_ultra_poor "
+        "FROM fact, geography WHERE fact.geo_key = geography.geo_key AND is_consented AND household_id IN "
+        "(SELECT household_id FROM panels WHERE len(seen) = 3) GROUP BY 1, 2, 3")
     c["profile"] = _profile()
     c["collected"] = "SELECT * FROM profile WHERE NOT all_null"
     c["form_fields"] = ("SELECT s AS survey_cycle, f.* FROM (VALUES " + _CODES + ") AS x(s), ("
@@ -271,51 +281,49 @@ def _ctes() -> dict[str, str]:
     return c
 
 
-def _checks() -> str:
-    def one(name, severity, failed, total, source, detail="''"):
-        return (f"SELECT '{name}' AS \"check\", '{severity}' AS severity, {failed} AS failed, {total} AS total, "
-                f"{detail} AS detail FROM {source}")
+# check -> (severity, relation, which rows count, which of them fail)
+_MODEL_CHECKS = {
+    "household_id_format": ("warn", "fact", None,
+                            f"NOT regexp_full_match(household_id, '{config.HOUSEHOLD_ID_LAYOUT[1:-1]}')"),
+    "hh_size_in_range": ("warn", "fact", None, "ifnull(hh_size, 0) < 1 OR hh_size > 30"),
+    "hhip_not_null": ("error", "fact", "is_consented", "hhip_usd_day IS NULL"),
+    "hhip_plausible_range": ("warn", "fact", None, "NOT hhip_usd_day BETWEEN 0 AND 50"),
+    "hhip_daily_reconciles_with_annual": (
+        "warn", "fact", "hhip_usd_year IS NOT NULL",
+        "abs(hhip_usd_year - 365 * hhip_usd_day) > CAST(0.01 AS DOUBLE) * greatest(1, hhip_usd_year)"),
+    "income_components_le_total_income": (
+        "warn", "fact", None, f"hh_income_usd_year * CAST(1.01 AS DOUBLE) + 1 < {_INCOMES}"),
+    "village_maps_to_one_parish_within_cycle": (
+        "warn", "(SELECT count(DISTINCT lower(parish)) AS n FROM history GROUP BY survey_cycle, geo_key)", None, "n >= 2"),
+    "villages_with_parish_spelling_change_across_cycles": ("info", "geography", None, "parish_spellings_seen >= 2"),
+    "fact_rows_without_geography": (
+        "error", "fact", None, "geo_key IS NULL OR geo_key NOT IN (SELECT geo_key FROM geography WHERE geo_key IS NOT NULL)"),
+    "interview_duration_plausible_10min_6h": (
+        "warn", "fact", "is_completed", "NOT interview_duration_min BETWEEN 10 AND 360"),
+    "wall_clock_start_to_end_over_6h": ("info", "fact", None, "wall_clock_minutes / 60 > 6"),
+    "head_age_plausible_15_100": ("warn", "fact", "is_consented", "ifnull(head_age, 0) < 15 OR head_age > 100"),
+    "completed_interview_has_consent_answer": ("warn", "fact", "is_completed", "consent IS NULL"),
+    "fact_dates_covered_by_dim_time": ("error", "fact", None, "date_key NOT IN (SELECT date_key FROM calendar)"),
+    "geography_has_region": ("error", "geography", None, "region_code IS NULL"),
+    "household_id_needed_normalisation": ("info", "kept", None, "household_id != household_id_raw"),
+    "submitted_after_started": ("warn", "kept", None, "started_at - submitted_at > INTERVAL 24 HOUR"),
+    "district_code_decodes_to_preloaded_label": (
+        "warn", "(SELECT survey_cycle, district_code, district FROM kept GROUP BY ALL) AS t", None,
+        f"lower(t.district) != ifnull(lower({_decoded('t', 'district', 'district_code')}), '?')"),
+    "households_changed_district": ("info", "households", None, "moved_district"),
+    "baseline_households_missing_a_follow_up_cycle": ("info", "households", "has_baseline", "n_cycles < 3"),
+}
+
 
+def _checks() -> str:
     def n(cond):
-        return f"count(*) FILTER (WHERE {cond})"
-
-    out = [
-        one("grain_unique_household_cycle", "error", "count(*) - count(DISTINCT (household_id, survey_cycle))",
-            "count(*)", "fact"),
-        one("household_id_format", "warn",
-            n("NOT regexp_matches(household_id, '^[A-Z]{3}-[A-Z]{3}-([A-Z]{3}-[A-Z]|[A-Z]-)[0-9]+$')"), "count(*)", "fact"),
-        one("hh_size_in_range", "warn", n("hh_size NOT BETWEEN 1 AND 30 OR hh_size IS NULL"), "count(*)", "fact"),
-        one("hhip_not_null", "error", n("hhip_usd_day IS NULL"), "count(*)", "fact WHERE is_consented"),
-        one("hhip_plausible_range", "warn", n("hhip_usd_day < 0 OR hhip_usd_day > 50"), "count(*)", "fact"),
-        one("hhip_daily_reconciles_with_annual", "warn",
-            n("abs(hhip_usd_day * 365 - hhip_usd_year) > CAST(0.01 AS DOUBLE) * greatest(hhip_usd_year, 1)"), "count(*)",
-            "fact WHERE hhip_usd_year IS NOT NULL"),
-        one("income_components_le_total_income", "warn",
-            n(f"{_INCOMES} > hh_income_usd_year * CAST(1.01 AS DOUBLE) + 1"), "count(*)", "fact"),
-        one("village_maps_to_one_parish_within_cycle", "warn", n("n > 1"), "count(*)",
-            "(SELECT survey_cycle, geo_key, count(DISTINCT lower(parish)) AS n FROM history GROUP BY ALL)"),
-        one("villages_with_parish_spelling_change_across_cycles", "info", n("parish_spellings_seen > 1"), "count(*)",
-            "geography"),
-        one("fact_rows_without_geography", "error", n("g.geo_key IS NULL"), "count(*)",
-            "fact f LEFT JOIN geography g USING (geo_key)"),
-        one("interview_duration_plausible_10min_6h", "warn",
-            n("interview_duration_min < 10 OR interview_duration_min > 360"), "count(*)", "fact WHERE is_completed"),
-        one("wall_clock_start_to_end_over_6h", "info", n("wall_clock_minutes > 360"), "count(*)", "fact"),
-        one("head_age_plausible_15_100", "warn", n("head_age NOT BETWEEN 15 AND 100 OR head_age IS NULL"), "count(*)",
-            "fact WHERE is_consented"),
-        one("completed_interview_has_consent_answer", "warn", n("consent IS NULL"), "count(*)", "fact WHERE is_completed"),
-        one("fact_dates_covered_by_dim_time", "error", n("t.date_key IS NULL"), "count(*)",
-            "fact f LEFT JOIN calendar t USING (date_key)"),
-        one("geography_has_region", "error", n("region_code IS NULL"), "count(*)", "geography"),
-        one("household_id_needed_normalisation", "info", n("household_id_raw <> household_id"), "count(*)", "kept"),
-        one("submitted_after_started", "warn", n("submitted_at < started_at - INTERVAL 1 DAY"), "count(*)", "kept"),
-        one("district_code_decodes_to_preloaded_label", "warn",
-            n(f"coalesce(lower({_decoded('t', 'district', 'district_code')}), '?') <> lower(t.district)"), "count(*)",
-            "(SELECT DISTINCT survey_cycle, district_code, district FROM kept) t"),
-        one("households_changed_district", "info", n("moved_district"), "count(*)", "households"),
-        one("baseline_households_missing_a_follow_up_cycle", "info", n("has_baseline AND NOT in_balanced_panel"),
-            n("has_baseline"), "households"),
-    ]
+        return f"count(CASE WHEN {cond} THEN 1 END)"
+
+    out = ["SELECT 'grain_unique_household_cycle' AS \"check\", 'error' AS severity, ifnull(sum(n - 1), 0) AS failed, "
+           "ifnull(sum(n), 0) AS total, '' AS detail FROM (SELECT count(*) AS n FROM fact GROUP BY household_id, survey_cycle)"]
+    for name, (severity, relation, scope, failing) in _MODEL_CHECKS.items():
+        where = f" WHERE {scope}" if scope else ""
+        out.append(f"SELECT '{name}', '{severity}', {n(failing)}, count(*), '' FROM {relation}{where}")
 
     def per_cycle(name, severity, failed, total, source, detail="''"):
         return (f"SELECT survey_cycle || ': {name}', '{severity}', {failed}, {total}, {detail} "
@@ -331,7 +339,7 @@ def _checks() -> str:
         per_cycle("identical rows in export (same row hash)", "info",
                   f"count(*) - count(DISTINCT (household_id_raw, {size}, village, wealth_quartile))", "count(*)", "subs"),
         per_cycle("hhid_2 equals hhid_2_again", "warn",
-                  n("coalesce(household_id_raw, '') <> coalesce(household_confirm_raw, '')"), "count(*)", "subs"),
+                  n("ifnull(household_id_raw, '') != ifnull(household_confirm_raw, '')"), "count(*)", "subs"),
         per_cycle("SubmissionDate parses with known formats", "error", "0", "count(*)", "subs",
                   f"CASE survey_cycle {formats} END"),
         per_cycle("district code maps to one label", "warn", n("labels > 1"), n("labels > 0"),
@@ -423,8 +431,8 @@ def _queries() -> dict[str, str]:
     q["rpt_program_demographics"] = "SELECT * FROM demographics"
     q["rpt_cohort_coverage"] = "SELECT * FROM coverage"
     q["rpt_panel_poverty"] = "SELECT * FROM panel"
-    q["duration_median"] = (
-        "SELECT survey_cycle, interview_status, median(hh_income_usd_year) AS median_income FROM subs "
+    q["income_median"] = (
+        "SELECT survey_cycle, interview_status, round(median(hh_income_usd_year), 9) AS median_income FROM subs "
         "WHERE hh_income_usd_year IS NOT NULL GROUP BY survey_cycle, interview_status")
     q["filtered_field_ops"] = (
         "SELECT * FROM ops WHERE survey_cycle IN ('baseline', 'year2') AND (district IN "
@@ -436,7 +444,7 @@ def _queries() -> dict[str, str]:
         "SELECT CAST(sum(submissions_raw) AS BIGINT) AS submissions_raw, CAST(sum(submissions_deduplicated) AS BIGINT) "
         "AS submissions_deduplicated, CAST(sum(submissions_superseded) AS BIGINT) AS submissions_superseded, "
         "sum(submissions_missing_location) / sum(submissions_raw) AS missing_location_rate, "
-        "sum(interview_minutes_sum) / sum(interview_minutes_n) AS avg_interview_minutes FROM ops")
+        "round(sum(interview_minutes_sum) / sum(interview_minutes_n), 9) AS avg_interview_minutes FROM ops")
     q["program_headline"] = (
         "SELECT CAST(sum(households_attempted) AS BIGINT) AS households_attempted, CAST(sum(households_completed) AS BIGINT) "
         "AS households_completed, CAST(sum(households_consented) AS BIGINT) AS households_consented, "

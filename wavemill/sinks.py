@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from .config import literal_frame
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def is_committed(spark: SparkSession, path: str) -> bool:
-    return _exists(spark, f"{path}/_SUCCESS")
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def write_once(df: DataFrame, path: str) -> bool:

@@ -15,7 +15,7 @@ from ..functions.text import normalize_header
 from ..operators.harmonize import quoted
 from ..operators.sizing import input_bytes
 
-_CSV = {"escape": '"', "quote": '"', "mode": "PERMISSIVE", "maxColumns": "200000",
+CSV_OPTIONS = {"escape": '"', "quote": '"', "mode": "PERMISSIVE", "maxColumns": "200000",
         "maxCharsPerColumn": "-1"}
 _BLOCK = 128 << 20
 # One entry per input block; 100 TB have fewer.
@@ -50,7 +50,7 @@ def normalized_headers(names: Sequence[str]) -> list[str]:
 
 def raw_headers(spark: SparkSession, path: str) -> list[str]:
     """The header record, read by the same CSV reader as the rows (cells may span lines)."""
-    first = spark.read.options(**_CSV, multiLine=True, header=False).csv(path).head()
+    first = spark.read.options(**CSV_OPTIONS, multiLine=True, header=False).csv(path).head()
     if first is None:
         raise ValueError(f"no header in {path}")
     return distinct_headers(list(first))
@@ -93,7 +93,7 @@ def read_export(spark: SparkSession, path: str, multiline: bool = True) -> DataF
     columns = iter(names)
     stored = [n if n == config.INDEX_COLUMN else next(columns) for n in unique]
     df = (spark.read.schema(export_schema(stored))
-          .options(**_CSV, multiLine=multiline, header=True).csv(path))
+          .options(**CSV_OPTIONS, multiLine=multiline, header=True).csv(path))
     df = df.select("*", F.col("_metadata.file_name").alias("_source_file"), "_metadata")
     return with_source_row(df).drop("_metadata", config.INDEX_COLUMN)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import literal_frame
-from ..sinks import _exists, append_manifest
+from ..sinks import append_manifest, path_exists
 
 MANIFEST_SCHEMA = ("survey_cycle string, kind string, file string, path string, sha256 string, "
                    "bytes bigint, status string, seen_at timestamp")
@@ -54,7 +54,7 @@ def fingerprints(spark: SparkSession, sources: DataFrame) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return literal_frame(spark, [], MANIFEST_SCHEMA)
     return spark.read.schema(MANIFEST_SCHEMA).json(path)
 

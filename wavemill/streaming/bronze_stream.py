@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import config
-from ..sinks import _exists
-from ..sources.exports import _CSV, export_schema, with_lineage, with_source_row
+from ..sinks import path_exists
+from ..sources.exports import CSV_OPTIONS, export_schema, with_lineage, with_source_row
 
 
 def ingest_new_files(spark: SparkSession, folder: str, headers: Sequence[str], cycle: str,
@@ -27,13 +27,13 @@ def ingest_new_files(spark: SparkSession, folder: str, headers: Sequence[str], c
     failure, so no file is taken twice or lost.
     """
     stream = (spark.readStream.schema(export_schema(headers))
-              .options(**_CSV, multiLine=multiline, header=True).csv(folder)
+              .options(**CSV_OPTIONS, multiLine=multiline, header=True).csv(folder)
               .select("*", F.col("_metadata.file_name").alias("_source_file"), "_metadata"))
 
     def land(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         offset = 0
-        if _exists(session, bronze):
+        if path_exists(session, bronze):
             earlier = session.read.parquet(bronze).where(F.col("batch") < batch_id)
             offset = earlier.agg(F.max("_source_row")).first()[0] or 0
         rows = with_source_row(batch, offset).drop("_metadata", config.INDEX_COLUMN)

@@ -26,7 +26,7 @@ def library():
 @pytest.mark.parametrize("leaf", [3, 40, bpe.LEAF_CHARS])
 def test_ids_and_text_equal_the_library(spark, library, leaf):
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)], "id long, text string, decoded string")
-    rows = {r["id"]: r for r in bpe.decode(bpe.encode(df, PATH, leaf_chars=leaf), PATH).collect()}
+    rows = {r["id"]: r for r in bpe.encode(df, PATH, leaf_chars=leaf, decoded=True).collect()}
     assert len(rows) == len(TEXTS)
     for i, t in enumerate(TEXTS):
         ids = library.encode(t or "", add_special_tokens=False).ids

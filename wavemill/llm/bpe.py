@@ -16,6 +16,7 @@ result are replaced, all others but the text stay.
 from __future__ import annotations
 
 import json
+import os
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -35,11 +36,16 @@ from wavemill.llm.shared import slices
 LEAF_CHARS = 16_384
 #: Tokens on either side of a join that the first window covers; it doubles until both sides agree.
 WINDOW = 4
-#: Distinct pre-tokens that a Python worker remembers before it starts afresh.
-CACHE_WORDS = 150_000
-
-#: Characters on which Python's Unicode tables and the tokenizer's agree; other texts take its own rules.
-_COMMON = re.compile(r"[^\x00-\u0557\u2000-\u206f\u3000-\u9fbf\uac00-\ud7a3]")
+#: Distinct pieces between white space that a Python worker remembers before it starts afresh, and their length.
+CACHE_CHUNKS, CACHE_CHARS = 200_000, 64
+
+#: Letters, digits, an apostrophe with its ending, other signs: the tokenizer's own alternatives, which differ in
+#: their first character, in the order that is met most.
+_PIECES = regex.compile(r"\p{L}+|\p{N}|'(?:s|t|re|ve|m|ll|d)|[^\s\p{L}\p{N}]+")
+_KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: All but characters on which Python's Unicode tables and white space agree with the tokenizer's; other texts
+#: take its own rules.
+_COMMON = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u0557\u2010-\u2027\u2030-\u205e\u3001-\u9fbf\uac00-\ud7a3]")
 _WORD_END = "</w>"
 
 
@@ -47,6 +53,7 @@ class Codec:
     """One tokenizer file, opened: pre-tokens, their ids, joins of encoded halves, decoding."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs as many tasks as there are cores
         from tokenizers import Tokenizer, models, pre_tokenizers
 
         whole = Tokenizer.from_file(path)
@@ -54,8 +61,8 @@ class Codec:
         self.normalizer, self.splitter = whole.normalizer, whole.pre_tokenizer
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_parts = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(pattern)
+        if spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] != _KNOWN_PATTERN:
+            raise ValueError(f"{path} divides texts in another way than this operator knows")
         vocab = spec["model"]["vocab"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         bytelevel = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -73,31 +80,42 @@ class Codec:
         if _COMMON.search(text):
             normal = self.normalizer.normalize_str(text)
             return [normal[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(normal)]
-        return self.words.findall(unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower())
-
-    def parts(self, text: str) -> Iterator[tuple[int | None, list[str]]]:
-        """Special tokens by id, and between them lists of pre-tokens."""
-        for part in self.special_parts.split(text):
-            if part in self.special:
-                yield self.special[part], []
-            elif part:
-                yield None, self.pre_tokens(part)
-
-    def learn(self, words: set[str]) -> None:
-        """Remember the ids of these pre-tokens, as bytes of int32."""
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        new = [w for w in words if w not in self.cache]
-        for w, e in zip(new, self.ending.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.cache[w] = np.array(e.ids, np.int32).tobytes()
+        return _PIECES.findall(unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower())
+
+    def parts(self, text: str) -> list[str]:
+        """Special tokens, and the texts between them."""
+        return [p for p in self.special_parts.split(text) if p] if "<|" in text else [text] if text else []
+
+    def chunks(self, part: str) -> list[str]:
+        """What a text without special tokens can be cut into without a change: at white space, else not at all."""
+        return [part] if _COMMON.search(part) else part.split()
+
+    def words_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of pre-tokens, as bytes of int32."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 4096):
+            found = self.ending.encode_batch_fast(words[at:at + 4096], add_special_tokens=False)
+            out += [np.array(e.ids, np.int32).tobytes() for e in found]
+        return out
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts, each as bytes of int32."""
-        split = [list(self.parts(t)) for t in texts]
-        words = {w for parts in split for _, ws in parts for w in ws}
-        self.learn(words)
-        return [b"".join(b"".join(map(self.cache.__getitem__, ws)) if i is None else _one(i) for i, ws in parts)
-                for parts in split]
+        split = [[[p] if p in self.special else self.chunks(p) for p in self.parts(t)] for t in texts]
+        if len(self.cache) > CACHE_CHUNKS:
+            self.cache.clear()
+        if not self.cache:
+            self.cache.update({content: np.int32(i).tobytes() for content, i in self.special.items()})
+        new = {c for parts in split for chunks in parts for c in chunks if c not in self.cache}
+        cut = {c: self.pre_tokens(c) for c in new}
+        words = list({w for ws in cut.values() for w in ws})
+        ids = dict(zip(words, self.words_ids(words), strict=True))
+        known = self.cache
+        for c, ws in cut.items():
+            known[c] = ids[ws[0]] if len(ws) == 1 else b"".join(map(ids.__getitem__, ws))
+        out = [b"".join(known[c] for chunks in parts for c in chunks) for parts in split]
+        for c in [c for c in new if len(c) > CACHE_CHARS]:
+            del known[c]
+        return out
 
     def leaf(self, piece: str, last: bool) -> list[int]:
         """Ids of a piece of one pre-token; only its last piece ends a word."""
@@ -133,10 +151,6 @@ class Codec:
         return " ".join(map(self.token.__getitem__, ids))
 
 
-def _one(i: int) -> bytes:
-    return np.int32(i).tobytes()
-
-
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec(path)
@@ -168,22 +182,26 @@ def _fields(df: DataFrame, drop: str, *added: T.StructField) -> T.StructType:
 _IDS, _DECODED = T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())
 
 
-def encode(df: DataFrame, path: str, text: str = "text", leaf_chars: int = LEAF_CHARS) -> DataFrame:
-    """``df`` with ``token_ids`` in place of its text column."""
+def encode(df: DataFrame, path: str, text: str = "text", leaf_chars: int = LEAF_CHARS,
+           decoded: bool = False) -> DataFrame:
+    """``df`` with ``token_ids`` in place of its text column, and with their text ``decoded`` too if asked for."""
     lengthy = F.coalesce((F.length(text) > leaf_chars) & F.col(text).rlike(r"\S{%d}" % min(leaf_chars + 1, 65_000)),
                          F.lit(False))
-    return _encode_short(df.where(~lengthy), path, text).unionByName(
-        _encode_long(df.where(lengthy), path, text, leaf_chars))
+    long = _encode_long(df.where(lengthy), path, text, leaf_chars)
+    return _encode_short(df.where(~lengthy), path, text, decoded).unionByName(decode(long, path) if decoded else long)
 
 
-def _encode_short(df: DataFrame, path: str, text: str) -> DataFrame:
+def _encode_short(df: DataFrame, path: str, text: str, decoded: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(path)
         for batch in slices(batches, text):
             ids = code.encode_many([x or "" for x in batch.column(text).to_pylist()])
-            yield _with(batch, text, token_ids=_id_lists(ids))
+            new = {"token_ids": _id_lists(ids)}
+            if decoded:
+                new["decoded"] = pa.array([code.decode(np.frombuffer(x, np.int32).tolist()) for x in ids], pa.string())
+            yield _with(batch, text, **new)
 
-    return df.mapInArrow(run, _fields(df, text, _IDS))
+    return df.mapInArrow(run, _fields(df, text, _IDS, *[_DECODED] * decoded))
 
 
 def _encode_long(df: DataFrame, path: str, text: str, leaf_chars: int) -> DataFrame:
@@ -195,21 +213,21 @@ def _encode_long(df: DataFrame, path: str, text: str, leaf_chars: int) -> DataFr
         for batch in slices(batches, text):
             for key, whole in zip(*(batch.column(c).to_pylist() for c in ("_key", text)), strict=True):
                 rows: list[tuple] = []
-                for special, words in code.parts(whole):
-                    if special is not None:
-                        rows.append((len(rows), [special], None, True))
+                for part in code.parts(whole):
+                    if part in code.special:
+                        rows.append((len(rows), [code.special[part]], None, True))
+                        continue
                     short: list[str] = []
-                    for w in [*words, None]:
-                        if w is None or len(w) > leaf_chars:
-                            code.learn(set(short))
-                            ids = b"".join(map(code.cache.__getitem__, short))
-                            rows.append((len(rows), np.frombuffer(ids, np.int32).tolist(), None, True))
-                            short = []
-                            cuts = halves(w, leaf_chars) if w is not None else []
-                            for i, piece in enumerate(cuts):
-                                rows.append((len(rows), None, piece, i + 1 == len(cuts)))
-                        else:
+                    for w in [*code.pre_tokens(part), None]:
+                        if w is not None and len(w) <= leaf_chars:
                             short.append(w)
+                            continue
+                        ids = b"".join(code.words_ids(short))
+                        rows.append((len(rows), np.frombuffer(ids, np.int32).tolist(), None, True))
+                        short = []
+                        cuts = halves(w, leaf_chars) if w is not None else []
+                        for i, piece in enumerate(cuts):
+                            rows.append((len(rows), None, piece, i + 1 == len(cuts)))
                 yield pa.RecordBatch.from_pydict(
                     {"_key": [key] * len(rows), "seq": [r[0] for r in rows], "ids": [r[1] for r in rows],
                      "leaf": [r[2] for r in rows], "last": [r[3] for r in rows]},

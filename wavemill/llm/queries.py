@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavemill.llm import bpe
+from wavemill.llm import bpe, line_runs, mixing, simhash_ball
 from wavemill.llm.shared import table
 
 #: The public tokenizer of the encoding query, a file name in the installed tokenizer folder.
@@ -22,11 +22,51 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again: counts and digests of both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = _tokenizer(WORD_TOKENIZER)
-    return bpe.decode(bpe.encode(docs, path), path).select(
+    return bpe.encode(docs, path, decoded=True).select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op2_bpe": op2_bpe}
-ORACLE: dict[str, str] = {}
+def op3_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of three documents or more stay in the one with the largest id."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_runs.drop_repeated_lines(docs, min_chars=20, min_docs=3).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of three-word shingles, linked at two bits or fewer, with their components."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash_ball.components(docs, radius=2, words=3).select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes, and its source's target."""
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
+QUERIES = {"op2_bpe": op2_bpe, "op3_line_runs": op3_line_runs, "op5_simhash": op5_simhash, "op9_mix": op9_mix}
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+ORACLE: dict[str, str] = {
+    "op3_line_runs": f"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), lines AS (
+  SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS place FROM split
+), keyed AS (
+  SELECT *, translate(trim(line, {_BLANKS}), '{_UPPER}', '{_LOWER}') AS key FROM lines
+), common AS (
+  SELECT key, max(doc_id) AS holder FROM (SELECT DISTINCT doc_id, key FROM keyed WHERE length(key) >= 20)
+  GROUP BY key HAVING count(*) >= 3
+), judged AS (
+  SELECT k.*, coalesce(c.holder <> k.doc_id, false) AS gone FROM keyed k LEFT JOIN common c USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id""",
+}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 #: White space of the text contracts: blank and the control characters from tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]"
 #: Bytes of text that a Python task turns into one batch of results.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,15 +39,6 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def count_words(text: Column) -> Column:
-    """Words divided by ``SPACE``, in JVM code; NULL counts none."""
-    return F.coalesce(F.size(F.expr(f"regexp_extract_all({_sql(text)}, '[^\\\\x20\\\\x09-\\\\x0D]+', 0)")), F.lit(0))
-
-
-def _sql(column: Column | str) -> str:
-    return column if isinstance(column, str) else column._jc.toString()
-
-
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

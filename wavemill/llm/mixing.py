@@ -100,13 +100,14 @@ def pieces(documents: DataFrame, block_words: int) -> DataFrame:
 
 def slots(sources: DataFrame, block_words: int, seed: int = 0) -> DataFrame:
     """The mix: (``src``, ``slot``, ``shard``, ``epoch``, ``block``), one row for each block that is taken."""
+    parts = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few rows now, many soon
     count = F.ceil(F.col("source_size") / block_words)
     rows = sources.where("source_size > 0").withColumn("blocks", count)
     rows = rows.withColumn("taken", F.least(
         F.round(F.col("target") * F.col("blocks") / F.col("source_size")).cast("long"), MOST * F.col("blocks")))
     rows = rows.withColumn("shards", F.ceil(F.sum("taken").over(Window.partitionBy(F.lit(0))) / SHARD_SLOTS))
     chunks = rows.where("taken > 0").withColumn("chunk", F.explode(F.sequence(
-        F.lit(0), F.floor((F.col("taken") - 1) / _CHUNK)))).repartition("src", "chunk")
+        F.lit(0), F.floor((F.col("taken") - 1) / _CHUNK)))).repartition(parts, "src", "chunk")
     drawn = chunks.withColumn("slot", F.explode(F.sequence(
         F.col("chunk") * _CHUNK, F.least((F.col("chunk") + 1) * _CHUNK, F.col("taken")) - 1)))
     drawn = drawn.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "src", "slot"), F.col("shards")))
@@ -132,7 +133,8 @@ def shard_counts(drawn: DataFrame) -> DataFrame:
 def mixed_pieces(sizes: DataFrame, sources: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 0) -> DataFrame:
     """All pieces of documents in the mix: ``pieces`` with ``epoch``, the time the source is gone through."""
     rows = pieces(numbered(sizes, sources), block_words)
-    return rows.join(slots(sources, block_words, seed).select("src", "block", "epoch", "shard"), ["src", "block"])
+    drawn = slots(sources, block_words, seed).select("src", "block", "epoch", "shard")
+    return rows.join(drawn.hint("merge"), ["src", "block"])  # else few sources would pass for few slots
 
 
 def mix(df: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 0, doc_id: str = "doc_id", source: str = "source",
@@ -142,9 +144,10 @@ def mix(df: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 0, doc_id: st
     sources = cut(targets(sizes))
     key = ["doc_id", "mark", "source"]
     times = slots(sources, block_words, seed).groupBy("src", "block").agg(F.count("*").alias("times"))
-    rows = pieces(numbered(sizes, sources), block_words).join(times, ["src", "block"])
+    # The planner takes slots, made from few sources, for few rows: without the hint it would broadcast them all.
+    rows = pieces(numbered(sizes, sources), block_words).join(times.hint("merge"), ["src", "block"])
     taken = rows.groupBy(*key).agg(F.sum(F.col("n_words") * F.col("times")).alias("taken"))
-    left, right = sizes.alias("a"), taken.alias("b")
+    left, right = sizes.alias("a"), taken.hint("merge").alias("b")
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key]
     each = left.join(right, same, "left").select("a.*", F.coalesce("b.taken", F.lit(0)).alias("taken")).alias("a")
     about = sources.alias("s")
@@ -162,7 +165,7 @@ def mixed_documents(df: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 0
     sources = cut(targets(sizes))
     taken = mixed_pieces(sizes, sources, block_words, seed)
     spans = taken.groupBy("doc_id", "mark", "source", "epoch").agg(
-        F.sort_array(F.collect_list(F.struct("first", "n_words"))).alias("spans")).alias("b")
+        F.sort_array(F.collect_list(F.struct("first", "n_words"))).alias("spans")).hint("merge").alias("b")
     marked = df.withColumn("_mark", F.xxhash64(text)).dropDuplicates([doc_id, "_mark", source]).alias("a")
     rows = marked.join(spans, F.col(f"a.{doc_id}").eqNullSafe(F.col("b.doc_id")) & (F.col("a._mark") == F.col("b.mark"))
                        & F.col(f"a.{source}").eqNullSafe(F.col("b.source")))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavemill.llm import bpe, line_runs, mixing, simhash_ball
+from wavemill.llm import bpe, line_runs, mixing, simhash_ball, toxicity
 from wavemill.llm.shared import table
 
 #: The public tokenizer of the encoding query, a file name in the installed tokenizer folder.
 WORD_TOKENIZER = "word_bpe_49k.json"
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return str(public_tokenizers.path(name))
@@ -21,7 +21,7 @@ def _tokenizer(name: str) -> str:
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again: counts and digests of both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    path = _tokenizer(WORD_TOKENIZER)
+    path = tokenizer_path(WORD_TOKENIZER)
     return bpe.encode(docs, path, decoded=True).select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
@@ -35,6 +35,15 @@ def op3_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from the labels of rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, lexicon, threshold=0.7).select(
+        "doc_id", toxicity.is_held_out("doc_id").alias("held_out"), "score", "predicted",
+        F.array_join("toxic_terms", " ").alias("terms"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of three-word shingles, linked at two bits or fewer, with their components."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -47,7 +56,8 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
-QUERIES = {"op2_bpe": op2_bpe, "op3_line_runs": op3_line_runs, "op5_simhash": op5_simhash, "op9_mix": op9_mix}
+QUERIES = {"op2_bpe": op2_bpe, "op3_line_runs": op3_line_runs, "op4_toxicity": op4_toxicity,
+           "op5_simhash": op5_simhash, "op9_mix": op9_mix}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

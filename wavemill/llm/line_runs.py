@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavemill.llm.shared import drop_folder, raw_texts, shared_folder, slices
+from wavemill.llm.shared import cut, drop_folder, raw_texts, shared_folder, slices
 
 #: Runs of one level that are merged into one of the next.
 FANOUT = 2
@@ -133,7 +133,8 @@ def drop_repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text
         within = F.lit(True) if upper is None else F.col("doc") <= upper
         runs.add(lines.where(within if end is None else within & (F.col("doc") > end)))
         upper = end
-    dropped = lines.join(runs.frequent(min_docs), _KEY).where("doc <> holder")
+    common = cut(runs.frequent(min_docs))  # a table of its own, so that a hot line's join can be split
+    dropped = lines.join(common, _KEY).where("doc <> holder")
     listed = dropped.groupBy("doc").agg(F.flatten(F.collect_list(F.array(*_KEY))).alias("_drops"))
     return _apply(df.join(listed.withColumnRenamed("doc", "_doc"), F.col(doc_id) == F.col("_doc"), "left").drop("_doc"),
                   df.schema, text, min_chars)

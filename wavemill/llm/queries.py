@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavemill.llm import bpe, line_runs, mixing, simhash_ball, toxicity
+from wavemill.llm import bpe, line_runs, mixing, pivot_index, simhash_ball, toxicity
 from wavemill.llm.shared import table
 
 #: The public tokenizer of the encoding query, a file name in the installed tokenizer folder.
@@ -56,8 +56,14 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def op10_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest others found for every vector whose id is divisible by 50."""
+    return pivot_index.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"),
+                              lambda i: i % 50 == 0, k=5)
+
+
 QUERIES = {"op2_bpe": op2_bpe, "op3_line_runs": op3_line_runs, "op4_toxicity": op4_toxicity,
-           "op5_simhash": op5_simhash, "op9_mix": op9_mix}
+           "op5_simhash": op5_simhash, "op9_mix": op9_mix, "op10_pivots": op10_pivots}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavemill.llm import bpe, line_runs, mixing, pivot_index, simhash_ball, toxicity
+from wavemill.llm import bpe, line_runs, mixing, pivot_index, simhash_ball, substring, toxicity
 from wavemill.llm.shared import table
 
 #: The public tokenizer of the encoding query, a file name in the installed tokenizer folder.
@@ -51,6 +51,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that no earlier repeat of 20 words or more covers."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.drop_repeats(docs, window=20).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes, and its source's target."""
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -63,7 +70,8 @@ def op10_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_bpe": op2_bpe, "op3_line_runs": op3_line_runs, "op4_toxicity": op4_toxicity,
-           "op5_simhash": op5_simhash, "op9_mix": op9_mix, "op10_pivots": op10_pivots}
+           "op5_simhash": op5_simhash, "op8_substring": op8_substring, "op9_mix": op9_mix,
+           "op10_pivots": op10_pivots}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavemill.llm import bpe, line_runs, mixing, pivot_index, simhash_ball, substring, toxicity
+from wavemill.llm import (
+    bpe, licenses, line_runs, mixing, pivot_index, quality, simhash_ball, substring, token_trie, toxicity)
 from wavemill.llm.shared import table
 
 #: The public tokenizer of the encoding query, a file name in the installed tokenizer folder.
 WORD_TOKENIZER = "word_bpe_49k.json"
+#: The public vocabulary whose pieces are counted.
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -18,6 +21,11 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_token_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, tokens and log-probability of every text in a unigram model."""
+    return token_trie.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(PIECES))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again: counts and digests of both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -51,6 +59,21 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text, the base rules, and the verdict of the rules' estimated accuracies."""
+    return quality.judged(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", *quality.COUNTS, "base_failed", "kept", "quality")
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every text."""
+    places = F.col("base_places")
+    return licenses.scanned(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", F.size(places).cast("long").alias("n_base"), F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"), F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score")
+
+
 def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that no earlier repeat of 20 words or more covers."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -69,9 +92,9 @@ def op10_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
                               lambda i: i % 50 == 0, k=5)
 
 
-QUERIES = {"op2_bpe": op2_bpe, "op3_line_runs": op3_line_runs, "op4_toxicity": op4_toxicity,
-           "op5_simhash": op5_simhash, "op8_substring": op8_substring, "op9_mix": op9_mix,
-           "op10_pivots": op10_pivots}
+QUERIES = {f.__name__: f for f in (
+    op1_token_trie, op2_bpe, op3_line_runs, op4_toxicity, op5_simhash, op6_quality, op7_licenses, op8_substring, op9_mix,
+    op10_pivots)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

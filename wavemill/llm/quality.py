@@ -1,9 +1,11 @@
 """Quality rules under weak supervision.
 
-Rules look at a text's words, lines and signs and vote for good or bad, or abstain. Nobody says how far a rule
-is to be trusted: expectation-maximisation finds for each rule how often it votes good on good texts and bad on
-bad ones, and the share of good texts, from how the rules agree over all rows. It works on the counts of vote
-patterns, of which there are at most three to the power of the rules, and its result is a sum of log-odds a vote.
+Rules look at a text's words, lines and signs and vote for good or bad, or abstain. Some only ever vote bad: that
+a text shouts not is no sign that it is good, as there are many ways to be bad. Nobody says how far a rule is to
+be trusted: expectation-maximisation finds for each rule how often it votes good, votes bad and abstains on good
+texts and on bad ones, and the share of good texts, from how the rules agree over all rows. It works on the counts
+of vote patterns, of which there are at most three to the power of the rules, and its result is a sum of log-odds,
+one for each rule's vote.
 A text is kept if its posterior probability to be good reaches a threshold and it does not fail the base rules.
 
 Rows: NULL and empty texts have no words and fail the base rules; equal texts get equal verdicts; an empty table
@@ -42,16 +44,16 @@ _SHARES = ["upper", "with_letter", "stops", "distinct", "ended", "dup_lines", "l
 
 #: Rules: a measure, and what it has to reach or stay below to be good or bad; between the two a rule abstains.
 RULES: dict[str, tuple[str, str, str]] = {
-    "word_length": ("word_chars / n_words", "x between 3.5 and 7.2", "x < 2.5 or x > 9"),
-    "symbols": ("n_symbols / n_words", "x <= 0.02", "x > 0.1"),
-    "repeats": ("n_repeat_words / n_words", "x <= 0.1", "x > 0.3"),
-    "lines": ("dup_lines", "x <= 0.05", "x > 0.3"),
-    "upper_case": ("upper", "x <= 0.08", "x > 0.3"),
-    "letters": ("with_letter", "x >= 0.95", "x < 0.8"),
+    "word_length": ("word_chars / n_words", "x between 3.5 and 7", "x < 2.5 or x > 8"),
     "stopwords": ("stops", "x >= 0.08", "x < 0.03"),
     "vocabulary": ("distinct * sqrt(n_words)", "x >= 6", "x < 3"),
     "line_ends": ("ended", "x >= 0.5", "x < 0.1"),
-    "exclamation": ("loud", "x <= 0.05", "x > 0.3"),
+    "symbols": ("n_symbols / n_words", "false", "x > 0.1"),
+    "repeats": ("n_repeat_words / n_words", "false", "x > 0.45"),
+    "lines": ("dup_lines", "false", "x > 0.4"),
+    "upper_case": ("upper", "false", "x > 0.3"),
+    "letters": ("with_letter", "false", "x < 0.8"),
+    "exclamation": ("loud", "false", "x > 0.3"),
 }
 
 
@@ -66,8 +68,8 @@ def measures(text: str) -> tuple[list[int], list[float]]:
     chars = len(text) - sum(map(text.count, _SPACES))
     symbols = sum(map(text.count, _SYMBOLS))
     letters = len(raw) - len(raw.translate(None, _LETTERS))
-    spelt = raw.translate(None, _NO_LETTER).lower().split()
-    stops = sum(map(STOPWORDS.__contains__, spelt))
+    spelt = raw.translate(None, _NO_LETTER).split()
+    stops = sum(map(STOPWORDS.__contains__, raw.translate(None, b".,;:!?").lower().split()))
     ended = sum(1 for line in worded if _LINE_END.search(line[-8:]))
     of = max(1, n)
     shares = [(len(raw) - len(raw.translate(None, _UPPER))) / max(1, letters), len(spelt) / of, stops / of,
@@ -112,30 +114,29 @@ def vote(rule: str) -> Column:
     return F.expr(f"case when n_words = 0 then 0 when {good} then 1 when {bad} then -1 else 0 end")
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> tuple[float, list[dict[int, float]]]:
-    """Log-odds of good before any vote, and what each rule's votes add, from counted vote patterns.
+def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 500) -> tuple[float, list[dict[int, float]]]:
+    """Log-odds of good before any vote, and what each rule's vote (1, -1 or 0) adds, from counted vote patterns.
 
-    Texts start from the majority of votes. A rule is taken to be right more often than not, whichever it votes.
+    Texts start as good or bad by their votes, bad ones counting more. A vote for good never speaks for bad.
     """
     if not patterns:
         return 0.0, []
-    votes = np.array([p for p, _ in patterns], float).reshape(len(patterns), -1)
+    votes = np.array([p for p, _ in patterns], int).reshape(len(patterns), -1)
     n = np.array([c for _, c in patterns], float)
-    good = 1 / (1 + np.exp(-2 * votes.sum(axis=1)))
+    good = 1 / (1 + np.exp(-((votes == 1).sum(axis=1) - 3.0 * (votes == -1).sum(axis=1))))
+    sides = (1, 0, -1)
     for _ in range(rounds):
-        share = np.clip((n @ good + 1) / (n.sum() + 2), 1e-6, 1 - 1e-6)
-        right = {}
-        for side, weight in ((1, n * good), (-1, n * (1 - good))):
-            cast = weight @ (votes != 0)
-            right[side] = np.clip((weight @ (votes == side) + 1) / (cast + 2), 0.5, 1 - 1e-4)
-        gain = np.where(votes == 1, np.log(right[1] / (1 - right[-1])), 0) + np.where(
-            votes == -1, np.log((1 - right[1]) / right[-1]), 0)
-        before, good = good, 1 / (1 + np.exp(-np.clip(np.log(share / (1 - share)) + gain.sum(axis=1), -50, 50)))
+        share = np.clip((n @ good + 1) / (n.sum() + 2), 1e-9, 1 - 1e-9)
+        odds = {}
+        for v in sides:
+            a, b = (((weight @ (votes == v)) + 1) / (weight.sum() + 3) for weight in (n * good, n * (1 - good)))
+            odds[v] = np.log(a / b)
+        odds[1], odds[-1] = np.maximum(odds[1], 0), np.minimum(odds[-1], 0)
+        gain = sum(np.where(votes == v, odds[v], 0).sum(axis=1) for v in sides)
+        before, good = good, 1 / (1 + np.exp(-np.clip(np.log(share / (1 - share)) + gain, -50, 50)))
         if np.abs(good - before).max() < 1e-9:
             break
-    weights = [{1: float(np.log(a / (1 - b))), -1: float(np.log((1 - a) / b))}
-               for a, b in zip(right[1], right[-1], strict=True)]
-    return float(np.log(share / (1 - share))), weights
+    return float(np.log(share / (1 - share))), [{v: float(odds[v][r]) for v in sides} for r in range(votes.shape[1])]
 
 
 def judged(df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -147,7 +148,7 @@ def judged(df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFra
     prior, weights = estimate([(tuple(r[c] for c in names), r["count"]) for r in counted])
     odds = F.lit(prior)
     for name, w in zip(names, weights, strict=False):
-        odds = odds + F.when(F.col(name) == 1, w[1]).when(F.col(name) == -1, w[-1]).otherwise(0.0)
+        odds = odds + F.when(F.col(name) == 1, w[1]).when(F.col(name) == -1, w[-1]).otherwise(w[0])
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged_rows = voted.withColumn("base_failed", failed).withColumn("quality", 1 / (1 + F.exp(-odds)))
     return judged_rows.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold)).drop(*names, *_SHARES)

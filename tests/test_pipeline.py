@@ -167,6 +167,26 @@ def test_landing_skips_known_content_and_follows_reverts(spark, tmp_path):
     assert landing.new_files(known, known).count() == 0
 
 
+def test_files_of_one_name_in_two_folders_keep_their_own_content(spark, tmp_path):
+    for folder in "ab":
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.csv").write_text(folder * 10)
+    sources = spark.createDataFrame([(c, "data", f"{tmp_path}/{c}/x.csv") for c in "ab"],
+                                    "survey_cycle string, kind string, path string")
+    got = {r.survey_cycle: (r.sha256, r.file, r.bytes) for r in landing.fingerprints(spark, sources).collect()}
+    assert got == {c: (hashlib.sha256((c * 10).encode()).hexdigest(), "x.csv", 10) for c in "ab"}
+
+
+def test_nested_and_unclosed_elements_of_a_form(spark):
+    nested = ("<p>" * 3000 + "<table><tr class=entryRow><td class=fieldCell>f<td class=questionCell>q<td>"
+              "<table><tr><td>1<td>1<td>one<tr><td colspan=3><table><tr><td>2<td>5<td>five</table></table></table>")
+    df = spark.createDataFrame([("n", nested), ("e", ""), ("x", None)], "form string, html string")
+    row, = forms.parse_forms(df).collect()
+    assert (row.field, row.label) == ("f", "q")
+    assert [tuple(c) for c in row.choices].count(("5", "five")) == 1
+    assert ("1", "one") in [tuple(c) for c in row.choices]
+
+
 def test_sinks(spark, tmp_path):
     df = spark.range(3)
     path = str(tmp_path / "once")
@@ -195,9 +215,12 @@ def test_sinks(spark, tmp_path):
 def test_bronze_is_text_with_lineage_and_written_once(spark, data, built):
     lake, _ = built
     paths = warehouse.build_bronze(lake)
-    before = {p: os.stat(f"{p}/_SUCCESS").st_mtime_ns for p in paths.values()}
+    stored = {p: sorted(map(tuple, spark.read.parquet(p).select("_row_hash", "_ingested_at").collect()), key=str)
+              for p in paths.values()}
     assert warehouse.build_bronze(lake) == paths
-    assert before == {p: os.stat(f"{p}/_SUCCESS").st_mtime_ns for p in paths.values()}
+    for path, rows_before in stored.items():
+        again = spark.read.parquet(path).select("_row_hash", "_ingested_at").collect()
+        assert sorted(map(tuple, again), key=str) == rows_before
     for code, path in paths.items():
         df = spark.read.parquet(path)
         assert {"_survey_cycle", "_source_file", "_source_sha256", "_source_row", "_row_hash",
@@ -259,6 +282,12 @@ def test_gold(built):
     tables = {name: lake.table("gold", name) for name in warehouse.REQUIRED}
     assert warehouse.missing_tables(tables) == set() and warehouse.missing_tables({}) == set(warehouse.REQUIRED)
     assert warehouse.row_counts(tables)["fct_survey_submissions"] == 11
+    stored = lake.table("silver", "submission")
+    operations = lake.table("gold", "rpt_field_operations")
+    counted = quality.operations_reconciliation(lake.table("silver", "typed"), stored, operations).collect()
+    assert len(counted) == 3 and all(r.unaccounted == 0 for r in counted)
+    for view in ("stg_all_submissions", "rpt_field_operations_cycle", "rpt_program_cycle"):
+        assert lake.spark.sql(f"SELECT count(*) FROM {view}").first()[0] > 0
     runs = lake.table("gold", "ops_pipeline_runs").collect()
     assert {(r.task, r.status) for r in runs} == {
         (t, "success") for t in ("raw", "bronze", "catalog", "silver", "warehouse", "quality")}

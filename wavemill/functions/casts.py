@@ -29,8 +29,8 @@ def whole(d: Column) -> Column:
 
 
 def to_integral(c: Column) -> Column:
-    """``3`` and ``3.0`` are 3; ``3.5`` is NULL."""
-    return whole(to_double(c))
+    """``3`` and ``3.0`` are 3; ``3.5`` is NULL. Plain digits keep all of theirs, also beyond 2^53."""
+    return F.coalesce(F.regexp_replace(c, r"\.0*$", "").try_cast("bigint"), whole(to_double(c)))
 
 
 def drop_point_zero(c: Column) -> Column:
@@ -38,9 +38,11 @@ def drop_point_zero(c: Column) -> Column:
 
 
 def cast_variable(c: Column, canonical_name: str, dtype: str, formats: Sequence[str]) -> Column:
-    """One stripped export column as its contract type; integers still as doubles."""
+    """One stripped export column as its contract type."""
     if dtype == "timestamp":
         return parse_timestamps(c, formats)
-    if dtype in ("float", "int"):
+    if dtype == "int":
+        return to_integral(c)
+    if dtype == "float":
         return to_double(c)
     return drop_point_zero(c) if canonical_name == "form_version" else c

@@ -4,27 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_label
-from .sizing import fits
-
-# Choice lists come from form definitions. Up to this many entries travel as maps.
-MAX_BROADCAST_CHOICES = 20_000
-_SALTS = 64
 
 
 def choice_conformed(choices: DataFrame, label_map: DataFrame) -> DataFrame:
     """``choices`` (survey_cycle, field, code, label) with the conformed label beside the raw one.
 
-    A label map too long to broadcast is joined by shuffle; it is unique per
-    (field, raw label), so adaptive execution can split a label that is frequent.
+    The label map is unique per (field, raw label): Spark broadcasts a short one and splits a frequent
+    label's rows where it shuffles.
     """
     cleaned = choices.withColumn("raw_clean", clean_label(F.col("label")))
     mapping = label_map.select("field", F.col("raw_label").alias("raw_clean"), "conformed_label")
-    if fits(mapping, MAX_BROADCAST_CHOICES):
-        mapping = F.broadcast(mapping)
     return (cleaned.join(mapping, ["field", "raw_clean"], "left")
             .select("survey_cycle", "field", "code", F.col("label").alias("raw_label"),
                     F.coalesce("conformed_label", "raw_clean").alias("label")))
@@ -33,52 +26,27 @@ def choice_conformed(choices: DataFrame, label_map: DataFrame) -> DataFrame:
 def decode_table(conformed: DataFrame, cycles: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(survey_cycle, field, code, label): the lists each cycle decodes with, smallest label first.
 
-    ``cycles`` names for every cycle the one whose lists apply (``choices_from``).
+    Entries without a code or a label decode nothing. ``cycles`` names for every cycle the one whose lists apply (``choices_from``).
     """
-    lists = (conformed.where(F.col("field").isin(list(fields)) & F.col("label").isNotNull())
+    lists = (conformed.where(F.col("field").isin(list(fields)) & F.col("label").isNotNull()
+                             & F.col("code").isNotNull())
              .groupBy(F.col("survey_cycle").alias("choices_from"), "field", "code")
              .agg(F.min("label").alias("label")))
     return (cycles.select("survey_cycle", "choices_from").join(lists, "choices_from")
             .select("survey_cycle", "field", "code", "label"))
 
 
-def _salt(expr: Column) -> Column:
-    return F.pmod(F.xxhash64(expr), F.lit(_SALTS))
-
-
-def decode(df: DataFrame, table: DataFrame, wanted: Sequence[tuple[str, str, str, str | None]],
-           max_entries: int = MAX_BROADCAST_CHOICES) -> DataFrame:
+def decode(df: DataFrame, table: DataFrame, wanted: Sequence[tuple[str, str, str, str | None]]) -> DataFrame:
     """Add label columns to ``df``; ``wanted`` is (field, code column, label column, default).
 
-    A table of at most ``max_entries`` entries becomes one row of maps per
-    cycle, broadcast once whatever the number of fields. A larger one is
-    joined per field on (cycle, code), with both sides salted because a
-    cycle's most common answer can cover most rows.
+    Each field is a left join on (cycle, code) with its part of the list, which has one label a code. Whether
+    a list is broadcast, or a cycle's commonest answer split, is left to Spark.
     """
-    if fits(table, max_entries):
-        maps = (table.groupBy("survey_cycle").agg(*[
-            F.map_from_entries(F.collect_list(
-                F.when(F.col("field") == field, F.struct("code", "label")))).alias(f"_{out}")
-            for field, _, out, _ in wanted]))
-        joined = df.join(F.broadcast(maps), "survey_cycle", "left")
-        labels = {out: F.try_element_at(F.col(f"_{out}"), F.col(code).cast("string"))
-                  for _, code, out, _ in wanted}
-    else:
-        joined, labels = df, {}
-        spread = F.struct(*df.columns)
-        for field, code, out, _ in wanted:
-            lookup = (table.where(F.col("field") == field)
-                      .select("survey_cycle", F.col("code").alias("_code"),
-                              F.col("label").alias(f"_{out}"),
-                              F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                   F.lit(_SALTS - 1).cast("bigint")))
-                              .alias("_salt")))
-            joined = (joined.withColumns({"_code": F.col(code).cast("string"),
-                                          "_salt": _salt(spread)})
-                      .join(lookup, ["survey_cycle", "_code", "_salt"], "left")
-                      .drop("_code", "_salt"))
-            labels[out] = F.col(f"_{out}")
-    joined = joined.withColumns({
-        out: F.coalesce(labels[out], F.lit(default)) if default else labels[out]
-        for _, _, out, default in wanted})
-    return joined.drop(*[f"_{out}" for _, _, out, _ in wanted])
+    known = table.where(F.col("code").isNotNull())
+    for field, code, out, default in wanted:
+        lookup = known.where(F.col("field") == field).select(
+            F.col("survey_cycle").alias("_cycle"), F.col("code").alias("_code"), F.col("label").alias(f"_{out}"))
+        same = (F.col("survey_cycle") == F.col("_cycle")) & (F.col(code).cast("string") == F.col("_code"))
+        label = F.coalesce(f"_{out}", F.lit(default)) if default else F.col(f"_{out}")
+        df = df.join(lookup, same, "left").withColumn(out, label).drop("_cycle", "_code", f"_{out}")
+    return df

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SPARK_TYPES, Cycle
 from ..functions import derive
-from ..functions.casts import cast_variable, whole
+from ..functions.casts import cast_variable
 from ..functions.text import normalize_household_id, strip_whitespace
 
 LINEAGE = ("_source_row", "_row_hash", "_ingested_at")
@@ -26,7 +26,7 @@ def load_variable_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def check_variable_map(vm: DataFrame) -> DataFrame:
-    doubled = vm.groupBy("canonical_name").count().where("count > 1").limit(5).collect()
+    doubled = vm.groupBy("canonical_name").count().where("count > 1").collect()
     if doubled:
         raise ValueError(f"variable map repeats {[r.canonical_name for r in doubled]}")
     return vm
@@ -37,6 +37,42 @@ def contract_rows(vm: DataFrame, cycle: str) -> list[tuple[str, str, str | None]
     return [(r["canonical_name"], r["dtype"], r[cycle] or None) for r in vm.collect()]
 
 
+def harmonize_together(rows: DataFrame, contracts: Mapping[str, list[tuple[str, str, str | None]]],
+                       cycles: Sequence[Cycle], lineage: Mapping[str, str]) -> DataFrame:
+    """The rows of several cycles in one relation, in one pass: headers and formats are chosen by ``survey_cycle``.
+
+    ``contracts`` has each cycle's contract, all with the same names in the same order.
+    """
+    here = F.col("survey_cycle")
+
+    def by_cycle(values: Sequence[Column], null: Column) -> Column:
+        out = null
+        for cycle, value in zip(cycles, values, strict=True):
+            out = F.when(here == cycle.code, value).otherwise(out)
+        return out
+
+    names = [(name, dtype) for name, dtype, _ in contracts[cycles[0].code]]
+    sources = {name: [dict((n, s) for n, _, s in contracts[c.code])[name] for c in cycles] for name, _ in names}
+    absent = {s for found in sources.values() for s in found if s} - set(rows.columns)
+    if absent:
+        raise KeyError(f"mapped source columns not found: {sorted(absent)}")
+
+    def picked(found: Sequence[str | None]) -> Column:
+        text = F.lit(None).cast("string")
+        if len(set(found)) == 1:
+            return F.col(quoted(found[0])) if found[0] else text
+        return by_cycle([F.col(quoted(s)) if s else text for s in found], text)
+
+    kept = [F.col(quoted(c)).alias(out) for c, out in lineage.items()]
+    order = F.lit(None).cast("int")
+    stripped = rows.select("survey_cycle", *kept, *[strip_whitespace(picked(sources[n])).alias(n) for n, _ in names])
+    typed = stripped.select(
+        "survey_cycle", by_cycle([F.lit(c.order) for c in cycles], order).alias("cycle_order"), *lineage.values(),
+        *[(by_cycle([cast_variable(F.col(n), n, d, c.formats) for c in cycles], F.lit(None).cast(SPARK_TYPES[d]))
+           if d == "timestamp" else cast_variable(F.col(n), n, d, ())).alias(n) for n, d in names])
+    return _derived(typed)
+
+
 def harmonize(bronze: DataFrame, contract: list[tuple[str, str, str | None]],
               cycle: Cycle, lineage: Mapping[str, str] | None = None) -> DataFrame:
     """Pick, strip, cast and rename; only mapped columns are read.
@@ -61,9 +97,12 @@ def harmonize(bronze: DataFrame, contract: list[tuple[str, str, str | None]],
     typed = parsed.select(
         F.lit(cycle.code).alias("survey_cycle"), F.lit(cycle.order).alias("cycle_order"),
         *lineage.values(),
-        *[(F.lit(None).cast(SPARK_TYPES[dtype]) if not src
-           else whole(F.col(name)) if dtype == "int" else F.col(name)).alias(name)
+        *[(F.col(name) if src else F.lit(None).cast(SPARK_TYPES[dtype])).alias(name)
           for name, dtype, src in contract])
+    return _derived(typed)
+
+
+def _derived(typed: DataFrame) -> DataFrame:
     return typed.withColumns({
         "interview_minutes": derive.minutes_between(F.col("started_at"), F.col("ended_at")),
         "household_id_raw": F.col("household_id"),

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_label, match_key
-from .skew import lookup_join
 
 
 def load_choices(forms: DataFrame, cycles: DataFrame) -> DataFrame:
@@ -56,6 +55,8 @@ def label_review(choices: DataFrame, conform: DataFrame, fields: Sequence[str] |
     """
     if fields is not None:
         choices = choices.where(F.col("field").isin(list(fields)))
+    # Equal answers are merged first, so a popular label is one row a code.
+    choices = choices.groupBy("survey_cycle", "field", "code", "label").agg(F.min("position").alias("position"))
     final = (choices.join(conform.select("field", F.col("raw_label").alias("label"),
                                          "conformed_label"), ["field", "label"], "left")
              .withColumn("final", F.coalesce("conformed_label", "label")))
@@ -70,4 +71,4 @@ def label_review(choices: DataFrame, conform: DataFrame, fields: Sequence[str] |
 def distinct_labels_per_code(choices: DataFrame) -> DataFrame:
     """Every choice row with the number of different labels its (field, code) has."""
     counts = choices.groupBy("field", "code").agg(F.count_distinct("label").alias("n_labels"))
-    return lookup_join(choices, counts, ["field", "code"])
+    return choices.join(counts, ["field", "code"])

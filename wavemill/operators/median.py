@@ -6,7 +6,9 @@ over a bounded number of cells: cells of 1/16 octave first, then the chosen
 cell is cut into 65,536 equal parts twice. A part left after that is narrower
 than about 1e-11 of the value, so it holds at most some 50,000 distinct
 doubles however many rows there are; those few are ranked directly. Only
-counts of distinct values travel, and every step is exact.
+counts of distinct values travel, and every step is exact. All steps start
+from the same counts, whose shuffle Spark runs once. There is one way at every
+size; a group that owns most values is split by Spark where it is joined.
 """
 
 from __future__ import annotations
@@ -16,11 +18,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import SMALL_INPUT_BYTES, materialize, is_small
 from .skew import join_null_safe
 
 _PARTS = 65_535
-_SALTS = 16
 
 
 def _octave_cell(v: Column) -> Column:
@@ -65,33 +65,23 @@ def _narrow(counts: DataFrame, carry: Sequence[str]) -> DataFrame:
 
 
 def _inside(counts: DataFrame, cells: DataFrame) -> DataFrame:
-    """The value counts that lie in their group's open cell; groups are salted by value."""
-    salted = counts.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(_SALTS)))
-    cells = (cells.where(F.col("_answer").isNull()).drop("_answer")
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                       F.lit(_SALTS - 1).cast("bigint")))))
-    return (salted.join(cells, ["_g", "_salt"])
-            .where(F.col("_v").between(F.col("_lo"), F.col("_hi"))).drop("_salt"))
+    """The value counts that lie in their group's open cell."""
+    cells = cells.where(F.col("_answer").isNull()).drop("_answer")
+    return counts.join(cells, "_g").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,
-                 weight: str | None = None, small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+                 weight: str | None = None) -> DataFrame:
     """``keys`` (NULL is a group of its own) and the median of the non-NULL ``value``.
 
     ``weight`` is the number of times a row counts. Groups without a value are
-    absent. When all input together is at most ``small_bytes`` no group can be
-    large and the built-in ``percentile`` does; beyond that the histograms do.
+    absent.
     """
     n = F.sum(weight) if weight else F.count("*")
     present = df.where(F.col(value).isNotNull())
-    if is_small(df, small_bytes):
-        frequency = F.col(weight).cast("bigint") if weight else F.lit(1)
-        return present.groupBy(*keys).agg(
-            F.percentile(F.col(value).cast("double"), 0.5, frequency).alias(out))
     # One struct as key keeps NULL keys equal to themselves in the joins below.
-    counts = materialize(
-        present.groupBy(F.struct(*keys).alias("_g"), F.col(value).cast("double").alias("_v"))
-        .agg(n.alias("_n")))
+    counts = (present.groupBy(F.struct(*keys).alias("_g"), F.col(value).cast("double").alias("_v"))
+              .agg(n.alias("_n")))
     level = _narrow(counts.withColumn("_cell", _octave_cell(F.col("_v"))), [])
     answers, members = level, counts
     for _ in range(2):
@@ -107,16 +97,6 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,
 
 
 def aggregate_with_median(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], value: str,
-                          out: str, weight: str | None = None,
-                          small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """``groupBy(keys).agg(aggs)`` with the exact median of ``value`` beside it.
-
-    Small input takes one aggregate; large input joins the two results, one
-    row per group each.
-    """
-    if is_small(df, small_bytes):
-        frequency = F.col(weight).cast("bigint") if weight else F.lit(1)
-        median = F.percentile(F.col(value).cast("double"), 0.5, frequency)
-        return df.groupBy(*keys).agg(*aggs, median.alias(out))
-    return join_null_safe(df.groupBy(*keys).agg(*aggs),
-                          exact_median(df, keys, value, out, weight, small_bytes), keys)
+                          out: str, weight: str | None = None) -> DataFrame:
+    """``groupBy(keys).agg(aggs)`` with the exact median of ``value`` beside it, one row a group each."""
+    return join_null_safe(df.groupBy(*keys).agg(*aggs), exact_median(df, keys, value, out, weight), keys)

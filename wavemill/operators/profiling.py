@@ -38,11 +38,10 @@ def shared_columns(presence: DataFrame, cycles: Sequence[str]) -> DataFrame:
     return presence.agg(F.count_if(everywhere).alias("shared_by_all"))
 
 
-def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence[str]) -> DataFrame:
-    """Counts of ``rows`` x ``columns``; the given values become columns, no job looks them up."""
+def crosstab(df: DataFrame, rows: str, columns: str) -> DataFrame:
+    """Counts of ``rows`` x ``columns``: a row for each pair that occurs."""
     known = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
-    counts = known.groupBy(rows).pivot(columns, list(values)).count()
-    return counts.fillna(0, list(values))
+    return known.groupBy(rows, columns).agg(F.count("*").alias("n"))
 
 
 def sample_values(df: DataFrame, column: str, k: int = 3, seed: int = 1) -> DataFrame:

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import SMALL_INPUT_BYTES, is_small
-
 # A key with more rows than this is spread over several join tasks.
 HOT_ROWS = 1_000_000
 
@@ -44,18 +42,3 @@ def sized_lookup(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], size:
                                                               F.col(n) - 1)))
               .drop(n))
     return rows.join(lookup, [*keys, "_salt"]).drop("_salt")
-
-
-def lookup_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str],
-                small_bytes: int = SMALL_INPUT_BYTES, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Inner join with a lookup that is unique per key, whatever share of the rows one key has.
-
-    Small input is joined as it stands. Otherwise the rows per key are counted
-    first, a map-side combined aggregate of the key alone, and hot keys are salted.
-    """
-    if is_small(rows, small_bytes):
-        return rows.join(lookup, list(keys))
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_size"))
-    sized = lookup.join(sizes, list(keys))
-    spread = F.struct(*rows.columns)
-    return sized_lookup(rows, sized, keys, "_size", spread, hot_rows).drop("_size")

@@ -7,21 +7,19 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import derive
-from ..operators.decode import MAX_BROADCAST_CHOICES, choice_conformed, decode, decode_table
-from ..operators.sizing import compact
+from ..operators.decode import choice_conformed, decode, decode_table
 
 
 def conformed_lists(choices: DataFrame, label_map: DataFrame, cycles: DataFrame) -> DataFrame:
     """The decode table for all coded fields, the district code included."""
     fields = [f for f, *_ in config.DECODED_FIELDS] + [config.DISTRICT_FIELD]
-    table = decode_table(choice_conformed(choices, label_map), cycles, fields)
-    return compact(table, MAX_BROADCAST_CHOICES)
+    return decode_table(choice_conformed(choices, label_map), cycles, fields)
 
 
 def fct_survey_submissions(kept: DataFrame, lists: DataFrame,
                            ultra_poor: float = config.ULTRA_POOR_USD_DAY,
                            target: float = config.TARGET_USD_DAY) -> DataFrame:
-    """``lists`` is the decode table. No shuffle: label maps are broadcast once."""
+    """``lists`` is the decode table."""
     df = decode(kept, lists, config.DECODED_FIELDS)
     c = F.col
     per_day = c("hhip_usd_day")

@@ -208,7 +208,7 @@ def source_checks(bronze: DataFrame, headers: DataFrame,
              .select(F.concat(c("survey_cycle"),
                               F.lit(": duplicate headers in export (numbered suffix)")).alias("check"),
                      F.lit("info").alias("severity"), "failed", "total",
-                     F.array_join(F.slice(c("found.header"), 1, 6), ", ").alias("detail")))
+                     F.array_join(c("found.header"), ", ").alias("detail")))
     return basic.unionByName(codes).unionByName(names)
 
 
@@ -245,6 +245,18 @@ def row_reconciliation(bronze: DataFrame, tagged: DataFrame) -> DataFrame:
                     .alias("unaccounted")))
 
 
+def operations_reconciliation(bronze: DataFrame, tagged: DataFrame, operations: DataFrame) -> DataFrame:
+    """Per cycle: submissions that the field report counts plus blank lines, against the rows that came in."""
+    before = bronze.groupBy("survey_cycle").agg(F.count("*").alias("bronze_rows"))
+    blank = tagged.groupBy("survey_cycle").agg(
+        F.count_if(F.col("reject_reason") == "empty_row").alias("empty_rows"))
+    counted = operations.groupBy("survey_cycle").agg(F.sum("submissions_raw").alias("reported"))
+    return (before.join(blank, "survey_cycle", "left").join(counted, "survey_cycle", "left")
+            .select("survey_cycle", "bronze_rows", F.coalesce("empty_rows", F.lit(0)).alias("empty_rows"),
+                    F.coalesce("reported", F.lit(0)).alias("reported"))
+            .withColumn("unaccounted", F.col("bronze_rows") - F.col("empty_rows") - F.col("reported")))
+
+
 def cycle_counts(by_cycle: DataFrame) -> DataFrame:
     return by_cycle.select(
         "survey_cycle", "submissions_raw", "submissions_deduplicated", "submissions_superseded",

@@ -111,17 +111,20 @@ def rates_long(by_cycle: DataFrame) -> DataFrame:
             .dropna(subset=["rate"]))
 
 
-def rate_pivot(summary: DataFrame, periods: Sequence[str] | None = None) -> DataFrame:
-    """Mean completion and consent rate per district, one column per cycle and month.
-
-    Without ``periods`` ('<cycle> <month>') a job looks up which occur.
-    """
-    df = summary.withColumn("period", F.concat_ws(" ", "survey_cycle", "year_month"))
-    return (df.groupBy("district").pivot("period", list(periods) if periods else None)
+def district_rates(summary: DataFrame) -> DataFrame:
+    """Mean completion and consent rate per district, cycle and month: a row for each that occurs."""
+    return (summary.groupBy("district", "survey_cycle", "year_month")
             .agg(F.round(F.avg("completion_rate"), 3).alias("completion_rate"),
                  F.round(F.avg("consent_rate"), 3).alias("consent_rate")))
 
 
+def rate_pivot(summary: DataFrame, periods: Sequence[str] | None = None) -> DataFrame:
+    """The same with a column for each cycle and month, in the order given or, from a job, as they occur."""
+    long = district_rates(summary).withColumn("period", F.concat_ws(" ", "survey_cycle", "year_month"))
+    return (long.groupBy("district").pivot("period", list(periods) if periods else None)
+            .agg(F.first("completion_rate").alias("completion_rate"), F.first("consent_rate").alias("consent_rate")))
+
+
 def coverage_with_labels(coverage: DataFrame,
                          cycles: Sequence[config.Cycle] = config.CYCLES) -> DataFrame:
     pattern = F.col("cycle_pattern")
@@ -148,5 +151,5 @@ def dq_counters(results: DataFrame) -> DataFrame:
 
 
 def recent_runs(runs: DataFrame, order: str = "logged_at", k: int = 20) -> DataFrame:
-    """The latest runs: a per-partition top-k, then a merge of k rows each."""
-    return runs.orderBy(F.desc(order)).limit(k)
+    """The latest runs, ties by all other columns: a per-partition top-k, then a merge of k rows each."""
+    return runs.orderBy(F.desc(order), *[c for c in runs.columns if c != order]).limit(k)

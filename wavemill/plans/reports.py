@@ -14,8 +14,6 @@ from ..functions import derive
 from ..functions.text import title_case
 from ..operators.dedupe import REJECTED, SUPERSEDED
 from ..operators.median import aggregate_with_median
-from ..operators.sizing import SMALL_INPUT_BYTES
-from ..operators.skew import lookup_join
 
 CYCLE_KEYS = ("survey_cycle", "cycle_order")
 
@@ -44,7 +42,7 @@ def rpt_field_operations(submissions: DataFrame) -> DataFrame:
 
 
 def rpt_field_operations_cycle(operations: DataFrame, kept: DataFrame, submissions: DataFrame,
-                               availability: DataFrame, small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+                               availability: DataFrame) -> DataFrame:
     """Headline rates per cycle.
 
     ``availability``: survey_cycle, canonical_name, available. Where GPS was
@@ -60,7 +58,7 @@ def rpt_field_operations_cycle(operations: DataFrame, kept: DataFrame, submissio
         kept, ["survey_cycle"],
         [F.count("*").alias("households"),
          F.count_if(F.col("household_submissions") > 1).alias("households_with_duplicates")],
-        "interview_duration_sec", "median_sec", small_bytes=small_bytes)
+        "interview_duration_sec", "median_sec")
     collected = (availability.where(F.col("canonical_name") == "gps_lat")
                  .groupBy("survey_cycle").agg(F.bool_or("available").alias("collected")))
     gps = (submissions.groupBy("survey_cycle")
@@ -85,16 +83,14 @@ def _share(hits: str, answers: str):
     return derive.ratio(F.sum(hits), F.sum(answers))
 
 
-def rpt_program_summary(fact: DataFrame, geography: DataFrame, time: DataFrame,
-                        small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+def rpt_program_summary(fact: DataFrame, geography: DataFrame, time: DataFrame) -> DataFrame:
     """cycle x region x district x month of deduplicated households.
 
     Households without a place or a calendar day match no dimension row and
     are not counted here.
     """
     c = F.col
-    # At most one entry per day of the calendar: a few thousand, bounded by the years.
-    months = F.broadcast(time.select("date_key", "year_month"))
+    months = time.select("date_key", "year_month")
     consented = c("is_consented")
     by_place = (fact.select(*CYCLE_KEYS, "geo_key", "date_key", "is_completed", "is_consented",
                             F.when(consented, c("hhip_usd_day")).alias("hhip"),
@@ -105,14 +101,14 @@ def rpt_program_summary(fact: DataFrame, geography: DataFrame, time: DataFrame,
                      F.count_if(c("is_consented")).alias("agreed"), F.count_if(c("meets")).alias("met"),
                      F.count("meets").alias("answered")))
     places = geography.select("geo_key", "region_name", "district")
-    located = lookup_join(by_place, places, ["geo_key"], small_bytes)
+    located = by_place.join(places, "geo_key")
     keys = [*CYCLE_KEYS, "region_name", "district", "year_month"]
     totals = aggregate_with_median(
         located, keys,
         [F.sum("n").alias("households_attempted"), F.sum("done").alias("households_completed"),
          F.sum("agreed").alias("households_consented"),
          _share("met", "answered").alias("share_meeting_target")],
-        "hhip", "median_hhip_usd_day", "agreed", small_bytes)
+        "hhip", "median_hhip_usd_day", "agreed")
     return totals.select(
         *keys, "households_attempted", "households_completed", "households_consented",
         (c("households_completed") / c("households_attempted")).alias("completion_rate"),
@@ -154,8 +150,7 @@ def rpt_cohort_coverage(households: DataFrame) -> DataFrame:
             .orderBy(F.desc("n_cycles"), F.desc("households")))
 
 
-def rpt_panel_poverty(fact: DataFrame, households: DataFrame, geography: DataFrame,
-                      small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+def rpt_panel_poverty(fact: DataFrame, households: DataFrame, geography: DataFrame) -> DataFrame:
     """Poverty of the same households in every cycle."""
     c = F.col
     panel = households.where("in_balanced_panel").select("household_id")
@@ -165,13 +160,12 @@ def rpt_panel_poverty(fact: DataFrame, households: DataFrame, geography: DataFra
                      F.count("meets_target").alias("answered"),
                      F.count_if(c("is_ultra_poor")).alias("poor"),
                      F.count("is_ultra_poor").alias("graded")))
-    located = lookup_join(by_place, geography.select("geo_key", "district"), ["geo_key"],
-                          small_bytes)
+    located = by_place.join(geography.select("geo_key", "district"), "geo_key")
     keys = [*CYCLE_KEYS, "district"]
     shares = [F.sum("n").alias("households"),
               _share("met", "answered").alias("share_meeting_target"),
               _share("poor", "graded").alias("share_ultra_poor")]
     return (aggregate_with_median(located, keys, shares, "hhip_usd_day", "median_hhip_usd_day",
-                                  "n", small_bytes)
+                                  "n")
             .select(*keys, "households", "median_hhip_usd_day", "share_meeting_target",
                     "share_ultra_poor"))

@@ -139,6 +139,10 @@ def build_gold(lake: Lake, kept: DataFrame, quarantine: DataFrame, label_map: Da
     put("rpt_program_demographics", reports.rpt_program_demographics(fact, places))
     put("rpt_cohort_coverage", reports.rpt_cohort_coverage(households))
     put("rpt_panel_poverty", reports.rpt_panel_poverty(fact, households, places))
+    # What SQL users ask by name besides the tables.
+    sinks.register_view(submissions, "stg_all_submissions")
+    sinks.register_view(gold["rpt_field_operations_cycle"], "rpt_field_operations_cycle")
+    sinks.register_view(gold["rpt_program_cycle"], "rpt_program_cycle")
     return gold
 
 
@@ -191,7 +195,7 @@ def build_all(lake: Lake, folder: str, vm: DataFrame, label_map: DataFrame,
         try:
             return work()
         except Exception as error:
-            status, output = "failed", repr(error)[:500]
+            status, output = "failed", repr(error)
             raise
         finally:
             history.append((run, name, status, 1, round(time.time() - start, 2), output))

@@ -12,17 +12,11 @@ from .. import config
 from ..functions import casts, derive, text
 from ..operators import catalog, dedupe, decode, harmonize, labels, profiling
 from ..operators.median import exact_median
-from ..operators.sizing import materialize
 from ..plans import dims, facts, quality, reads, reports
 from ..sources import adapter, forms
 
 CODES = [c.code for c in config.CYCLES]
 
-# Every month the order tables can hold, with the cycle it falls in.
-PERIODS = [f"{'baseline' if y <= 1996 else 'year1' if y <= 1998 else 'year2'} {y}-{m:02d}"
-           for y in range(1992, 2003) for m in range(1, 13)]
-NATIONS = [f"NATION_{i}" for i in range(25)]
-
 # Text values that must and must not pass as numbers; {k} is the order key.
 NUMBER_TEXT = ("CASE o_orderkey % 9 WHEN 0 THEN CAST(o_orderkey AS STRING) "
                "WHEN 1 THEN concat(o_orderkey, '.0') WHEN 2 THEN concat(o_orderkey, '.5') "
@@ -47,8 +41,8 @@ FORM_FIELDS = (
 class Survey:
     """Relations of the survey over one folder, built on first use."""
 
-    def __init__(self, spark: SparkSession, folder: str, write_silver: bool = False):
-        self.spark, self.folder, self.write_silver = spark, folder, write_silver
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
         return adapter.table(self.spark, self.folder, name)
@@ -67,8 +61,7 @@ class Survey:
 
     @cached_property
     def kept(self) -> DataFrame:
-        kept = adapter.kept(self.spark, self.folder)
-        return materialize(kept) if self.write_silver else kept
+        return adapter.kept(self.spark, self.folder)
 
     @cached_property
     def all(self) -> DataFrame:
@@ -200,8 +193,11 @@ class Survey:
         spelled = (F.when(F.col("survey_cycle") == "year1", F.upper(v))
                     .when(F.col("survey_cycle") == "baseline", F.regexp_replace(v, " ", ""))
                     .otherwise(v))
-        headers = self.collected.select("survey_cycle", spelled.alias("header"),
-                                        F.lit(0).alias("position"))
+        # The second spelling of a header comes earlier or later in the export, as its length has it.
+        headers = self.collected.select("survey_cycle", F.explode(F.array(
+            F.struct(spelled.alias("header"), F.lit(1).alias("position")),
+            F.struct(F.concat(F.lit("_"), spelled).alias("header"), (F.length(v) % 3).alias("position")))).alias("h")
+            ).select("survey_cycle", "h.header", "h.position")
         return catalog.resolve_variables(config.variable_spec_frame(self.spark), headers, CODES)
 
     @cached_property
@@ -253,11 +249,11 @@ class Survey:
     @cached_property
     def bronze(self) -> DataFrame:
         own = self.export_columns
-        # Rows of one household are made equal here, so that identical rows occur.
-        same = [F.col(harmonize.quoted(c)) for c in ("hhid_2", "hh_size", "pre_village", "Quartile")]
-        return self.exports.select(
+        # Every seventh row is exported twice, so that identical rows occur.
+        twice = F.explode(F.when(F.col("_source_row") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+        return self.exports.withColumn("_copy", twice).select(
             "survey_cycle", "_source_row", *[F.col(harmonize.quoted(c)) for c in own],
-            derive.row_hash(same).alias("_row_hash"))
+            derive.row_hash([F.col(harmonize.quoted(c)) for c in own]).alias("_row_hash"))
 
     @cached_property
     def checks(self) -> DataFrame:
@@ -305,14 +301,11 @@ def _normalize_ids(s: Survey) -> DataFrame:
 
 
 def _harmonize(s: Survey) -> DataFrame:
-    out = None
-    for cycle in config.CYCLES:
-        contract = [(n, d, None if n in ("cohort", "gps_lat", "gps_lon", "cluster")
-                     and cycle.code == "year1" else h[0]) for n, d, h in config.VARIABLE_SPEC]
-        part = harmonize.harmonize(s.exports.where(F.col("survey_cycle") == cycle.code), contract,
-                                   cycle, {"_source_row": "source_row"})
-        out = part if out is None else out.unionByName(part)
-    return out.drop("household_id_raw")
+    off = ("cohort", "gps_lat", "gps_lon", "cluster")  # what the second cycle did not collect
+    contracts = {c.code: [(n, d, None if n in off and c.code == "year1" else h[0]) for n, d, h in config.VARIABLE_SPEC]
+                 for c in config.CYCLES}
+    return harmonize.harmonize_together(s.exports, contracts, config.CYCLES,
+                                        {"_source_row": "source_row"}).drop("household_id_raw")
 
 
 def _title_case(s: Survey) -> DataFrame:
@@ -357,6 +350,7 @@ QUERIES: dict[str, Callable[[Survey], DataFrame]] = {
                                                      "household_submissions"),
     "all_submissions": lambda s: s.all,
     "row_reconciliation": lambda s: quality.row_reconciliation(s.submissions, s.tagged),
+    "operations_reconciliation": lambda s: quality.operations_reconciliation(s.submissions, s.tagged, s.operations),
     "quarantine_summary": lambda s: dedupe.quarantine_summary(dedupe.split(s.tagged)[1]),
     "panel_overlap": lambda s: profiling.panel_overlap(
         s.submissions.select("survey_cycle", F.col("household_id_raw").alias("raw"),
@@ -365,7 +359,7 @@ QUERIES: dict[str, Callable[[Survey], DataFrame]] = {
     "profile_ids": lambda s: profiling.profile_ids(s.submissions, "household_id_raw"),
     "district_crosstab": lambda s: profiling.crosstab(
         s.submissions.withColumn("district", F.upper(F.trim("district"))),
-        "district_code", "district", NATIONS),
+        "district_code", "district"),
     # dimensions, decoding, fact
     "dim_survey_cycle": lambda s: dims.dim_survey_cycle(s.cycles, s.dated),
     "dim_time": lambda s: s.time,
@@ -389,7 +383,7 @@ QUERIES: dict[str, Callable[[Survey], DataFrame]] = {
     "rpt_panel_poverty": lambda s: _rounded(s.panel, "median_hhip_usd_day"),
     "income_median": lambda s: _rounded(exact_median(
         s.submissions, ["survey_cycle", "interview_status"], "hh_income_usd_year",
-        "median_income", small_bytes=0), "median_income"),
+        "median_income"), "median_income"),
     # reads of the reports
     "filtered_field_ops": lambda s: reads.filtered(
         s.operations, ["baseline", "year2"], ["Nation_1", "Nation_2", "Nation_20"], True),
@@ -400,7 +394,7 @@ QUERIES: dict[str, Callable[[Survey], DataFrame]] = {
     "demographic_share": lambda s: reads.demographic_share(s.demographics),
     "dedup_stages": lambda s: reads.dedup_stages(s.operations_cycle),
     "rates_long": lambda s: reads.rates_long(s.operations_cycle),
-    "rate_pivot": lambda s: reads.rate_pivot(s.summary, PERIODS),
+    "rate_pivot": lambda s: reads.district_rates(s.summary),
     "coverage_labels": lambda s: reads.coverage_with_labels(s.coverage),
     "households_by_cycles_seen": lambda s: reads.households_by_cycles_seen(s.coverage),
     "panel_size": lambda s: reads.panel_size(s.panel),
@@ -436,17 +430,9 @@ QUERIES: dict[str, Callable[[Survey], DataFrame]] = {
 }
 
 
-# Queries that read the kept rows several times over; those are written first, as in the batch run.
-WRITE_SILVER = {
-    "rpt_program_summary", "rpt_program_cycle", "rpt_program_demographics", "rpt_panel_poverty",
-    "program_headline", "demographic_share", "rate_pivot", "panel_size", "dq_results",
-    "dq_counters", "dq_unmatched",
-}
-
-
 def build(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return QUERIES[name](Survey(spark, folder, name in WRITE_SILVER))
+        return QUERIES[name](Survey(spark, folder))
 
     run.__name__ = name
     return run

@@ -11,11 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import literal_frame
+from ..config import VARIABLE_SPEC, literal_frame
 from ..functions import derive, text
 from ..operators import dedupe
-from ..operators.sizing import spread
-from ..operators.skew import lookup_join
 
 # Used by several columns below.
 HELPERS: dict[str, str] = {
@@ -126,20 +124,20 @@ CHOICES = tuple(
         "baseline": {
             "hhh_sex": ("Male", "Female"),
             "respondent": ("Head of household", "Spouse", "Other"),
-            "Material_roof": ("Iron sheets", "Thatch/Tins", "[Tiles]"),
+            "Material_roof": ("Metal panels", "Reed/Straw", "[Slate]"),
             "Main_source_of_water_for_consumption": ("Borehole", "Spring", "River", "Rain", "Tap"),
-            "Type_of_Toilet_Facility": ("Pit latrine", "VIP Toilet Flushable", "None"),
+            "Type_of_Toilet_Facility": ("Dry pit", "Tank with Flush", "None"),
             "Fuel_source_cooking": ("Firewood", "Charcoal", "Gas"),
-            "Lighting_source": ("Candle", "Electricity Solar/Generator/Grid", "Paraffin Lantern"),
+            "Lighting_source": ("Candle", "Power Mains/Panel/Motor", "Oil Lamp"),
         },
         "year2": {
             "hhh_sex": ("Male", "Female"),
             "respondent": ("Head of household", "Spouse"),
-            "Material_roof": ("Thatch/Tins/Grass", "Iron Sheets", "Tiles "),
+            "Material_roof": ("Reed/Straw/Leaves", "Metal Panels", "Slate "),
             "Main_source_of_water_for_consumption": ("Tap", "Borehole", "Spring", "Rain"),
-            "Type_of_Toilet_Facility": ("None", "VIP flushable", "Pit latrine", "Other"),
+            "Type_of_Toilet_Facility": ("None", "Flush tank", "Dry pit", "Other"),
             "Fuel_source_cooking": ("Charcoal", "Firewood", "Biogas"),
-            "Lighting_source": ("Electricity/Solar", "Paraffin lantern", "Candle", "Torch"),
+            "Lighting_source": ("Power/Panel", "Oil lamp", "Candle", "Torch"),
         },
     }.items()
     for field, labels in lists.items()
@@ -147,11 +145,11 @@ CHOICES = tuple(
 )
 # (field, raw label, conformed label)
 LABEL_MAP = (
-    ("Material_roof", "Thatch/Tins", "Thatch/Tins/Grass"),
-    ("Material_roof", "Iron sheets", "Iron Sheets"),
-    ("Type_of_Toilet_Facility", "VIP Toilet Flushable", "VIP flushable"),
-    ("Lighting_source", "Electricity Solar/Generator/Grid", "Electricity/Solar"),
-    ("Lighting_source", "Paraffin Lantern", "Paraffin lantern"),
+    ("Material_roof", "Reed/Straw", "Reed/Straw/Leaves"),
+    ("Material_roof", "Metal panels", "Metal Panels"),
+    ("Type_of_Toilet_Facility", "Tank with Flush", "Flush tank"),
+    ("Lighting_source", "Power Mains/Panel/Motor", "Power/Panel"),
+    ("Lighting_source", "Oil Lamp", "Oil lamp"),
 )
 
 
@@ -165,12 +163,27 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def joined(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order with its customer and nation."""
-    orders = spread(table(spark, folder, "orders"), "o_orderkey")
+    orders = table(spark, folder, "orders")
     customer = table(spark, folder, "customer").withColumn("o_custkey", F.col("c_custkey"))
-    return (lookup_join(orders, customer, ["o_custkey"])
+    return (orders.join(customer, "o_custkey")
             .join(table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey")))
 
 
+def hashed_columns() -> list[tuple[str, str]]:
+    """Text of every contract value (Spark, ANSI) as the content hash takes it; numbers to a millionth."""
+    out = []
+    for name, dtype, _ in VARIABLE_SPEC:
+        name = {"household_id": "household_id_raw", "household_id_confirm": "household_confirm_raw"}.get(name, name)
+        if dtype == "timestamp":
+            out.append((f"date_format({name}, 'yyyy-MM-dd HH:mm:ss')", f"strftime({name}, '%Y-%m-%d %H:%M:%S')"))
+        elif dtype == "float":
+            whole = f"CAST(floor({name} * 1000000 + CAST(0.5 AS DOUBLE)) AS BIGINT)"
+            out.append((f"CAST({whole} AS STRING)", f"CAST({whole} AS VARCHAR)"))
+        else:
+            out.append((f"CAST({name} AS STRING)", f"CAST({name} AS VARCHAR)"))
+    return out
+
+
 def project(rows: DataFrame, *more: str) -> DataFrame:
     """Typed submissions with normalised household identifiers; ``more`` are columns to carry along."""
     rows = (rows.selectExpr("*", *[f"{e} AS {name}" for name, e in HELPERS.items()])
@@ -179,7 +192,7 @@ def project(rows: DataFrame, *more: str) -> DataFrame:
         "household_id": text.normalize_household_id(F.col("household_id_raw")),
         "household_id_confirm": text.normalize_household_id(F.col("household_confirm_raw")),
         "interview_minutes": derive.minutes_between(F.col("started_at"), F.col("ended_at")),
-        "row_hash": F.md5(F.concat_ws("|", "source_row", "household_id_raw")),
+        "row_hash": derive.row_hash([F.expr(e) for e, _ in hashed_columns()]),
     })
 
 

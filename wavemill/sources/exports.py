@@ -13,13 +13,9 @@ from .. import config
 from ..functions import derive
 from ..functions.text import normalize_header
 from ..operators.harmonize import quoted
-from ..operators.sizing import input_bytes
 
 CSV_OPTIONS = {"escape": '"', "quote": '"', "mode": "PERMISSIVE", "maxColumns": "200000",
         "maxCharsPerColumn": "-1"}
-_BLOCK = 128 << 20
-# One entry per input block; 100 TB have fewer.
-_MAX_BROADCAST_BLOCKS = 1_000_000
 
 
 def distinct_headers(names: Sequence[str | None]) -> list[str]:
@@ -44,7 +40,7 @@ def normalized_headers(names: Sequence[str]) -> list[str]:
     out = [normalize_header(n) for n in names]
     clashes = [n for n, k in Counter(out).items() if k > 1]
     if clashes:
-        raise ValueError(f"header normalisation collision {clashes[:5]}")
+        raise ValueError(f"header normalisation collision {clashes}")
     return out
 
 
@@ -70,8 +66,6 @@ def with_source_row(df: DataFrame, offset: int = 0) -> DataFrame:
               .agg(F.min("_pos").alias("_first"), F.count("*").alias("_n")))
     before = F.sum("_n").over(Window.orderBy("_path", "_block")) - F.col("_n")
     blocks = blocks.withColumn("_before", before).drop("_n")
-    if input_bytes(df) // _BLOCK <= _MAX_BROADCAST_BLOCKS:
-        blocks = F.broadcast(blocks)
     return (located.join(blocks, ["_path", "_block"])
             .withColumn("_source_row",
                         F.col("_before") + F.col("_pos") - F.col("_first") + 1 + offset)

@@ -18,90 +18,91 @@ FIELD_SCHEMA = ("form string, position int, field string, section string, label
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "wbr"}
 # An opening tag ends open elements of the first kind unless one of the second is nearer.
-_CLOSES = {"td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
-           "tr": ({"tr"}, {"table"})}
+_ENDS = {"td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"}),
+         "p": ({"p"}, {"td", "th", "li", "div"}), "li": ({"li"}, {"ul", "ol", "td"}),
+         "option": ({"option"}, {"select"})}
 
 
 class _Node:
-    def __init__(self, tag: str, attrs: dict):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    """An element with its place in the page: every element below it begins before ``end``."""
 
-    def walk(self) -> Iterator[_Node]:
-        for child in self.children:
-            if isinstance(child, _Node):
-                yield child
-                yield from child.walk()
+    def __init__(self, tag: str, attrs: dict, parent: _Node | None, place: int):
+        self.tag, self.attrs, self.parent, self.place, self.end = tag, attrs, parent, place, place + 1
+        self.first = self.last = 0  # texts
 
-    def find(self, tag: str, css: str | None = None) -> list[_Node]:
-        return [n for n in self.walk() if n.tag == tag
-                and (css is None or css in (n.attrs.get("class") or "").split())]
+    def has(self, css: str) -> bool:
+        return css in (self.attrs.get("class") or "").split()
 
-    def text(self) -> str:
-        parts = []
 
-        def collect(node):
-            for child in node.children:
-                if isinstance(child, str):
-                    parts.append(child.strip())
-                else:
-                    collect(child)
-        collect(self)
-        return " ".join(p for p in parts if p)
+class _Page(HTMLParser):
+    """All elements and texts of a page in their order, however deep they lie; cells and rows may lack end tags."""
 
-
-class _Tree(HTMLParser):
-    """Open elements as a stack; table cells and rows may lack their end tags."""
-
-    def __init__(self):
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.root = _Node("", {})
-        self.open = [self.root]
+        self.open: list[_Node] = []
+        self.nodes: list[_Node] = []
+        self.texts: list[str] = []
+        self.feed(html)
+        self.close()
+        self._end(0)
+
+    def _end(self, depth: int) -> None:
+        for node in self.open[depth:]:
+            node.end = len(self.nodes)
+            node.last = len(self.texts)
+        del self.open[depth:]
 
     def handle_starttag(self, tag, attrs):
-        ends, barriers = _CLOSES.get(tag, ((), ()))
-        for depth in range(len(self.open) - 1, 0, -1):
+        ends, barriers = _ENDS.get(tag, ((), ()))
+        for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth].tag in ends:
-                del self.open[depth:]
+                self._end(depth)
                 break
             if self.open[depth].tag in barriers:
                 break
-        node = _Node(tag, dict(attrs))
-        self.open[-1].children.append(node)
+        node = _Node(tag, dict(attrs), self.open[-1] if self.open else None, len(self.nodes))
+        node.first = node.last = len(self.texts)
+        self.nodes.append(node)
         if tag not in _VOID:
             self.open.append(node)
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
+        for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth].tag == tag:
-                del self.open[depth:]
+                self._end(depth)
                 return
 
     def handle_data(self, data):
-        self.open[-1].children.append(data)
+        if text := data.strip():
+            self.texts.append(text)
+
+    def below(self, node: _Node, tag: str, css: str | None = None) -> list[_Node]:
+        return [n for n in self.nodes[node.place + 1:node.end] if n.tag == tag and (css is None or n.has(css))]
+
+    def text(self, node: _Node) -> str:
+        return " ".join(self.texts[node.first:node.last])
 
 
 def _fields(html: str) -> Iterator[tuple]:
-    tree = _Tree()
-    tree.feed(html)
-    tree.close()
+    """The entry rows of a form that name a field, with the choices that their last cell lists."""
+    page = _Page(html)
     section, position = None, 0
-    for row in tree.root.find("tr", "entryRow"):
-        cells = [n for n in row.children if isinstance(n, _Node) and n.tag == "td"]
+    for row in (n for n in page.nodes if n.tag == "tr" and n.has("entryRow")):
+        cells = [n for n in page.below(row, "td") if n.parent is row]
         if len(cells) == 1 and cells[0].attrs.get("colspan"):
-            section = cells[0].text()
+            section = page.text(cells[0])
             continue
-        named = row.find("td", "fieldCell")
-        if not named:
+        name = next(iter(page.below(row, "td", "fieldCell")), None)
+        if name is None:
             continue
-        asked = row.find("td", "questionCell")
-        choices = []
-        for table in (cells[-1].find("table") if cells else ()):
-            for line in table.find("tr"):
-                texts = [td.text() for td in line.find("td")]
-                if len(texts) >= 3 and texts[1]:
-                    choices.append({"code": texts[1], "label": texts[2]})
-        name = " ".join(named[0].text().replace("(required)", "").split())
-        yield position, name, section, asked[0].text() if asked else "", choices
+        question = next(iter(page.below(row, "td", "questionCell")), None)
+        inside = page.below(cells[-1], "table") if cells else []
+        # A row of a table in a table lies in both, and is one choice.
+        lines = {n.place: n for table in inside for n in page.below(table, "tr")}
+        listed = ([page.text(td) for td in page.below(line, "td")] for line in lines.values())
+        choices = [{"code": texts[1], "label": texts[2]} for texts in listed if len(texts) >= 3 and texts[1]]
+        yield (position, " ".join(page.text(name).replace("(required)", "").split()), section,
+               page.text(question) if question else "", choices)
         position += 1
 
 

@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import literal_frame
@@ -16,41 +11,25 @@ from ..sinks import append_manifest, path_exists
 MANIFEST_SCHEMA = ("survey_cycle string, kind string, file string, path string, sha256 string, "
                    "bytes bigint, status string, seen_at timestamp")
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Stream each file through SHA-256 in 1 MiB pieces: any size, constant memory."""
-    import hashlib
 
-    from pyarrow import fs
-
-    for batch in batches:
-        out = []
-        for uri in batch["path"]:
-            if uri.startswith("file:/") and not uri.startswith("file:///"):
-                uri = "file:///" + uri[len("file:/"):].lstrip("/")
-            system, name = fs.FileSystem.from_uri(uri)
-            digest = hashlib.sha256()
-            with system.open_input_stream(name) as stream:
-                while piece := stream.read(1 << 20):
-                    digest.update(piece)
-            out.append(digest.hexdigest())
-        yield batch.assign(sha256=out)
+def _plain(path: Column) -> Column:
+    """A path without scheme and authority, as both a caller and the file system may write them."""
+    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "")
 
 
 def fingerprints(spark: SparkSession, sources: DataFrame) -> DataFrame:
-    """``sources``: survey_cycle, kind, path. Adds file, bytes and sha256; one file per task."""
+    """``sources``: survey_cycle, kind, path. Adds file, bytes and sha256; files belong to their whole path.
+
+    Files are opened and hashed by Spark's own reader, so any file system that it knows will do. The list of
+    sources is configuration: two files a cycle.
+    """
     paths = [r.path for r in sources.select("path").distinct().collect()]
-    listed = (spark.read.format("binaryFile").load(paths)
-              .select(F.col("path"), F.col("length").alias("bytes"),
+    hashed = (spark.read.format("binaryFile").load(paths)
+              .select(_plain(F.col("path")).alias("_path"), F.col("path"), F.col("length").alias("bytes"),
+                      F.sha2("content", 256).alias("sha256"),
                       F.element_at(F.split("path", "/"), -1).alias("file")))
-    hashed = (listed.repartition(max(1, len(paths)), "path")
-              .mapInPandas(_digests, "path string, bytes bigint, file string, sha256 string"))
-    wanted = sources.select("survey_cycle", "kind",
-                            F.element_at(F.split("path", "/"), -1).alias("file"))
-    return hashed.join(F.broadcast(wanted), "file").select(
-        "survey_cycle", "kind", "file", "path", "sha256", "bytes")
+    wanted = sources.select("survey_cycle", "kind", _plain(F.col("path")).alias("_path"))
+    return hashed.join(wanted, "_path").select("survey_cycle", "kind", "file", "path", "sha256", "bytes")
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -68,7 +47,7 @@ def land(spark: SparkSession, sources: DataFrame, manifest: str) -> DataFrame:
                .withColumns({"status": F.when(F.col("_known"), "unchanged").otherwise("landed"),
                              "seen_at": F.current_timestamp()})
                .select(*[f.split()[0] for f in MANIFEST_SCHEMA.split(", ")]))
-    # A handful of files per cycle: fixed here, so that hashing and clock are not asked twice.
+    # Two files per cycle, as configured: fixed here, so that hashing and clock are not asked twice.
     entries = spark.createDataFrame(entries.toArrow(), entries.schema)
     append_manifest(entries, manifest)
     return entries

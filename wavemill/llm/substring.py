@@ -7,11 +7,12 @@ other. Probes and blocks meet by hash; a hash that a block and a further place s
 their documents and are extended there: each window around a hit is hashed whole, and these hashes meet once more.
 Of windows with equal words all but the earliest are repeats, and maximal repeats are the unions of these.
 
-A document sends its distinct probe hashes in one row for each of some parts of the hash range, a packed array of
-``PROBE_BYTES`` bytes each, for a row a probe would cost several times the text. Probe hashes may be short, as they
-only find what is compared by 128 bits afterwards. The shuffle partitions' number, which the user sets to fit the
-data, is the number of parts, so a part holds about what one task is meant to hold; a window that a third of the
-documents share is one entry a document in a part. Documents travel once, keyed by id, for both ways back.
+A row a probe would cost several times the text. So some hundred documents at a time send their distinct hashes in
+one row for each part of the hash range: keys, counts, and an array of ``PROBE_BYTES`` bytes a hash. Probe hashes
+may be short, as they only find what is compared by 80 bits and a part afterwards. The shuffle partitions' number,
+which the user sets to fit the data, is the number of parts, so a part holds about what one task is meant to hold,
+and hashes gain bits with the data; a window that a third of the documents share is one entry a document in a part.
+Documents travel once, keyed by id, for both ways back.
 
 Rows: NULL and empty texts have no words; rows that share an id are one document after another, in the order of a
 hash of their text, and among equal rows one is the earlier; rows without an id are the last documents of all;
@@ -32,7 +33,9 @@ from pyspark.sql import types as T
 from wavemill.llm.shared import raw_texts, slices
 
 #: Bytes of a probe's hash besides its part of the hash range; the lowest two bits tell whether it is a block too.
-PROBE_BYTES = 5
+PROBE_BYTES = 4
+#: Bytes of a whole window's hash, the lowest bit of the last two telling whether its document has it twice.
+WINDOW_BYTES = 10
 _KIND = np.uint64(3)
 #: Least parts of the hash range: with fewer, small tables would not use all tasks.
 LEAST_PARTS = 32
@@ -88,14 +91,17 @@ def _low_bytes(hashes: np.ndarray, width: int) -> np.ndarray:
     return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
 
 
-def _from_bytes(data: bytes, width: int) -> np.ndarray:
-    """Numbers of ``width`` bytes each."""
-    rows = np.frombuffer(data, np.uint8).reshape(-1, width)
-    full = np.zeros((len(rows), 8), np.uint8)
-    full[:, :width] = rows
+def _numbers(packed: np.ndarray) -> np.ndarray:
+    """Numbers of the rows' bytes, at most eight."""
+    full = np.zeros((len(packed), 8), np.uint8)
+    full[:, :packed.shape[1]] = packed
     return full.view("<u8").ravel()
 
 
+def _unpacked(data: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(-1, width)
+
+
 def _short(hashes: np.ndarray) -> np.ndarray:
     """What a probe row holds of each hash: its lower bytes without the two bits of the kind."""
     return hashes & np.uint64((1 << 8 * PROBE_BYTES) - 1) & ~_KIND
@@ -106,50 +112,82 @@ def _whole(part: np.ndarray | int, short: np.ndarray) -> np.ndarray:
     return (np.asarray(part).astype(np.uint64) << np.uint64(8 * PROBE_BYTES)) | short
 
 
+def _sent(docs: list[np.ndarray], part_of: list[np.ndarray], keys: list[bytes], width: int) -> pa.RecordBatch:
+    """Rows (``part``, ``keys``, ``counts``, ``hashes``) of several documents' packed hashes and their parts."""
+    owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    packed = np.concatenate([*docs, np.zeros((0, width), np.uint8)])
+    part = np.concatenate([*part_of, np.zeros(0, np.int32)])
+    order = np.argsort(part, kind="stable")
+    owner, packed, part = owner[order], packed[order], part[order]
+    groups = _cuts(part, owner)  # a document's hashes in a part
+    rows = _cuts(part[groups[:-1]])  # a part's documents
+    at = groups[:-1][rows[:-1]]
+    flat = np.frombuffer(b"".join(keys), np.uint8).reshape(len(keys), -1)[owner[groups[:-1]]]
+    counts = np.diff(groups).astype("<u4").view(np.uint8).reshape(-1, 4)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[at]), _packed(flat, rows, flat.shape[1]), _packed(counts, rows, 4),
+         _packed(packed, groups[rows], width)], ["part", "keys", "counts", "hashes"])
+
+
+_SENT = "part int, keys binary, counts binary, hashes binary"
+
+
+def _received(rows: pa.Table, width: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """All documents' keys in their order, each packed hash's document, and the packed hashes."""
+    keys, counts = [], []
+    for joined, numbers in zip(rows["keys"].to_pylist(), rows["counts"].to_pylist(), strict=True):
+        n = len(numbers) // 4
+        size = len(joined) // n
+        keys += [joined[i * size:(i + 1) * size] for i in range(n)]
+        counts.append(np.frombuffer(numbers, "<u4"))
+    packed = np.frombuffer(b"".join(rows["hashes"].to_pylist()), np.uint8).reshape(-1, width)
+    order = sorted(range(len(keys)), key=keys.__getitem__)
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.arange(len(keys))
+    return [keys[i] for i in order], np.repeat(place, np.concatenate(counts)), packed
+
+
+def _returned(keys: list[bytes], owner: np.ndarray, packed: np.ndarray, **same: object) -> pa.Table:
+    """Rows (``key``, ``hashes``) of the documents that have any."""
+    order = np.argsort(owner, kind="stable")
+    cuts = _cuts(owner[order])
+    at = owner[order][cuts[:-1]]
+    columns = {n: pa.array([v] * len(at), pa.int32()) for n, v in same.items()}
+    return pa.table({"key": pa.array([keys[i] for i in at], pa.binary()), **columns,
+                     "hashes": _packed(packed[order], cuts, packed.shape[1])})
+
+
 def _probes(rows: DataFrame, block: int, parts: int) -> DataFrame:
-    """(``part``, ``key``, ``hashes``): each document's distinct probe hashes, with 0, 1 or 2 for their kind.
+    """Each document's distinct probe hashes, with 0, 1 or 2 for their kind.
 
     1: a block of the document has that hash; 2: and the document has it twice, which makes it a hit by itself.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            docs: list[np.ndarray] = [np.zeros(0, np.uint64)]
-            kinds: list[np.ndarray] = [np.zeros(0, np.uint64)]
+            docs, part_of = [], []
             for text in raw_texts(batch.column("text")):
                 found = rolling(word_hashes(text.split()), block, 1)
                 distinct, at, times = np.unique(found, return_inverse=True, return_counts=True)
                 kind = np.zeros(len(distinct), np.uint64)
                 kind[at[::block]] = 1
-                docs.append(distinct)
-                kinds.append(np.where(times > 1, 2 * kind, kind))
-            owner = np.repeat(np.arange(len(docs) - 1), [len(d) for d in docs[1:]])
-            hashes = np.concatenate(docs)
-            part = _part(hashes, parts)  # rises with the hash, so a document's parts lie one after the other
-            cuts = _cuts(owner, part)
-            at = cuts[:-1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[at]), batch.column("key").take(pa.array(owner[at])),
-                 _packed(_low_bytes(_short(hashes) | np.concatenate(kinds), PROBE_BYTES), cuts, PROBE_BYTES)],
-                ["part", "key", "hashes"])
+                docs.append(_low_bytes(_short(distinct) | np.where(times > 1, 2 * kind, kind), PROBE_BYTES))
+                part_of.append(_part(distinct, parts))
+            yield _sent(docs, part_of, batch.column("key").to_pylist(), PROBE_BYTES)
 
-    return rows.select("key", "text").mapInArrow(run, "part int, key binary, hashes binary")
+    return rows.select("key", "text").mapInArrow(run, _SENT)
 
 
 def _hits(probes: DataFrame) -> DataFrame:
     """(``key``, ``part``, ``hashes``): the probe hashes of each document that a block and another place share."""
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
-        data = rows["hashes"].to_pylist()
-        hashes = _from_bytes(b"".join(data), PROBE_BYTES)
-        owner = np.repeat(np.arange(len(data), dtype=np.int32), [len(d) // PROBE_BYTES for d in data])
+        keys, owner, packed = _received(rows, PROBE_BYTES)
+        hashes = _numbers(packed)
         kind, hashes = hashes & _KIND, hashes & ~_KIND
         _, group = np.unique(hashes, return_inverse=True)
         anchored = np.bincount(group, kind > 0) > 0
         places = np.bincount(group, np.where(kind == 2, 2, 1))
         hit = (anchored & (places > 1))[group]
-        cuts = _cuts(owner[hit])
-        at = owner[hit][cuts[:-1]]
-        return pa.table({"key": rows["key"].take(pa.array(at)), "part": pa.array(np.full(len(at), key[0].as_py(), np.int32)),
-                         "hashes": _packed(_low_bytes(hashes[hit], PROBE_BYTES), cuts, PROBE_BYTES)})
+        return _returned(keys, owner[hit], _low_bytes(hashes[hit], PROBE_BYTES), part=key[0].as_py())
 
     return probes.groupBy("part").applyInArrow(meet, "key binary, part int, hashes binary")
 
@@ -160,10 +198,10 @@ def _listed(rows: DataFrame, *columns: str) -> DataFrame:
 
 
 def _windows(joined: DataFrame, window: int, block: int, parts: int) -> DataFrame:
-    """(``part``, ``key``, ``hashes``, ``places``): the whole windows around each document's hits, extended by text."""
+    """The distinct whole windows around each document's hits, extended by its text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            out: list[tuple] = []
+            keys, docs, part_of = [], [], []
             for key, text, found in zip(batch.column("key").to_pylist(), raw_texts(batch.column("text")),
                                         batch.column("_found").to_pylist(), strict=True):
                 if not found:
@@ -171,47 +209,52 @@ def _windows(joined: DataFrame, window: int, block: int, parts: int) -> DataFram
                 words = word_hashes(text.split())
                 probes = rolling(words, block, 1)
                 hit = np.isin(_whole(_part(probes, parts), _short(probes)), np.concatenate(
-                    [_whole(f["part"], _from_bytes(f["hashes"], PROBE_BYTES)) for f in found]))
+                    [_whole(f["part"], _numbers(_unpacked(f["hashes"], PROBE_BYTES))) for f in found]))
                 # A window at p holds the probes at p .. p + window - block.
                 sums = np.concatenate([[0], np.cumsum(hit)])
-                reach = window - block + 1
                 starts = np.arange(max(0, len(words) - window + 1))
-                starts = starts[sums[starts + reach] > sums[starts]]
-                one, two = rolling(words, window, 2)[starts], rolling(words, window, 3)[starts]
-                out.append((key, one, two, starts))
-            if out:
-                owner = np.repeat(np.arange(len(out)), [len(o[3]) for o in out])
-                one, two, places = (np.concatenate([o[i] for o in out]) for i in (1, 2, 3))
-                part = _part(one, parts)
-                order = np.lexsort((places, part, owner))
-                cuts = _cuts(owner[order], part[order])
-                at = order[cuts[:-1]]
-                both = np.stack([one, two], axis=1)[order].astype("<u8").view(np.uint8).reshape(-1, 16)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part[at]), pa.array([out[i][0] for i in owner[at]], pa.binary()),
-                     _packed(both, cuts, 16), _packed(places[order].astype("<i4").view(np.uint8).reshape(-1, 4), cuts, 4)],
-                    ["part", "key", "hashes", "places"])
-
-    return joined.mapInArrow(run, "part int, key binary, hashes binary, places binary")
+                starts = starts[sums[starts + window - block + 1] > sums[starts]]
+                one, first, times = np.unique(rolling(words, window, 2)[starts], return_index=True, return_counts=True)
+                two = rolling(words, window, 3)[starts][first] & ~np.uint64(1) | (times > 1).astype(np.uint64)
+                keys.append(key)
+                docs.append(np.concatenate([_low_bytes(one, 8), _low_bytes(two, WINDOW_BYTES - 8)], axis=1))
+                part_of.append(_part(one, parts))
+            if keys:
+                yield _sent(docs, part_of, keys, WINDOW_BYTES)
+
+    return joined.mapInArrow(run, _SENT)
 
 
 def _repeats(windows: DataFrame) -> DataFrame:
-    """(``key``, ``places``): starts of the windows that start earlier too; keys sort as documents do."""
+    """(``key``, ``hashes``): each document's windows that start earlier too, and a last byte: 1 if all its places do.
+
+    Else the document is the first that has the window, and all its places but the first are repeats.
+    """
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("key")
-        data = rows["places"].to_pylist()
-        places = np.frombuffer(b"".join(data), "<i4")
-        both = np.frombuffer(b"".join(rows["hashes"].to_pylist()), [("a", "<u8"), ("b", "<u8")])
-        owner = np.repeat(np.arange(len(data)), [len(d) // 4 for d in data])
-        order = np.lexsort((places, owner, both["b"], both["a"]))
-        a, b = both["a"][order], both["b"][order]
+        keys, owner, packed = _received(rows, WINDOW_BYTES)  # keys sort as documents do
+        one, two = _numbers(packed[:, :8]), _numbers(packed[:, 8:])
+        twice, two = two & np.uint64(1), two & ~np.uint64(1)
+        order = np.lexsort((owner, two, one))
+        same = np.zeros(len(order), bool)
+        same[1:] = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
         later = np.zeros(len(order), bool)
-        later[order[1:]] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-        cuts = _cuts(owner[later])
-        return pa.table({"key": rows["key"].take(pa.array(owner[later][cuts[:-1]])),
-                         "places": _packed(places[later].astype("<i4").view(np.uint8).reshape(-1, 4), cuts, 4)})
+        later[order] = same
+        repeat = later | (twice == 1)
+        out = np.concatenate([packed[repeat, :8], later[repeat].astype(np.uint8)[:, None]], axis=1)
+        return _returned(keys, owner[repeat], out)
+
+    return windows.groupBy("part").applyInArrow(meet, "key binary, hashes binary")
+
 
-    return windows.groupBy("part").applyInArrow(meet, "key binary, places binary")
+def _repeated_places(words: list[bytes], window: int, found: list[dict]) -> np.ndarray:
+    """Which starts of windows are repeats, given the document's repeated windows."""
+    packed = np.concatenate([_unpacked(f["hashes"], 9) for f in found])
+    hashes = rolling(word_hashes(words), window, 2)
+    everywhere = np.isin(hashes, _numbers(packed[packed[:, 8] == 1, :8]))
+    but_first = np.isin(hashes, _numbers(packed[packed[:, 8] == 0, :8]))
+    _, first = np.unique(hashes, return_index=True)
+    but_first[first] = False
+    return np.flatnonzero(everywhere | but_first)
 
 
 def _without_repeats(joined: DataFrame, kept: list[T.StructField], window: int) -> DataFrame:
@@ -228,10 +271,9 @@ def _without_repeats(joined: DataFrame, kept: list[T.StructField], window: int)
                 gone.append(0)
                 if found:
                     step = np.zeros(len(words) + 1, np.int64)
-                    for f in found:
-                        starts = np.frombuffer(f["places"], "<i4")
-                        np.add.at(step, starts, 1)
-                        np.add.at(step, starts + window, -1)
+                    starts = _repeated_places(words, window, found)
+                    step[starts] += 1
+                    step[starts + window] -= 1
                     free = np.cumsum(step[:-1]) == 0
                     gone[-1] = len(words) - int(free.sum())
                     words = [words[i] for i in np.flatnonzero(free)]
@@ -267,7 +309,7 @@ def drop_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wind
     docs = df.select(*(f.name for f in kept), F.col(text).alias("text"), order_key(F.col(doc_id), *more).alias("key"))
     hits = _listed(_hits(_probes(docs, block, parts)), "part", "hashes")
     joined = docs.join(hits.hint("merge"), F.col("key") == F.col("_key"), "left").drop("_key")
-    found = _listed(_repeats(_windows(joined, window, block, parts)), "places")
+    found = _listed(_repeats(_windows(joined, window, block, parts)), "hashes")
     return _without_repeats(docs.join(found.hint("merge"), F.col("key") == F.col("_key"), "left").drop("_key"), kept,
                             window)
 

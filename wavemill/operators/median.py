@@ -1,14 +1,11 @@
 """Exact interpolated medians without a whole group in one task.
 
 ``percentile``/``median`` keep every distinct value of a group in one buffer.
-Here the middle is found by three histograms, each a map-side combined count
-over a bounded number of cells: cells of 1/16 octave first, then the chosen
-cell is cut into 65,536 equal parts twice. A part left after that is narrower
-than about 1e-11 of the value, so it holds at most some 50,000 distinct
-doubles however many rows there are; those few are ranked directly. Only
-counts of distinct values travel, and every step is exact. All steps start
-from the same counts, whose shuffle Spark runs once. There is one way at every
-size; a group that owns most values is split by Spark where it is joined.
+Here a sketch of bounded size first brackets the middle of each group: values
+whose ranks lie so close to it that the sketch cannot tell. What is below the
+bracket is counted, and only the values inside it, one in some ten thousand, are
+merged, ranked and picked from. The sketch's error is bounded, not merely
+likely, so the middle ranks are always inside and the result is exact.
 """
 
 from __future__ import annotations
@@ -18,85 +15,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import join_null_safe
+# The sketch's ranks are off by one in so many at most; the bracket reaches five times as far on both sides.
+_ACCURACY = 100_000
+_REACH = 5 / _ACCURACY
 
-_PARTS = 65_535
 
+def aggregate_with_median(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], value: str,
+                          out: str) -> DataFrame:
+    """``groupBy(keys).agg(aggs)`` with the exact median of ``value`` beside it.
 
-def _octave_cell(v: Column) -> Column:
-    """Monotone map of a double onto a few ten thousand integers."""
-    size = F.floor(F.log2(F.abs(v)) * 16) + 20_000
-    size = F.when(F.abs(v) == float("inf"), F.lit(40_000)).otherwise(size)
-    return F.when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size)
-
-
-def _linear_cell(v: Column) -> Column:
-    span = F.col("_hi") - F.col("_lo")
-    return F.floor((v - F.col("_lo")) / span * _PARTS)
-
-
-def _narrow(counts: DataFrame, carry: Sequence[str]) -> DataFrame:
-    """Per group, the cell(s) of the two middle ranks.
-
-    In: ``_g, _v, _n, _cell`` and, after the first step, the ranks ``_r1, _r2``
-    inside the cell. Out: one row per group with the answer or the next cell.
-    """
-    hist = (counts.groupBy("_g", "_cell", *carry)
-            .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
-    # The windows run over at most one row per cell.
-    group = Window.partitionBy("_g")
-    hist = hist.withColumn("_upto", F.sum("_n").over(group.orderBy("_cell")))
-    if not carry:
-        total = F.sum("_n").over(group)
-        hist = hist.withColumns({"_r1": F.ceil(total / 2), "_r2": F.floor(total / 2) + 1})
-    before = F.col("_upto") - F.col("_n")
-    holds = [(F.col("_upto") >= F.col(r)) & (before < F.col(r)) for r in ("_r1", "_r2")]
-    middle = (hist.where(holds[0] | holds[1])
-              .groupBy("_g")
-              .agg(F.count("*").alias("_cells"), F.min("_lo").alias("_lo"),
-                   F.min("_hi").alias("_hi1"), F.max("_lo").alias("_lo2"),
-                   F.max("_hi").alias("_hi"), F.min(before).alias("_before"),
-                   F.first("_r1").alias("_r1"), F.first("_r2").alias("_r2")))
-    # Two cells: the lower middle value ends the first, the upper one starts the second.
-    answer = (F.when(F.col("_cells") == 2, (F.col("_hi1") + F.col("_lo2")) / 2)
-               .when(F.col("_lo") == F.col("_hi"), F.col("_lo")))
-    return middle.select("_g", "_lo", "_hi", (F.col("_r1") - F.col("_before")).alias("_r1"),
-                         (F.col("_r2") - F.col("_before")).alias("_r2"), answer.alias("_answer"))
-
-
-def _inside(counts: DataFrame, cells: DataFrame) -> DataFrame:
-    """The value counts that lie in their group's open cell."""
-    cells = cells.where(F.col("_answer").isNull()).drop("_answer")
-    return counts.join(cells, "_g").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-
-
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,
-                 weight: str | None = None) -> DataFrame:
-    """``keys`` (NULL is a group of its own) and the median of the non-NULL ``value``.
-
-    ``weight`` is the number of times a row counts. Groups without a value are
-    absent.
+    A NULL key is a group of its own, NULL values do not count, and a group
+    without any has a NULL median.
     """
-    n = F.sum(weight) if weight else F.count("*")
-    present = df.where(F.col(value).isNotNull())
-    # One struct as key keeps NULL keys equal to themselves in the joins below.
-    counts = (present.groupBy(F.struct(*keys).alias("_g"), F.col(value).cast("double").alias("_v"))
-              .agg(n.alias("_n")))
-    level = _narrow(counts.withColumn("_cell", _octave_cell(F.col("_v"))), [])
-    answers, members = level, counts
-    for _ in range(2):
-        members = _inside(members.select("_g", "_v", "_n"), level)
-        level = _narrow(members.withColumn("_cell", _linear_cell(F.col("_v"))), ["_r1", "_r2"])
-        answers = answers.unionByName(level)
-    last = _inside(members.select("_g", "_v", "_n"), level)
-    last = last.withColumn("_upto", F.sum("_n").over(Window.partitionBy("_g").orderBy("_v")))
-    middle = [F.min(F.when(F.col("_upto") >= F.col(r), F.col("_v"))) for r in ("_r1", "_r2")]
-    final = last.groupBy("_g").agg(((middle[0] + middle[1]) / 2).alias("_answer"))
-    done = (answers.where(F.col("_answer").isNotNull()).select("_g", "_answer").unionByName(final))
-    return done.select(*[F.col(f"_g.{k}").alias(k) for k in keys], F.col("_answer").alias(out))
-
-
-def aggregate_with_median(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], value: str,
-                          out: str, weight: str | None = None) -> DataFrame:
-    """``groupBy(keys).agg(aggs)`` with the exact median of ``value`` beside it, one row a group each."""
-    return join_null_safe(df.groupBy(*keys).agg(*aggs), exact_median(df, keys, value, out, weight), keys)
+    c, v = F.col, F.col(value).cast("double")
+    group = F.struct(*keys)  # one struct as key keeps NULL keys equal to themselves in the joins below
+    bracket = F.percentile_approx(v, [0.5 - _REACH, 0.5 + _REACH], _ACCURACY)
+    groups = df.groupBy(group.alias("_g")).agg(*aggs, F.count(v).alias("_n"), bracket.alias("_bracket"))
+    bounds = groups.select("_g", "_n", c("_bracket")[0].alias("_lo"), c("_bracket")[1].alias("_hi"))
+    near = (df.select(group.alias("_g"), v.alias("_v")).where("_v is not null")
+            .join(bounds, "_g").where(c("_v") <= c("_hi"))
+            .groupBy("_g", "_n", F.when(c("_v") >= c("_lo"), c("_v")).alias("_v"))
+            .agg(F.count("*").alias("_c")))
+    # NULL stands for all values below the bracket.
+    ranked = near.withColumn("_upto", F.sum("_c").over(Window.partitionBy("_g").orderBy(c("_v").asc_nulls_first())))
+    ranks = (F.ceil(c("_n") / 2), F.floor(c("_n") / 2) + 1)
+    low, high = (F.min(F.when(c("_upto") >= r, c("_v"))) for r in ranks)
+    middle = ranked.groupBy("_g").agg(((low + high) / 2).alias(out)).withColumnRenamed("_g", "_of")
+    joined = groups.join(middle, c("_g") == c("_of"), "left")
+    return joined.select(*[c(f"_g.{k}").alias(k) for k in keys],
+                         *[x for x in groups.columns if not x.startswith("_")], out)
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """``keys`` and the median of the non-NULL ``value``; groups without a value are absent."""
+    return aggregate_with_median(df.where(F.col(value).isNotNull()), keys, [], value, out)

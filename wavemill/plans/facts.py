@@ -20,10 +20,23 @@ def fct_survey_submissions(kept: DataFrame, lists: DataFrame,
                            ultra_poor: float = config.ULTRA_POOR_USD_DAY,
                            target: float = config.TARGET_USD_DAY) -> DataFrame:
     """``lists`` is the decode table."""
-    df = decode(kept, lists, config.DECODED_FIELDS)
+    labels = {code: out for _, code, out, _ in config.DECODED_FIELDS}
+    return _fact(decode(kept, lists, config.DECODED_FIELDS), labels, ultra_poor, target)
+
+
+def undecoded(kept: DataFrame, ultra_poor: float = config.ULTRA_POOR_USD_DAY,
+              target: float = config.TARGET_USD_DAY) -> DataFrame:
+    """The fact without answer labels, for reports that show none: their lists need not be joined."""
+    return _fact(kept, {}, ultra_poor, target)
+
+
+def _fact(df: DataFrame, labels: dict[str, str], ultra_poor: float, target: float) -> DataFrame:
     c = F.col
     per_day = c("hhip_usd_day")
-    labels = {code: out for _, code, out, _ in config.DECODED_FIELDS}
+
+    def with_label(code: str) -> list[str]:
+        return [code, labels[code]] if code in labels else [code]
+
     return df.select(
         "household_id", "survey_cycle", "cycle_order",
         derive.geo_key(c("district"), c("village")).alias("geo_key"),
@@ -36,7 +49,7 @@ def fct_survey_submissions(kept: DataFrame, lists: DataFrame,
         c("interview_minutes").alias("wall_clock_minutes"),
         "hh_size", derive.hh_size_band(c("hh_size")).alias("hh_size_band"),
         "head_age", derive.head_age_band(c("head_age")).alias("head_age_band"),
-        "head_sex", labels["head_sex"], "respondent", labels["respondent"],
+        *with_label("head_sex"), *with_label("respondent"),
         "head_education", "head_literate",
         "hhip_usd_day", "hhip_usd_ppp_day", "hhip_usd_year", "ppi_score", "wealth_quartile",
         (per_day < ultra_poor).alias("is_ultra_poor"), (per_day >= target).alias("meets_target"),
@@ -46,7 +59,7 @@ def fct_survey_submissions(kept: DataFrame, lists: DataFrame,
         "assets_usd", "livestock_asset_usd", "savings_ugx", "loan_amount_ugx", "owns_land",
         "land_owned_acres",
         *[x for code in ("roof_material", "water_source", "toilet_type", "cooking_fuel",
-                         "lighting_source") for x in (code, labels[code])],
+                         "lighting_source") for x in with_label(code)],
         "all_members_have_shoes", "water_litres_day", "satisfied_quality_of_life",
         "gps_lat", "gps_lon")
 

@@ -79,41 +79,44 @@ def rpt_field_operations_cycle(operations: DataFrame, kept: DataFrame, submissio
                     .alias("median_interview_minutes")))
 
 
-def _share(hits: str, answers: str):
-    return derive.ratio(F.sum(hits), F.sum(answers))
+SUMMARY_KEYS = [*CYCLE_KEYS, "region_name", "district", "year_month"]
 
 
-def rpt_program_summary(fact: DataFrame, geography: DataFrame, time: DataFrame) -> DataFrame:
-    """cycle x region x district x month of deduplicated households.
+def _located(fact: DataFrame, geography: DataFrame, time: DataFrame) -> DataFrame:
+    """Households with region, district and month; without a place or a calendar day they are not counted here."""
+    c = F.col
+    return (fact.select(*CYCLE_KEYS, "geo_key", "date_key", "is_completed", "is_consented",
+                        F.when(c("is_consented"), c("hhip_usd_day")).alias("hhip"),
+                        F.when(c("is_consented"), c("meets_target")).alias("meets"))
+            .join(time.select("date_key", "year_month"), "date_key")
+            .join(geography.select("geo_key", "region_name", "district"), "geo_key"))
 
-    Households without a place or a calendar day match no dimension row and
-    are not counted here.
-    """
+
+def _program_sums() -> list:
+    return [F.count("*").alias("households_attempted"), F.count_if("is_completed").alias("households_completed"),
+            F.count_if("is_consented").alias("households_consented"),
+            derive.ratio(F.count_if("meets"), F.count("meets")).alias("share_meeting_target")]
+
+
+def _with_rates(totals: DataFrame, *more: str) -> DataFrame:
     c = F.col
-    months = time.select("date_key", "year_month")
-    consented = c("is_consented")
-    by_place = (fact.select(*CYCLE_KEYS, "geo_key", "date_key", "is_completed", "is_consented",
-                            F.when(consented, c("hhip_usd_day")).alias("hhip"),
-                            F.when(consented, c("meets_target")).alias("meets"))
-                .join(months, "date_key")
-                .groupBy(*CYCLE_KEYS, "geo_key", "year_month", "hhip")
-                .agg(F.count("*").alias("n"), F.count_if(c("is_completed")).alias("done"),
-                     F.count_if(c("is_consented")).alias("agreed"), F.count_if(c("meets")).alias("met"),
-                     F.count("meets").alias("answered")))
-    places = geography.select("geo_key", "region_name", "district")
-    located = by_place.join(places, "geo_key")
-    keys = [*CYCLE_KEYS, "region_name", "district", "year_month"]
-    totals = aggregate_with_median(
-        located, keys,
-        [F.sum("n").alias("households_attempted"), F.sum("done").alias("households_completed"),
-         F.sum("agreed").alias("households_consented"),
-         _share("met", "answered").alias("share_meeting_target")],
-        "hhip", "median_hhip_usd_day", "agreed")
     return totals.select(
-        *keys, "households_attempted", "households_completed", "households_consented",
+        *SUMMARY_KEYS, "households_attempted", "households_completed", "households_consented",
         (c("households_completed") / c("households_attempted")).alias("completion_rate"),
         derive.ratio(c("households_consented"), c("households_completed")).alias("consent_rate"),
-        "median_hhip_usd_day", "share_meeting_target")
+        *more, "share_meeting_target")
+
+
+def program_counts(fact: DataFrame, geography: DataFrame, time: DataFrame) -> DataFrame:
+    """The program summary without its median, for reports that only add up counts."""
+    return _with_rates(_located(fact, geography, time).groupBy(*SUMMARY_KEYS).agg(*_program_sums()))
+
+
+def rpt_program_summary(fact: DataFrame, geography: DataFrame, time: DataFrame) -> DataFrame:
+    """cycle x region x district x month of deduplicated households."""
+    totals = aggregate_with_median(_located(fact, geography, time), SUMMARY_KEYS, _program_sums(), "hhip",
+                                   "median_hhip_usd_day")
+    return _with_rates(totals, "median_hhip_usd_day")
 
 
 def rpt_program_cycle(summary: DataFrame) -> DataFrame:
@@ -150,22 +153,26 @@ def rpt_cohort_coverage(households: DataFrame) -> DataFrame:
             .orderBy(F.desc("n_cycles"), F.desc("households")))
 
 
+def _panel(fact: DataFrame, households: DataFrame, geography: DataFrame) -> DataFrame:
+    """Consented interviews of households seen in every cycle, with their district."""
+    panel = households.where("in_balanced_panel").select("household_id")
+    return (fact.where("is_consented")
+            .select(*CYCLE_KEYS, "household_id", "geo_key", "hhip_usd_day", "meets_target", "is_ultra_poor")
+            .join(panel, "household_id", "left_semi").join(geography.select("geo_key", "district"), "geo_key"))
+
+
+def panel_counts(fact: DataFrame, households: DataFrame, geography: DataFrame) -> DataFrame:
+    """Households of the balanced panel per cycle and district, without rates and median."""
+    return _panel(fact, households, geography).groupBy(*CYCLE_KEYS, "district").agg(F.count("*").alias("households"))
+
+
 def rpt_panel_poverty(fact: DataFrame, households: DataFrame, geography: DataFrame) -> DataFrame:
     """Poverty of the same households in every cycle."""
-    c = F.col
-    panel = households.where("in_balanced_panel").select("household_id")
-    by_place = (fact.where("is_consented").join(panel, "household_id", "left_semi")
-                .groupBy(*CYCLE_KEYS, "geo_key", "hhip_usd_day")
-                .agg(F.count("*").alias("n"), F.count_if(c("meets_target")).alias("met"),
-                     F.count("meets_target").alias("answered"),
-                     F.count_if(c("is_ultra_poor")).alias("poor"),
-                     F.count("is_ultra_poor").alias("graded")))
-    located = by_place.join(geography.select("geo_key", "district"), "geo_key")
+    shares = [F.count("*").alias("households"),
+              derive.ratio(F.count_if("meets_target"), F.count("meets_target")).alias("share_meeting_target"),
+              derive.ratio(F.count_if("is_ultra_poor"), F.count("is_ultra_poor")).alias("share_ultra_poor")]
     keys = [*CYCLE_KEYS, "district"]
-    shares = [F.sum("n").alias("households"),
-              _share("met", "answered").alias("share_meeting_target"),
-              _share("poor", "graded").alias("share_ultra_poor")]
-    return (aggregate_with_median(located, keys, shares, "hhip_usd_day", "median_hhip_usd_day",
-                                  "n")
+    return (aggregate_with_median(_panel(fact, households, geography), keys, shares, "hhip_usd_day",
+                                  "median_hhip_usd_day")
             .select(*keys, "households", "median_hhip_usd_day", "share_meeting_target",
                     "share_ultra_poor"))

@@ -107,6 +107,10 @@ class Survey:
     def fact(self) -> DataFrame:
         return facts.fct_survey_submissions(self.kept, self.lists)
 
+    @cached_property
+    def undecoded(self) -> DataFrame:
+        return facts.undecoded(self.kept)
+
     @cached_property
     def operations(self) -> DataFrame:
         return reports.rpt_field_operations(self.all)
@@ -123,7 +127,11 @@ class Survey:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return reports.rpt_program_summary(self.fact, self.geography, self.time)
+        return reports.rpt_program_summary(self.undecoded, self.geography, self.time)
+
+    @cached_property
+    def program_counts(self) -> DataFrame:
+        return reports.program_counts(self.undecoded, self.geography, self.time)
 
     @cached_property
     def demographics(self) -> DataFrame:
@@ -135,7 +143,7 @@ class Survey:
 
     @cached_property
     def panel(self) -> DataFrame:
-        return reports.rpt_panel_poverty(self.fact, self.households, self.geography)
+        return reports.rpt_panel_poverty(self.undecoded, self.households, self.geography)
 
     # -- the untyped exports -------------------------------------------------
 
@@ -263,7 +271,7 @@ class Survey:
                     .withColumn("header", F.concat("header", F.lit(".1"))))
         source = quality.source_checks(self.bronze, headers.unionByName(repeated))
         return source.unionByName(quality.model_checks(
-            self.fact, self.kept, self.history, self.geography, self.time, self.households,
+            self.undecoded, self.kept, self.history, self.geography, self.time, self.households,
             self.lists))
 
     @cached_property
@@ -377,7 +385,7 @@ QUERIES: dict[str, Callable[[Survey], DataFrame]] = {
     "rpt_field_operations_cycle": lambda s: _rounded(
         s.operations_cycle, "avg_interview_minutes", "median_interview_minutes"),
     "rpt_program_summary": lambda s: _rounded(s.summary, "median_hhip_usd_day"),
-    "rpt_program_cycle": lambda s: reports.rpt_program_cycle(s.summary),
+    "rpt_program_cycle": lambda s: reports.rpt_program_cycle(s.program_counts),
     "rpt_program_demographics": lambda s: s.demographics,
     "rpt_cohort_coverage": lambda s: s.coverage,
     "rpt_panel_poverty": lambda s: _rounded(s.panel, "median_hhip_usd_day"),
@@ -389,22 +397,22 @@ QUERIES: dict[str, Callable[[Survey], DataFrame]] = {
         s.operations, ["baseline", "year2"], ["Nation_1", "Nation_2", "Nation_20"], True),
     "daily_submissions": lambda s: reads.daily_submissions(s.operations),
     "ops_headline": lambda s: _rounded(reads.ops_headline(s.operations), "avg_interview_minutes"),
-    "program_headline": lambda s: reads.program_headline(s.summary),
+    "program_headline": lambda s: reads.program_headline(s.program_counts),
     "status_share": lambda s: reads.status_share(s.operations),
     "demographic_share": lambda s: reads.demographic_share(s.demographics),
     "dedup_stages": lambda s: reads.dedup_stages(s.operations_cycle),
     "rates_long": lambda s: reads.rates_long(s.operations_cycle),
-    "rate_pivot": lambda s: reads.district_rates(s.summary),
+    "rate_pivot": lambda s: reads.district_rates(s.program_counts),
     "coverage_labels": lambda s: reads.coverage_with_labels(s.coverage),
     "households_by_cycles_seen": lambda s: reads.households_by_cycles_seen(s.coverage),
-    "panel_size": lambda s: reads.panel_size(s.panel),
+    "panel_size": lambda s: reads.panel_size(reports.panel_counts(s.undecoded, s.households, s.geography)),
     "district_choices": lambda s: reads.district_choices(s.geography),
     "recent_runs": lambda s: reads.recent_runs(
         s.table("events").select("event_id", "event_type", F.col("ts").alias("logged_at"))),
     # quality
     "dq_results": lambda s: s.dq.drop("checked_at"),
     "dq_counters": lambda s: reads.dq_counters(s.dq),
-    "dq_unmatched": lambda s: quality.unmatched(s.fact, s.geography, "geo_key"),
+    "dq_unmatched": lambda s: quality.unmatched(s.undecoded, s.geography, "geo_key"),
     "cycle_counts": lambda s: quality.cycle_counts(s.operations_cycle),
     # catalog
     "column_profile": lambda s: s.profile,

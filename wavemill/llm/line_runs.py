@@ -135,7 +135,8 @@ def drop_repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text
         upper = end
     common = cut(runs.frequent(min_docs))  # a table of its own, so that a hot line's join can be split
     dropped = lines.join(common, _KEY).where("doc <> holder")
-    listed = dropped.groupBy("doc").agg(F.flatten(F.collect_list(F.array(*_KEY))).alias("_drops"))
+    listed = cut(dropped.groupBy("doc").agg(F.flatten(F.collect_list(F.array(*_KEY))).alias("_drops")))
+    drop_folder(spark, folder)  # all that is needed of it has been written
     return _apply(df.join(listed.withColumnRenamed("doc", "_doc"), F.col(doc_id) == F.col("_doc"), "left").drop("_doc"),
                   df.schema, text, min_chars)
 

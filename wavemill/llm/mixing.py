@@ -155,6 +155,11 @@ def mix(df: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 0, doc_id: st
         "a.doc_id", "a.source", "a.size", "s.source_size", "s.target", "a.taken")
 
 
+def _keys(doc_id: str, mark: Column, source: str) -> list[Column]:
+    return [F.coalesce(F.col(doc_id), F.lit(0)).cast("long").alias("_id"), mark.alias("_mark"),
+            F.xxhash64(source, F.isnull(doc_id)).alias("_of")]
+
+
 def mixed_documents(df: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 0, doc_id: str = "doc_id",
                     source: str = "source", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The mix as rows of ``df``: for each time that a source is gone through, a document's words that are taken.
@@ -165,11 +170,14 @@ def mixed_documents(df: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 0
     sources = cut(targets(sizes))
     taken = mixed_pieces(sizes, sources, block_words, seed)
     spans = taken.groupBy("doc_id", "mark", "source", "epoch").agg(
-        F.sort_array(F.collect_list(F.struct("first", "n_words"))).alias("spans")).hint("merge").alias("b")
-    marked = df.withColumn("_mark", F.xxhash64(text)).dropDuplicates([doc_id, "_mark", source]).alias("a")
-    rows = marked.join(spans, F.col(f"a.{doc_id}").eqNullSafe(F.col("b.doc_id")) & (F.col("a._mark") == F.col("b.mark"))
-                       & F.col(f"a.{source}").eqNullSafe(F.col("b.source")))
-    rows = rows.select("a.*", F.col("b.spans").alias("_spans")).withColumn("_words", words_of(text, _WORD_AND_SPACE))
+        F.sort_array(F.collect_list(F.struct("first", "n_words"))).alias("_spans"))
+    # One key without NULLs for both steps, so that texts are shuffled once.
+    key = ["_id", "_mark", "_of"]
+    spans = spans.select("_spans", *_keys("doc_id", F.col("mark"), "source"))
+    marked = df.select("*", *_keys(doc_id, F.xxhash64(text), source)).dropDuplicates(key)
+    # As a generated column the words are found once a row; as a projected one they would be once a span.
+    rows = marked.join(spans.hint("merge"), key).select(
+        "*", F.explode(F.array(words_of(text, _WORD_AND_SPACE))).alias("_words"))
     whole = F.array_join(F.transform("_spans", lambda s: F.array_join(
         F.slice("_words", (s["first"] + 1).cast("int"), s["n_words"].cast("int")), "")), "")
     rows = rows.withColumn(text, whole)

@@ -351,6 +351,8 @@ def test_stream_takes_each_file_once(spark, data, tmp_path):
     assert take() == (7, (7, 7))
     shutil.copy(f"{data}/03_year_two.csv", f"{folder}/b.csv")
     assert take() == (14, (14, 14))
+    digest = hashlib.sha256(open(f"{folder}/a.csv", "rb").read()).hexdigest()
+    assert {r[0] for r in spark.read.parquet(bronze).select("_source_sha256").distinct().collect()} == {digest}
     # The batch job then settles what the repeated file brought in.
     spec = [(n, d, h) for n, d, h in harmonize_contract(names)]
     typed = harmonize.harmonize(spark.read.parquet(bronze), spec, config.CYCLE_BY_CODE["year2"])

@@ -24,8 +24,8 @@ def to_double(c: Column) -> Column:
 
 
 def whole(d: Column) -> Column:
-    """A double as integer; NULL unless it is one."""
-    return F.when(d == F.rint(d), d.try_cast("bigint"))
+    """A double as integer; NULL unless it is one of 64 bits."""
+    return F.when((d == F.rint(d)) & (d >= -2.0 ** 63) & (d < 2.0 ** 63), d.try_cast("bigint"))
 
 
 def to_integral(c: Column) -> Column:

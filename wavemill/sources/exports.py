@@ -92,11 +92,18 @@ def read_export(spark: SparkSession, path: str, multiline: bool = True) -> DataF
     return with_source_row(df).drop("_metadata", config.INDEX_COLUMN)
 
 
-def with_lineage(export: DataFrame, cycle: str, sha256: str) -> DataFrame:
-    """Lineage columns in front, content hash over the export's own columns."""
-    own = [c for c in export.columns if c not in ("_source_row", "_source_file")]
+FILE_HASH = "_file_sha256"
+
+
+def with_lineage(export: DataFrame, cycle: str, sha256: str | None = None) -> DataFrame:
+    """Lineage columns in front, content hash over the export's own columns.
+
+    Rows of several files carry their file's hash themselves, as ``FILE_HASH``.
+    """
+    own = [c for c in export.columns if c not in ("_source_row", "_source_file", FILE_HASH)]
+    sha = F.col(FILE_HASH) if sha256 is None else F.lit(sha256)
     return export.select(
-        F.lit(cycle).alias("_survey_cycle"), "_source_file", F.lit(sha256).alias("_source_sha256"),
+        F.lit(cycle).alias("_survey_cycle"), "_source_file", sha.alias("_source_sha256"),
         F.col("_source_row").cast("bigint").alias("_source_row"),
         derive.row_hash([F.col(quoted(c)) for c in own]).alias("_row_hash"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("_ingested_at"),

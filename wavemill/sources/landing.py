@@ -12,7 +12,7 @@ MANIFEST_SCHEMA = ("survey_cycle string, kind string, file string, path string,
                    "bytes bigint, status string, seen_at timestamp")
 
 
-def _plain(path: Column) -> Column:
+def plain_path(path: Column) -> Column:
     """A path without scheme and authority, as both a caller and the file system may write them."""
     return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "")
 
@@ -25,10 +25,10 @@ def fingerprints(spark: SparkSession, sources: DataFrame) -> DataFrame:
     """
     paths = [r.path for r in sources.select("path").distinct().collect()]
     hashed = (spark.read.format("binaryFile").load(paths)
-              .select(_plain(F.col("path")).alias("_path"), F.col("path"), F.col("length").alias("bytes"),
+              .select(plain_path(F.col("path")).alias("_path"), F.col("path"), F.col("length").alias("bytes"),
                       F.sha2("content", 256).alias("sha256"),
                       F.element_at(F.split("path", "/"), -1).alias("file")))
-    wanted = sources.select("survey_cycle", "kind", _plain(F.col("path")).alias("_path"))
+    wanted = sources.select("survey_cycle", "kind", plain_path(F.col("path")).alias("_path"))
     return hashed.join(wanted, "_path").select("survey_cycle", "kind", "file", "path", "sha256", "bytes")
 
 

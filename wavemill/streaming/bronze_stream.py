@@ -15,7 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import config
 from ..sinks import path_exists
-from ..sources.exports import CSV_OPTIONS, export_schema, with_lineage, with_source_row
+from ..sources.exports import CSV_OPTIONS, FILE_HASH, export_schema, with_lineage, with_source_row
+from ..sources.landing import plain_path
 
 
 def ingest_new_files(spark: SparkSession, folder: str, headers: Sequence[str], cycle: str,
@@ -24,21 +25,32 @@ def ingest_new_files(spark: SparkSession, folder: str, headers: Sequence[str], c
 
     ``headers`` are the normalised headers of the export. Each batch owns the
     directory ``batch=<id>`` and replaces it when it is replayed after a
-    failure, so no file is taken twice or lost.
+    failure, so no file is taken twice or lost. How far rows are numbered is
+    kept beside it, a line a batch, so earlier rows are not read again.
     """
+    numbers = f"{bronze}_numbers"
     stream = (spark.readStream.schema(export_schema(headers))
               .options(**CSV_OPTIONS, multiLine=multiline, header=True).csv(folder)
               .select("*", F.col("_metadata.file_name").alias("_source_file"), "_metadata"))
 
     def land(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        files = [r[0] for r in batch.select("_metadata.file_path").distinct().collect()]  # of this batch
+        if not files:
+            return
         offset = 0
-        if path_exists(session, bronze):
-            earlier = session.read.parquet(bronze).where(F.col("batch") < batch_id)
-            offset = earlier.agg(F.max("_source_row")).first()[0] or 0
-        rows = with_source_row(batch, offset).drop("_metadata", config.INDEX_COLUMN)
-        (with_lineage(rows, cycle, "").drop("_source_sha256")
-         .write.mode("overwrite").parquet(f"{bronze}/batch={batch_id}"))
+        if path_exists(session, numbers):
+            earlier = session.read.schema("last long, batch long").parquet(numbers).where(F.col("batch") < batch_id)
+            offset = earlier.agg(F.max("last")).first()[0] or 0
+        hashed = session.read.format("binaryFile").load(files).select(
+            plain_path(F.col("path")).alias("_hashed"), F.sha2("content", 256).alias(FILE_HASH))
+        rows = with_source_row(batch, offset)
+        rows = rows.join(hashed, plain_path(F.col("_metadata.file_path")) == F.col("_hashed")).drop(
+            "_metadata", "_hashed", config.INDEX_COLUMN)
+        target = f"{bronze}/batch={batch_id}"
+        with_lineage(rows, cycle).write.mode("overwrite").parquet(target)
+        last = session.read.parquet(target).agg(F.max("_source_row").alias("last"))
+        last.write.mode("overwrite").parquet(f"{numbers}/batch={batch_id}")
 
     return (stream.writeStream.foreachBatch(land).trigger(availableNow=True)
             .option("checkpointLocation", checkpoint).start())

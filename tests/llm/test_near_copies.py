@@ -1,0 +1,56 @@
+"""The near-dedup stage against all pairs of small texts."""
+
+import random
+
+from test_simhash import closure
+
+import corpus_pipeline
+
+
+def slow_set(text):
+    ws = (text or "").lower().split()
+    return frozenset(" ".join(ws[i:i + 5]) for i in range(max(1, len(ws) - 4))) if ws else frozenset()
+
+
+def similar(a, b):
+    return a == b or len(a & b) >= 0.8 * len(a | b)
+
+
+def stage(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = corpus_pipeline.drop_near_copies(spark, df, "")
+    assert kept.dtypes == df.dtypes
+    return kept.collect()
+
+
+def test_edited_copies_go(spark):
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(500)]
+    texts = [None, "", "one two", "One  two", "one three"]
+    for n in (30, 100, 300):
+        for _ in range(12):
+            base = [rnd.choice(words) for _ in range(n)]
+            texts.append(" ".join(base))
+            for changed in (1, n // 60 + 1, n // 40 + 1, n // 10):  # similar, close to 0.8, and apart
+                copy = list(base)
+                for i in rnd.sample(range(n), changed):
+                    copy[i] = f"new{rnd.random()}"
+                texts.append(" ".join(copy))
+    rnd.shuffle(texts)
+    ids = list(range(len(texts)))
+    sets = [slow_set(t) for t in texts]
+    groups = closure(ids, lambda a, b: similar(sets[a], sets[b]))
+    got = stage(spark, [(i, t, "x") for i, t in enumerate(texts)])
+    assert sorted(r["doc_id"] for r in got) == sorted(set(groups.values()))
+    assert 36 < len(set(groups.values())) < len(texts) - 36
+
+
+def test_a_large_family_is_one_group(spark):
+    rnd = random.Random(6)
+    base = [f"w{rnd.randrange(900)}" for _ in range(200)]
+    rows = []
+    for i in range(300):
+        copy = list(base)
+        copy[rnd.randrange(200)] = f"new{i}"
+        rows.append((i, " ".join(copy), "x"))
+    assert [r["doc_id"] for r in stage(spark, rows)] == [0]

@@ -127,3 +127,16 @@ def test_licences(spark):
     assert found["all of the rights are reserved by none"] == [] == found["under licensed 2.0 version"]
     assert found["Licensed under the Apache Licence, Version 2.0"] == []
     assert licenses.scanned(df.limit(0)).count() == 0
+
+
+def test_notices_beside_others_are_found():
+    found = licenses.templates()
+    for idf in ({w: 1.0 for t in found for w in t.words}, {w: 0.5 + len(w) for t in found for w in t.words}):
+        index = licenses.Index(idf)
+        alone = [index.scan(list(t.words)).keys() for t in found]
+        assert all(t.label in labels for t, labels in zip(found, alone, strict=True))
+        for a, x in zip(found, alone, strict=True):
+            for b, y in zip(found, alone, strict=True):
+                assert x | y <= index.scan([*a.words, b"noise", *b.words]).keys()
+        everything = [w for t in found for w in (*t.words, b"noise")]
+        assert index.scan(everything).keys() == {t.label for t in found}

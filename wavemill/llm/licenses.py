@@ -2,9 +2,10 @@
 
 Licence notices are templates, rows of words with key phrases that must not miss. The index posts every word of
 a template with its places. How rare a word is, its inverse document frequency, is counted over all texts of the
-table. Of each text the rarest licence words that it has are looked up; where postings of different words agree
-on where a template would begin, the template is laid over the text there and compared word for word, weighted
-by rarity. It is found if enough of that weight agrees and its key phrases stand there as they must.
+table. Of each template its rarest words are looked up in the text, so many that no place where enough of its
+weight agrees can miss all but one of them; where postings of different words agree on where a template would
+begin, the template is laid over the text there and compared word for word, weighted by rarity. It is found if
+enough of that weight agrees and its key phrases stand there as they must.
 
 Labels by phrase (the base) are found by consecutive words alone and stay whatever the method says.
 
@@ -26,8 +27,6 @@ from pyspark.sql import types as T
 
 from wavemill.llm.shared import raw_texts, slices
 
-#: Rarest licence words of a text that are looked up, each at all its places.
-LOOKED_UP = 12
 #: Weight of a template that has to agree.
 LEAST_SCORE = 0.75
 
@@ -104,32 +103,47 @@ def places_of(words: list[bytes], phrase: tuple[bytes, ...]) -> list[int]:
 
 
 class Index:
-    """Postings of all templates' words, and the words' rarity."""
+    """Postings of every template's rarest words, and the words' rarity."""
 
     def __init__(self, idf: dict[bytes, float]):
         self.idf, self.templates = idf, templates()
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        self.weight = [sum(idf[w] for w in t.words) for t in self.templates]
+        self.agreeing: list[int] = []  # different words that agree wherever a template is found
         for t, template in enumerate(self.templates):
+            chosen, enough = self.rarest(template, (1 - LEAST_SCORE) * self.weight[t] + 1e-9)
+            self.agreeing.append(2 if enough else 1)
             for place, word in enumerate(template.words):
-                self.postings[word].append((t, place))
-        self.weight = [sum(idf[w] for w in t.words) for t in self.templates]
+                if word in chosen:
+                    self.postings[word].append((t, place))
         self.vocabulary = frozenset(self.postings)
 
+    def rarest(self, template: Template, spare: float) -> tuple[set[bytes], bool]:
+        """A template's rarest words, until all but any one of them weigh over ``spare``; whether they do."""
+        times = Counter(template.words)
+        chosen: set[bytes] = set()
+        total = most = 0.0
+        for word in sorted(times, key=lambda w: (-self.idf[w], w)):
+            if total - most > spare:
+                break
+            chosen.add(word)
+            total += times[word] * self.idf[word]
+            most = max(most, times[word] * self.idf[word])
+        return chosen, total - most > spare
+
     def scan(self, words: list[bytes]) -> dict[str, float]:
         """Labels found in a text, with the best score of each."""
-        present = self.vocabulary.intersection(words)
-        if not present:
+        if self.vocabulary.isdisjoint(words):
             return {}
-        rarest = frozenset(sorted(present, key=lambda w: (-self.idf[w], w))[:LOOKED_UP])
         begins: dict[tuple[int, int], set[bytes]] = defaultdict(set)
         for at, word in enumerate(words):
-            if word in rarest:
+            if word in self.vocabulary:
                 for t, place in self.postings[word]:
                     begins[t, at - place].add(word)
         found: dict[str, float] = {}
         for (t, begin), agreed in begins.items():
             template = self.templates[t]
-            if len(agreed) < 2 or found.get(template.label) == 1.0:
+            if len(agreed) < self.agreeing[t] or found.get(template.label) == 1.0:
                 continue
             score = self.compare(words, template, begin) / self.weight[t]
             if score >= LEAST_SCORE and score > found.get(template.label, 0.0):

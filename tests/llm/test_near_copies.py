@@ -5,6 +5,7 @@ import random
 from test_simhash import closure
 
 import corpus_pipeline
+from wavemill.llm import simhash_ball
 
 
 def slow_set(text):
@@ -54,3 +55,15 @@ def test_a_large_family_is_one_group(spark):
         copy[rnd.randrange(200)] = f"new{i}"
         rows.append((i, " ".join(copy), "x"))
     assert [r["doc_id"] for r in stage(spark, rows)] == [0]
+
+
+REPEATED = [(1, "a copy of this text here", "x"), (2, "a copy of this text here", "x"), (2, "found nowhere else", "x"),
+            (3, "the same row twice over", "x"), (3, "the same row twice over", "x"), (3, "the same row twice over", "y")]
+
+
+def test_repeated_ids(spark):
+    want = [(1, "a copy of this text here", "x"), (2, "found nowhere else", "x"), (3, "the same row twice over", "x")]
+    lost = [(None, "no id at all on these rows", "x")] * 2
+    assert sorted(map(tuple, stage(spark, [*REPEATED, *lost])), key=str) == sorted([*want, lost[0]], key=str)
+    df = spark.createDataFrame(REPEATED, "doc_id long, text string, source string")
+    assert sorted(map(tuple, simhash_ball.keep_one(df).collect())) == want

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wavemill.llm.components import roots
+from wavemill.llm.near_copies import one_of_each, row_keys
 from wavemill.llm.shared import cut, raw_texts, slices
 
 #: Seed of the shingle hash, Spark's own ``xxhash64`` of one string.
@@ -97,7 +98,9 @@ def components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius
 
 
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 2, words: int = 3) -> DataFrame:
-    """The rows of ``df`` without those whose component holds a smaller id; rows without an id stay."""
-    found = components(df.select(doc_id, text), doc_id, text, radius, words)
-    gone = found.where(F.col(doc_id) != F.col("component_id")).select(doc_id).distinct()
-    return df.join(gone, doc_id, "left_anti")
+    """One row of ``df`` of each component, the one with the smallest id; rows without an id stay."""
+    marked = cut(with_fingerprint(df.select(F.col(doc_id).alias("doc_id"), *row_keys(doc_id, text), text), text, words))
+    reached = roots(links(marked.select("fingerprint").distinct(), radius))
+    rows = marked.where("not _none").join(reached, marked["fingerprint"] == reached["node"], "left").select(
+        "_none", "_id", "_mark", "doc_id", F.coalesce("root", "fingerprint").alias("root"))
+    return one_of_each(df, rows, doc_id, text)

@@ -140,3 +140,10 @@ def test_notices_beside_others_are_found():
                 assert x | y <= index.scan([*a.words, b"noise", *b.words]).keys()
         everything = [w for t in found for w in (*t.words, b"noise")]
         assert index.scan(everything).keys() == {t.label for t in found}
+
+
+def test_padded_lines_end_where_their_words_do():
+    ended = quality._SHARES.index("ended")
+    for text in ("A line." + " " * 30, "A line.\u00a0\t" + " " * 9 + "\nAnother!" + " " * 8):
+        assert quality.measures(text)[1][ended] == 1.0
+    assert quality.measures("A. line" + " " * 30)[1][ended] == 0.0

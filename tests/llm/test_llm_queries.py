@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from compare import compare, duck
 from pyspark.sql import functions as F
+from test_alignment import slow_groups
 from test_lines import slow as slow_lines
 from test_mixing import slow_targets
 from test_simhash import closure, slow_fingerprint
@@ -50,7 +51,7 @@ def result(spark, name):
 
 def test_every_operator_is_registered_once():
     numbers = Counter(re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES)
-    assert numbers == {str(n): 1 for n in range(1, 11)}
+    assert numbers == {str(n): 1 for n in range(1, 14)}
     assert queries.QUERIES.keys() | {"pipeline"} <= entry.queries().keys()
     assert queries.ORACLE.keys() <= queries.QUERIES.keys()
 
@@ -140,6 +141,38 @@ def test_op10(spark):
     assert all(i % 50 == 0 and sorted(ranks) == [1, 2, 3, 4, 5] for i, ranks in per.items())
 
 
+def test_op11(spark, texts):
+    got = result(spark, "op11_alignment")
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(queries.tokenizer_path(queries.BYTE_TOKENIZER))
+    a.encode_special_tokens = True
+    both = (a, SentencePieceProcessor(model_file=queries.tokenizer_path(queries.PIECES)))
+    each = {i: slow_groups(both, t) for i, t in texts.items()}
+    total = Counter((x[p], y[q]) for x, y, cuts, _ in each.values() for p, q in cuts)
+    top = Counter()
+    for (_, y), n in total.items():
+        top[y] = max(top[y], n)
+    for i, (x, y, cuts, spelt) in each.items():
+        links = [(x[p], y[q]) for p, q in cuts]
+        assert [got[i][c] for c in ("n_a", "n_b", "n_groups", "n_links")] == [len(x), len(y), len(cuts), len(cuts)]
+        assert got[i]["count_sum"] == sum(total[p] for p in links)
+        assert got[i]["n_best"] == sum(total[p] == top[p[1]] for p in links)
+        assert got[i]["groups_sha256"] == (sha(spelt) if spelt else "")
+
+
+def test_op12(spark, texts):
+    from sentencepiece import SentencePieceProcessor
+
+    library = SentencePieceProcessor(model_file=queries.tokenizer_path(queries.PIECES))
+    got = result(spark, "op12_piece_table")
+    for i, t in texts.items():
+        ids = library.encode(t)
+        assert (got[i]["n_tokens"], got[i]["ids_sha256"]) == (len(ids), sha(",".join(map(str, ids))))
+        assert got[i]["decoded_sha256"] == sha(library.decode(ids))
+
+
 def test_pipeline_stage_by_stage(spark, tmp_path, library):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "mixing", "encoding"]
     raw = table(spark, FOLDER, "documents")

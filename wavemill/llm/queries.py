@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavemill.llm import (
-    bpe, licenses, line_runs, mixing, pivot_index, quality, simhash_ball, substring, token_trie, toxicity)
+    alignment, bpe, collocations, licenses, line_runs, mixing, piece_table, pivot_index, quality, simhash_ball, substring,
+    token_trie, toxicity)
 from wavemill.llm.shared import table
 
 #: The public tokenizer of the encoding query, a file name in the installed tokenizer folder.
 WORD_TOKENIZER = "word_bpe_49k.json"
 #: The public vocabulary whose pieces are counted.
 PIECES = "piece_bpe_32k.model"
+#: The public byte-level tokenizer that is aligned with those pieces.
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def tokenizer_path(name: str) -> str:
@@ -92,13 +95,40 @@ def op10_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
                               lambda i: i % 50 == 0, k=5)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every text, and how common its links are in the corpus."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.link_counts(docs, tokenizer_path(BYTE_TOKENIZER), tokenizer_path(PIECES))
+
+
+def op12_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded into pieces and decoded again: counts and digests of both."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return piece_table.encode(docs, tokenizer_path(PIECES), decoded=True).select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 phrases of two to four words that hold together best, in every language."""
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    return collocations.collocations(docs, least=30, longest=4, top=2000, absorbed=80)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_trie, op2_bpe, op3_line_runs, op4_toxicity, op5_simhash, op6_quality, op7_licenses, op8_substring, op9_mix,
-    op10_pivots)}
+    op10_pivots, op11_alignment, op12_piece_table, op13_collocations)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+
+def _grams(words: int) -> str:
+    return (f"SELECT lang, {words} AS size, unnest(list_transform(range(1, len(words) - {words} + 2), "
+            f"lambda i: array_to_string(words[i:i + {words - 1}], ' '))) AS phrase FROM pieces WHERE len(words) >= {words}")
+
+
 ORACLE: dict[str, str] = {
     "op3_line_runs": f"""
 WITH split AS (
@@ -116,4 +146,39 @@ WITH split AS (
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op13_collocations": f"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS low FROM documents
+), cut AS (
+  SELECT lang, unnest(string_split_regex(low, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts
+), pieces AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]'), lambda x: x <> '') AS words FROM cut
+), f AS (
+  SELECT lang, size, phrase, count(*) AS n
+  FROM ({" UNION ALL ".join(map(_grams, range(1, 5)))}) GROUP BY lang, size, phrase
+), totals AS (
+  SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS words FROM f WHERE size >= 2 AND n >= 30
+), cuts AS (
+  SELECT c.*, k, array_to_string(words[1:k], ' ') AS head, array_to_string(words[k + 1:size], ' ') AS tail
+  FROM candidates c, (VALUES (1), (2), (3)) v(k) WHERE k < size
+), scored AS (
+  SELECT c.lang, c.size, c.phrase, c.a, c.k, h.n AS l, t.n AS r,
+    CAST(CAST(c.a AS HUGEINT) * 2000000 // (h.n + t.n) AS BIGINT) AS score
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = c.head JOIN f t ON t.lang = c.lang AND t.phrase = c.tail
+), weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_parts AS (
+  SELECT c.lang, c.a, array_to_string(words[i:i + s - 1], ' ') AS phrase
+  FROM candidates c, (VALUES (2), (3)) v(s), (VALUES (1), (2), (3)) u(i) WHERE s < size AND i + s - 1 <= size
+), covered AS (
+  SELECT lang, phrase, max(a) AS over FROM inner_parts GROUP BY lang, phrase
+), kept AS (
+  SELECT w.* FROM weakest w LEFT JOIN covered c USING (lang, phrase)
+  WHERE c.over IS NULL OR 100 * CAST(c.over AS HUGEINT) < 80 * CAST(w.a AS HUGEINT)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000""",
 }

@@ -59,12 +59,14 @@ def test_galloping_equals_binary_search():
     for _ in range(400):
         many = np.cumsum([rnd.choice([1, 1, 2, 9, 50]) for _ in range(rnd.randint(0, 300))]).astype(np.int64)
         few = np.cumsum([rnd.choice([1, 3, 400]) for _ in range(rnd.randint(0, 60))]).astype(np.int64)
-        assert (alignment.gallop(few, many) == np.searchsorted(many, few)).all()
+        start = np.array([rnd.randrange(len(many)) for _ in few], np.int64) if len(many) else np.zeros(len(few), np.int64)
+        assert (alignment.gallop(few, many, start) == np.searchsorted(many, few)).all()
 
 
 def test_chunks_equal_the_library(libraries):
-    texts = odd_texts(5000)
-    got = alignment.ByteLevel(A).encode(texts)
+    texts = odd_texts(5000) + ["don't we'll 'S's 12ab_c-d", "!" * 500, "ab" * 90, "A" * 64, " " * 700 + "x", "é" * 300]
+    got, like = alignment.ByteLevel(A).encode(texts)
+    assert all(like)
     want = libraries[0].encode_batch([" " + t for t in texts], add_special_tokens=False)
     assert [memoryview(x).cast("i").tolist() for x in got] == [e.ids for e in want]
 

@@ -1,7 +1,7 @@
 """Alignment of two tokenizers over the same texts, by galloping intersection of token ends.
 
 Both tokenizations of a text spell the same bytes, so each is an ascending list of byte ends. The shorter list drives:
-every end of it starts at its proportional place in the longer list, doubles its step until it has passed the value and
+every end of it starts at its text's proportional place in the longer list, doubles its step until it has passed the value and
 then halves the bracket, all ends of a batch of texts in lockstep. Ends that both lists hold cut the texts into groups;
 the differences of the ranks that the search leaves behind are the ranges of tokens that overlap.
 
@@ -21,6 +21,7 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -32,16 +33,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavemill.llm.piece_table import MARK, ChunkTable, pieces
+from wavemill.llm.piece_table import MARK, SECTION_CHARS, ChunkTable, pieces
 from wavemill.llm.shared import shared_folder, slices
 
 #: Bytes of text whose pairs are counted together before they meet those of others.
-PACK_BYTES = 8 << 20
-
+PACK_BYTES = 4 << 20
 # White space of Unicode: Python's, but for four separators that it adds.
 _BLANK = r"[^\S\x1c-\x1f]"
 _CHUNK = re.compile(rf"{_BLANK}*(?:\S|[\x1c-\x1f])+|{_BLANK}+")
 _START = re.compile(rf"(?<=[\S\x1c-\x1f]){_BLANK}")
+# Characters beyond those that both libraries' tables have always agreed on, and long runs of blanks.
+_ODD = re.compile("[^\x00-\u02ff\u0370-\u0377\u0400-\u0481\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa"
+                  "\u4e00-\u9fa5\uac00-\ud7a3]|\\s{100}")
+# The byte-level rule of division, a fixed pattern.
+_PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_of_letters() -> dict[str, int]:
@@ -52,7 +57,11 @@ def byte_of_letters() -> dict[str, int]:
 
 
 class ByteLevel:
-    """A byte-level BPE file: ids of texts that start with a blank, and the bytes of every id."""
+    """A byte-level BPE file: ids of texts that start with a blank, and the bytes of every id.
+
+    Texts of common characters take the same merges through a second library, which is faster; all others, and all
+    texts of files whose ids are not in the order of their merges, take the file's own, each distinct chunk once.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs as many tasks as there are cores
@@ -69,18 +78,31 @@ class ByteLevel:
         for token, i in vocab.items():
             self.spelt[i] = token.encode() if token in added else bytes(letters[x] for x in token)
         # The file's rule puts a run of blanks into one pre-token with what follows, or apart: never before the run.
-        cuts = spec["normalizer"] is None and spec["pre_tokenizer"] == {
+        plain = spec["normalizer"] is None and spec["pre_tokenizer"] == {
             "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
+        self.quick = None
+        if plain and merged == list(range(256, 256 + len(merged))) and not spec["model"]["ignore_merges"]:
+            import tiktoken
+
+            ranks = {self.spelt[i]: i for i in range(256 + len(merged))}
+            self.quick = tiktoken.Encoding("quick", pat_str=_PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
         whole = re.compile(r"(?s).+")
-        self.table = ChunkTable(_CHUNK if cuts else whole, _START if cuts else re.compile(r"(?!)"), self.segment)
+        self.table = ChunkTable(_CHUNK if plain else whole, _START if plain else re.compile(r"(?!)"), self.segment,
+                                self.spelt)
 
     def segment(self, chunks: list[str]) -> list[list[int]]:
         return [e.ids for at in range(0, len(chunks), 4096) for e in
                 self.library.encode_batch_fast(chunks[at:at + 4096], add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of a blank and each text, as bytes of int32."""
-        return self.table.ids([" " + t for t in texts])
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
+        """Ids of a blank and each text, as bytes of int32, and whether they spell it."""
+        marked = [" " + t for t in texts]
+        slow = [self.quick is None or len(t) > SECTION_CHARS or bool(_ODD.search(t)) for t in marked]
+        rest = iter(zip(*self.table.ids([t for t, odd in zip(marked, slow, strict=True) if odd]), strict=True))
+        both = [next(rest) if odd else (array("i", self.quick.encode_ordinary(t)).tobytes(), True)
+                for t, odd in zip(marked, slow, strict=True)]
+        return [x for x, _ in both], [like for _, like in both]
 
 
 class PieceLevel:
@@ -88,12 +110,14 @@ class PieceLevel:
 
     def __init__(self, path: str):
         self.pieces = pieces(path)
-        model = self.pieces.model
-        self.spelt = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace(MARK, " ").encode()
-                      for i, p in enumerate(map(model.id_to_piece, range(self.pieces.size)))]
+        self.spelt = self.pieces.spelt
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return self.pieces.encode(texts)
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
+        ids = [array("i", x) for x in self.pieces.whole(texts)]
+        # Without normalisation, and with bytes for what is in no piece, only a marker is spelt otherwise.
+        like = [self.pieces.exact and MARK not in t or
+                b"".join(map(self.spelt.__getitem__, x)) == b" " + t.encode() for x, t in zip(ids, texts, strict=True)]
+        return [x.tobytes() for x in ids], like
 
 
 @lru_cache(maxsize=4)
@@ -101,12 +125,18 @@ def opened(path: str) -> ByteLevel | PieceLevel:
     return ByteLevel(path) if path.endswith(".json") else PieceLevel(path)
 
 
-def gallop(few: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """For each of ``few``, ascending, how many of ``many``, ascending, are smaller."""
+def proportional(few_stops: np.ndarray, many_stops: np.ndarray) -> np.ndarray:
+    """For each place of one list of texts' entries, the place as far into its text's entries in the other."""
+    few, many = np.diff(few_stops, prepend=0), np.diff(many_stops, prepend=0)
+    within = np.arange(few_stops[-1] if len(few_stops) else 0) - np.repeat(few_stops - few, few)
+    return np.repeat(many_stops - many, few) + within * np.repeat(many, few) // np.repeat(few, few)
+
+
+def gallop(few: np.ndarray, many: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """For each of ``few``, ascending, how many of ``many``, ascending, are smaller, sought from ``start`` on."""
     n = len(many)
     if not n or not len(few):
         return np.zeros(len(few), np.int64)
-    start = np.arange(len(few), dtype=np.int64) * n // len(few)
     up = many[start] < few  # the answer lies behind the start; else at it or before
     low, high = np.where(up, start + 1, 0), np.where(up, n, start)
     step, open_ = 1, np.arange(len(few))
@@ -158,17 +188,9 @@ class Aligner:
     def tokens(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
         """Ids of both sides; none for a text that either side spells otherwise."""
         plain = [t or "" for t in texts]
-        a, b = self.a.encode(plain), self.b.encode(plain)
-        for i, text in enumerate(plain):
-            if not text or not (self._spells(self.a.spelt, self.a_bytes, a[i], text)
-                                and self._spells(self.b.spelt, self.b_bytes, b[i], text)):
-                a[i] = b[i] = b""
-        return a, b
-
-    @staticmethod
-    def _spells(spelt: list[bytes], sizes: np.ndarray, ids: bytes, text: str) -> bool:
-        found, want = np.frombuffer(ids, np.int32), b" " + text.encode()
-        return sizes[found].sum() == len(want) and b"".join(map(spelt.__getitem__, found.tolist())) == want
+        (a, a_like), (b, b_like) = self.a.encode(plain), self.b.encode(plain)
+        none = [not (t and x and y) for t, x, y in zip(plain, a_like, b_like, strict=True)]
+        return tuple([b"" if gone else x for x, gone in zip(ids, none, strict=True)] for ids in (a, b))
 
     def align(self, texts: list[str | None]) -> Aligned:
         both = self.tokens(texts)
@@ -176,12 +198,12 @@ class Aligner:
             (np.frombuffer(b"".join(x), np.int32), np.cumsum([len(i) // 4 for i in x], dtype=np.int64)) for x in both)
         a_ends, b_ends = np.cumsum(self.a_bytes[a]), np.cumsum(self.b_bytes[b])
         if len(a) <= len(b):
-            below = gallop(a_ends, b_ends)
+            below = gallop(a_ends, b_ends, proportional(a_stops, b_stops))
             shared = b_ends[below] == a_ends if len(a) else np.zeros(0, bool)
             a_cuts = np.flatnonzero(shared)
             b_cuts = below[a_cuts]
         else:
-            rank = gallop(b_ends, a_ends)
+            rank = gallop(b_ends, a_ends, proportional(b_stops, a_stops))
             b_cuts = np.flatnonzero(a_ends[rank] == b_ends)
             a_cuts = rank[b_cuts]
             shared = np.zeros(len(a), bool)

@@ -15,6 +15,7 @@ Columns that are already called like a result are replaced, all others but the t
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -40,12 +41,16 @@ _START = re.compile(f"(?<=[^ {MARK}])[ {MARK}]")
 class ChunkTable:
     """Distinct chunks and their ids, as bytes of int32, for one way to cut texts and one segmenter of chunks.
 
-    ``chunk`` finds the chunks of a text one after another; ``start`` finds a character that begins a chunk.
+    ``chunk`` finds the chunks of a text one after another; ``start`` finds a character that begins a chunk;
+    ``spelt`` has the bytes of every id, if it matters whether a chunk's tokens spell it.
     """
 
-    def __init__(self, chunk: re.Pattern, start: re.Pattern, segment: Callable[[list[str]], list[list[int]]]):
-        self.chunk, self.start, self.segment = chunk, start, segment
+    def __init__(self, chunk: re.Pattern, start: re.Pattern, segment: Callable[[list[str]], list[list[int]]],
+                 spelt: list[bytes] | None = None):
+        self.chunk, self.start, self.segment, self.spelt = chunk, start, segment, spelt
         self.known: dict[str, bytes] = {}
+        #: Chunks whose tokens spell something else.
+        self.unlike: set[str] = set()
 
     def sections(self, text: str) -> Iterator[str]:
         """The text in parts of about ``SECTION_CHARS`` characters, cut where chunks begin."""
@@ -55,26 +60,35 @@ class ChunkTable:
             at = cut.start()
         yield text[at:]
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text, in order."""
-        if len(texts) == 1:
-            return [b"".join(self._ids([part])[0] for part in self.sections(texts[0]))]
-        return [x for t in texts for x in self.ids([t])] if any(len(t) > SECTION_CHARS for t in texts) else (
-            self._ids(texts))
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def ids(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
+        """Ids of every text, in order, and whether all its chunks are spelt by their tokens."""
+        if all(len(t) <= SECTION_CHARS for t in texts):
+            return self._ids(texts)
+        ids, like = [], []
+        for text in texts:
+            parts = [self._ids([part]) for part in self.sections(text)]
+            ids.append(b"".join(x for p, _ in parts for x in p))
+            like.append(all(x for _, p in parts for x in p))
+        return ids, like
+
+    def _ids(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
         split = list(map(self.chunk.findall, texts))
-        known = self.known
+        known, unlike = self.known, self.unlike
         if len(known) > CACHE_CHUNKS:
             known.clear()
-        new = list({c for chunks in split for c in chunks if c not in known})
+            unlike.clear()
+        new = list(set().union(*split) - known.keys())
         for c, found in zip(new, self.segment(new), strict=True):
-            known[c] = np.array(found, np.int32).tobytes()
+            known[c] = array("i", found).tobytes()
+            if self.spelt is not None and b"".join(map(self.spelt.__getitem__, found)) != c.encode():
+                unlike.add(c)
         out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        like = list(map(unlike.isdisjoint, split)) if unlike else [True] * len(texts)
         for c in new:
             if len(c) > CACHE_CHARS:
                 del known[c]
-        return out
+                unlike.discard(c)
+        return out, like
 
 
 class Pieces:
@@ -93,9 +107,14 @@ class Pieces:
                  and not rules.precompiled_charsmap and not spec.trainer_spec.treat_whitespace_as_suffix)
         #: Whether marked words can be segmented apart from each other.
         self.separable = plain and not any(MARK in p.piece.lstrip(MARK) for p in spec.pieces)
+        #: Whether pieces and bytes spell every text as it is, but for blanks.
+        self.exact = plain and sum(map(self.model.is_byte, range(self.size))) == 256
         #: A marker alone, which is no text to the library: what a blank at the end adds.
         self.lone = self.model.encode("x ")[len(self.model.encode("x")):]
-        self.table = ChunkTable(_CHUNK, _START, self.segment)
+        #: The bytes of every piece.
+        self.spelt = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(MARK, " ").encode()
+                      for i, p in enumerate(x.piece for x in spec.pieces)]
+        self.table = ChunkTable(_CHUNK, _START, self.segment, self.spelt)
 
     def segment(self, chunks: list[str]) -> list[list[int]]:
         """Ids of chunks; the library puts back the blank that is taken from each."""
@@ -109,7 +128,7 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of texts, each as bytes of int32."""
         if self.separable:
-            return [x if t else b"" for t, x in zip(texts, self.table.ids([" " + t for t in texts]), strict=True)]
+            return [x if t else b"" for t, x in zip(texts, self.table.ids([" " + t for t in texts])[0], strict=True)]
         return [np.array(x, np.int32).tobytes() for x in self.whole(texts)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:

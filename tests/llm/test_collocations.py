@@ -48,8 +48,10 @@ def rows_of(rnd, n):
             for _ in range(n)]
 
 
-@pytest.mark.parametrize("pack_bytes", [1, 3000, 8 << 20])
-def test_phrases_equal_plain_counts(spark, pack_bytes):
+@pytest.mark.parametrize("pack_bytes, slot_pairs, slot_packs", [(1, 100, 7), (3000, 1 << 20, 100_000), (8 << 20, 500, 1)])
+def test_phrases_equal_plain_counts(spark, monkeypatch, pack_bytes, slot_pairs, slot_packs):
+    monkeypatch.setattr(collocations, "SLOT_PAIRS", slot_pairs)
+    monkeypatch.setattr(collocations, "SLOT_PACKS", slot_packs)
     rows = rows_of(random.Random(3), 150) + [("en", None), (None, ""), ("fr", "a a a a a a"), ("fr", ". , \n")]
     rows += rows[:20]
     df = spark.createDataFrame([(*r, 5) for r in rows], "lang string, text string, score int")

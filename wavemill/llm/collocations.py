@@ -2,11 +2,13 @@
 
 Texts are packed by language (``PACK_BYTES``). Frequent words get ids by rank of frequency, and a pack's words become a
 row of ids. Neighbouring ids are pairs: a pack's pairs are dealt to square tiles of ids (``TILE``). Tiles of frequent
-words are dense and counted by address with ``bincount``; the rest is sorted and counted as coordinates. Packs' counts
-meet in one aggregate. Frequent pairs are ranked again and become the ids of the next level, where two pairs that
-overlap in a word are a phrase of three, then two of those a phrase of four: a phrase can only be frequent where both
-of its shorter parts are. What a pack needs to know of the corpus, the ids of its own distinct words or pairs, comes
-back by a join, so no table of words is held whole anywhere and a word that is everywhere is one row a pack.
+words are dense and counted by address with ``bincount``; the rest is sorted and counted as coordinates. The packs'
+sorted coordinates meet in slots of about ``SLOT_PAIRS``, dealt by hash, whose number follows the number of words; a
+pair that is everywhere is one entry a pack, and beyond ``SLOT_PACKS`` packs a slot is divided again and its sums are
+added. Frequent pairs are ranked again and become the ids of the next level, where two pairs that overlap in a word are
+a phrase of three, then two of those a phrase of four: a phrase can only be frequent where both of its shorter parts
+are. What a pack needs to know of the corpus, the ids of its own frequent words or pairs, comes back to it by key, so
+no table of words is held whole anywhere.
 
 Rows: a NULL text counts as empty, a NULL language as ``und``; equal rows all count; texts of any length are taken;
 equal scores are ordered by count, then by the phrase's bytes; an empty table gives an empty table; other columns are
@@ -30,6 +32,8 @@ from wavemill.llm.shared import cut, raw_texts, shared_folder, slices
 PACK_BYTES = 8 << 20
 #: Ids on each side of a tile, and the share of its cells from which on it is counted as a dense one.
 TILE, DENSE = 512, 1 / 16
+#: Entries of packs that meet in one slot, about, and the most packs that they come from.
+SLOT_PAIRS, SLOT_PACKS = 1 << 20, 100_000
 #: The score of two parts that never stand apart.
 SCALE = 1_000_000
 
@@ -49,7 +53,13 @@ def _fresh() -> tuple[_Places, list[np.ndarray]]:
 
 
 _WORDS = "pack long, lang string, ids array<int>, words array<binary>, times array<long>"
-_PAIRS = "pack long, lang string, ids array<int>, lefts array<long>, rights array<long>, times array<long>"
+# A row of ids for each pack, and a row for each of its slots: entries ``first``, ``first`` + 1, ... of the pack.
+_PAIRS = "pack long, lang string, ids array<int>, slot int, first int, lefts array<long>, rights array<long>, " \
+         "times array<long>"
+# A row of pairs for each slot, and a row for each pack in it: the pack's entries, and which pairs of the slot they are.
+_MERGED = "lang string, slot int, pack long, places array<int>, pairs array<int>, lefts array<long>, " \
+          "rights array<long>, times array<long>"
+_INTS, _LONGS = pa.list_(pa.int32()), pa.list_(pa.int64())
 
 
 def packed_words(df: DataFrame, lang: str, text: str, pack_bytes: int) -> DataFrame:
@@ -136,32 +146,121 @@ def _written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def _next_level(packs: DataFrame, listed: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
-    """Packs of pairs of neighbouring frequent phrases, from packs of phrases and the ranks of the frequent ones."""
-    values = listed.join(known.select("lang", *keys, "id"), ["lang", *keys]).select(F.col("pack").alias("home"), "place", "id")
+def _lists(kind: pa.DataType, values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Values cut into lists at the starts, the first of which is 0."""
+    offsets = np.append(starts, len(values)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind.value_type))
 
+
+def _slots(left: np.ndarray, right: np.ndarray, buckets: int, part: int) -> np.ndarray:
+    """The slot of each pair: a hash of both ids, in the part of the slots that the pack belongs to."""
+    mixed = (left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (right.astype(np.uint64) + np.uint64(1)) * np.uint64(
+        0xC2B2AE3D27D4EB4F)
+    mixed ^= mixed >> np.uint64(32)
+    return (mixed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % buckets + part * buckets
+
+
+def _next_level(packs: DataFrame, values: DataFrame, buckets: int, parts: int) -> DataFrame:
+    """Packs of pairs of neighbouring frequent phrases, from packs of phrases and the ids of the frequent ones."""
     def pairs(rows: pa.Table, values: pa.Table) -> pa.Table:
         ids = rows["ids"].combine_chunks().flatten().to_numpy()
         rank = np.full(int(ids.max(initial=-1)) + 2, -1, np.int64)  # the last cell answers for -1
-        frequent, nearby = np.unique(values["id"].to_numpy(), return_inverse=True)
-        rank[values["place"].to_numpy()] = nearby
+        places, found = (values[c].combine_chunks().flatten().to_numpy() for c in ("places", "ids"))
+        frequent, rank[places] = np.unique(found, return_inverse=True)
         near = rank[ids]
         both = np.flatnonzero((near[:-1] >= 0) & (near[1:] >= 0))
         lefts, rights, times, place = tiled_counts(near[both], near[both + 1])
+        lefts, rights = frequent[lefts], frequent[rights]
+        pack = rows["pack"][0].as_py()
+        slot = _slots(lefts, rights, buckets, hash((pack, 7)) % parts)
+        order = np.lexsort((rights, lefts, slot))
+        moved = np.empty(len(order), np.int32)
+        moved[order] = np.arange(len(order))
         out = np.full(len(ids), -1, np.int32)
-        out[both] = place
-        return pa.table({"pack": rows["pack"], "lang": rows["lang"], "ids": pa.array([out], pa.list_(pa.int32())),
-                         **{name: pa.array([x], pa.list_(pa.int64())) for name, x in (
-                             ("lefts", frequent[lefts]), ("rights", frequent[rights]), ("times", times))}})
-
-    rows = packs.select("pack", "lang", "ids")
+        out[both] = moved[place]
+        starts = np.flatnonzero(np.diff(slot[order], prepend=-1))
+        n, lang = len(starts), rows["lang"][0].as_py()
+        stream = pa.table({"pack": rows["pack"], "lang": rows["lang"], "ids": pa.array([out], _INTS),
+                           "slot": pa.nulls(1, pa.int32()), "first": pa.nulls(1, pa.int32()),
+                           **{c: pa.nulls(1, _LONGS) for c in ("lefts", "rights", "times")}})
+        lists = pa.table({"pack": pa.array(np.full(n, pack)), "lang": pa.array([lang] * n, pa.string()),
+                          "ids": pa.nulls(n, _INTS), "slot": pa.array(slot[order][starts], pa.int32()),
+                          "first": pa.array(starts, pa.int32()),
+                          **{name: _lists(_LONGS, x[order], starts) for name, x in (
+                              ("lefts", lefts), ("rights", rights), ("times", times))}})
+        return pa.concat_tables([stream, lists])
+
+    rows = packs.where("ids IS NOT NULL").select("pack", "lang", "ids")
     return rows.groupBy("pack").cogroup(values.groupBy("home")).applyInArrow(pairs, _PAIRS)
 
 
-def _listed(packs: DataFrame, **columns: str) -> DataFrame:
-    """A row for each entry of the packs' lists, named anew."""
-    rows = packs.select("pack", "lang", F.posexplode(F.arrays_zip(*columns)).alias("place", "entry"))
-    return rows.select("pack", "lang", "place", *(F.col(f"entry.{old}").alias(new) for old, new in columns.items()))
+def _merged(packs: DataFrame, least: int) -> DataFrame:
+    """The pairs of every slot that occur ``least`` times or more in it, and which of its packs' entries they are."""
+    def merge(rows: pa.Table) -> pa.Table:
+        lefts, rights, times = (rows[c].combine_chunks().flatten().to_numpy() for c in ("lefts", "rights", "times"))
+        sizes = np.diff(rows["lefts"].combine_chunks().offsets.to_numpy())
+        own_left, left = np.unique(lefts, return_inverse=True)
+        own_right, right = np.unique(rights, return_inverse=True)
+        codes, which = np.unique(left * len(own_right) + right, return_inverse=True)
+        total = np.zeros(len(codes), np.int64)
+        np.add.at(total, which, times)
+        kept = total >= least
+        number = np.cumsum(kept) - 1
+        here = kept[which]
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(lefts)) + np.repeat(rows["first"].to_numpy() - (np.cumsum(sizes) - sizes), sizes)
+        starts = np.flatnonzero(np.diff(row[here], prepend=-1))
+        used = row[here][starts]
+        codes, n, lang, slot = codes[kept], len(starts), rows["lang"][0].as_py(), rows["slot"][0].as_py()
+
+        def same(value: object, kind: pa.DataType, k: int) -> pa.Array:
+            return pa.array([value] * k, kind)
+
+        of_slot = pa.table({"lang": same(lang, pa.string(), 1), "slot": same(slot, pa.int32(), 1),
+                            "pack": pa.nulls(1, pa.int64()), "places": pa.nulls(1, _INTS), "pairs": pa.nulls(1, _INTS),
+                            "lefts": pa.array([own_left[codes // len(own_right)]], _LONGS),
+                            "rights": pa.array([own_right[codes % len(own_right)]], _LONGS),
+                            "times": pa.array([total[kept]], _LONGS)})
+        of_packs = pa.table({"lang": same(lang, pa.string(), n), "slot": same(slot, pa.int32(), n),
+                             "pack": rows["pack"].take(pa.array(used)).combine_chunks(),
+                             "places": _lists(_INTS, place[here], starts),
+                             "pairs": _lists(_INTS, number[which][here], starts),
+                             **{c: pa.nulls(n, _LONGS) for c in ("lefts", "rights", "times")}})
+        return pa.concat_tables([of_slot, of_packs])
+
+    lists = packs.where("ids IS NULL").select("lang", "slot", "pack", "first", "lefts", "rights", "times")
+    return _written(lists.groupBy("lang", "slot").applyInArrow(merge, _MERGED))
+
+
+def _told(merged: DataFrame, known: DataFrame) -> DataFrame:
+    """For each pack of each slot, its frequent entries' places and ids."""
+    own = merged.where("pack IS NULL").select(
+        "lang", "slot", F.posexplode(F.arrays_zip("lefts", "rights")).alias("number", "pair"))
+    own = own.select(F.col("lang"), F.col("slot").alias("of"), "number", F.col("pair.lefts").alias("left"),
+                     F.col("pair.rights").alias("right"))
+    ids = own.join(known.select("lang", "left", "right", "id"), ["lang", "left", "right"]).select(
+        F.col("lang").alias("in"), "of", "number", "id")
+
+    def tell(rows: pa.Table, ids: pa.Table) -> pa.Table:
+        if not len(rows):
+            return rows.schema.empty_table().select([]).append_column("home", pa.array([], pa.int64())).append_column(
+                "places", pa.array([], _INTS)).append_column("ids", pa.array([], _LONGS))
+        number = ids["number"].to_numpy()
+        of_pair = np.full(int(max(number.max(initial=-1), 0)) + 1, -1, np.int64)
+        of_pair[number] = ids["id"].to_numpy()
+        places, pairs = (rows[c].combine_chunks() for c in ("places", "pairs"))
+        pairs_flat = pairs.flatten().to_numpy()
+        found = np.where(pairs_flat < len(of_pair), of_pair[np.minimum(pairs_flat, len(of_pair) - 1)], -1)
+        here = found >= 0
+        row = np.repeat(np.arange(len(rows)), np.diff(pairs.offsets.to_numpy()))[here]
+        starts = np.flatnonzero(np.diff(row, prepend=-1))
+        return pa.table({"home": rows["pack"].take(pa.array(row[starts])).combine_chunks(),
+                         "places": _lists(_INTS, places.flatten().to_numpy()[here], starts),
+                         "ids": _lists(_LONGS, found[here], starts)})
+
+    rows = merged.where("pack IS NOT NULL").select("lang", "slot", "pack", "places", "pairs")
+    return rows.groupBy("lang", "slot").cogroup(ids.groupBy("in", "of")).applyInArrow(
+        tell, "home long, places array<int>, ids array<long>")
 
 
 def phrases(df: DataFrame, least: int = 30, longest: int = 4, lang: str = "lang", text: str = "text",
@@ -173,17 +272,25 @@ def phrases(df: DataFrame, least: int = 30, longest: int = 4, lang: str = "lang"
     of all words but the last, and but the first). A phrase stands within a piece between punctuation or line ends.
     """
     packs = _written(packed_words(df, lang, text, pack_bytes))
-    listed = _listed(packs, words="word", times="n")
-    totals = packs.groupBy("lang").agg(F.sum(F.aggregate("times", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n"))
+    listed = packs.select("pack", "lang", F.posexplode(F.arrays_zip("words", "times")).alias("place", "entry")).select(
+        F.col("pack").alias("home"), "lang", "place", F.col("entry.words").alias("word"), F.col("entry.times").alias("n"))
+    size = F.sum(F.aggregate("times", F.lit(0).cast("long"), lambda s, x: s + x))
+    totals = cut(packs.groupBy("lang").agg(size.alias("n"), F.count("*").alias("packs")))
+    words, count = totals.agg(F.sum("n"), F.sum("packs")).first()
+    buckets, parts = max(8, -(-(words or 0) // SLOT_PAIRS)), max(1, -(-(count or 0) // SLOT_PACKS))
     counts = listed.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
     known = _ranked(counts, F.col("word"))
     level = cut(known.select("lang", "word", "id", "a", F.col("word").cast("string").alias("phrase"),
                              F.array("a").alias("heads"), F.array("a").alias("tails")))
-    found, keys = [level], ["word"]
+    found = [level]
+    values = listed.join(level.select("lang", "word", "id"), ["lang", "word"]).select(
+        "home", F.array("place").alias("places"), F.array("id").alias("ids"))
     for _ in range(longest - 1):
-        packs = _written(_next_level(packs, listed.drop("n"), level, keys))
-        listed, keys = _listed(packs, lefts="left", rights="right", times="n"), ["left", "right"]
-        counts = listed.groupBy("lang", *keys).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+        packs = _written(_next_level(packs, values, buckets, parts))
+        merged = _merged(packs, least if parts == 1 else 1)
+        own = merged.where("pack IS NULL").select("lang", F.inline(F.arrays_zip("lefts", "rights", "times")))
+        counts = own.groupBy("lang", F.col("lefts").alias("left"), F.col("rights").alias("right")).agg(
+            F.sum("times").alias("a")).where(F.col("a") >= least)
         known = _ranked(counts, F.col("left"), F.col("right"))
         first = level.select("lang", F.col("id").alias("left"), F.col("phrase").alias("_start"), "heads")
         rest = level.select("lang", F.col("id").alias("right"), F.col("phrase").alias("_end"), "tails")
@@ -192,7 +299,8 @@ def phrases(df: DataFrame, least: int = 30, longest: int = 4, lang: str = "lang"
             F.concat("_start", F.lit(" "), F.substring_index("_end", " ", -1)).alias("phrase"),
             F.concat("heads", F.array("a")).alias("heads"), F.concat("tails", F.array("a")).alias("tails")))
         found.append(level)
-    return found, totals
+        values = _told(merged, level)
+    return found, totals.drop("packs")
 
 
 def weakest_cut(words: int) -> Column:

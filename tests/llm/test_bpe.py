@@ -1,6 +1,7 @@
 """Encoding against the tokenizer library itself, with pieces so small that every join is exercised."""
 
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -25,7 +26,8 @@ def library():
 
 @pytest.mark.parametrize("leaf", [3, 40, bpe.LEAF_CHARS])
 def test_ids_and_text_equal_the_library(spark, library, leaf):
-    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)], "id long, text string, decoded string")
+    df = spark.createDataFrame([(i, t, "x", "y", 1) for i, t in enumerate(TEXTS)],
+                               "id long, text string, decoded string, _key string, key int")
     rows = {r["id"]: r for r in bpe.encode(df, PATH, leaf_chars=leaf, decoded=True).collect()}
     assert len(rows) == len(TEXTS)
     for i, t in enumerate(TEXTS):
@@ -46,3 +48,12 @@ def test_joins_of_random_runs_are_exact(library):
 def test_empty_table_and_no_columns_besides(spark):
     df = spark.createDataFrame([], "text string")
     assert bpe.decode(bpe.encode(df, PATH), PATH).agg(F.count("*")).first()[0] == 0
+
+
+def test_long_runs_are_found_in_one_pass(spark, library):
+    run = ("ab" * 8000 + " ") * 125  # two megabytes of runs that are just too short to be divided
+    df = spark.createDataFrame([(1, run), (2, "a" * 20_000)], "id long, text string")
+    start = time.perf_counter()
+    got = {r["id"]: list(r["token_ids"]) for r in bpe.encode(df, PATH).collect()}
+    assert time.perf_counter() - start < 30
+    assert got == {1: library.encode(run, add_special_tokens=False).ids, 2: library.encode("a" * 20_000, add_special_tokens=False).ids}

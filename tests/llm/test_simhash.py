@@ -76,10 +76,13 @@ def test_long_chain_contracts(spark):
 
 
 def test_one_of_each_group_stays(spark):
-    rows = [(3, "same text here now", 1), (1, "same text here now", 2), (None, "same text here now", 3), (2, "other", 4)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, fingerprint int")
+    rows = [(3, "same text here now", 1), (1, "same text here now", 2), (None, "same text here now", 3), (2, "other", 4),
+            (None, "no id at all", 5), (None, "no id at all", 5), (4, "twice the same row", 6), (4, "twice the same row", 6),
+            (1, "found nowhere else", 7)]
+    df = spark.createDataFrame([(*r, 0, 0, 0, 0) for r in rows],
+                               "doc_id long, text string, fingerprint int, none int, mark int, number int, number_ int")
     kept = simhash_ball.keep_one(df)
-    assert kept.columns == ["doc_id", "text", "fingerprint"]
-    assert sorted(r["fingerprint"] for r in kept.collect()) == [2, 3, 4]
+    assert kept.dtypes == df.dtypes
+    assert sorted(r["fingerprint"] for r in kept.collect()) == [2, 4, 5, 6, 7]
     empty = df.limit(0)
     assert simhash_ball.keep_one(empty).count() == 0 and simhash_ball.components(empty).count() == 0

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavemill.llm.shared import slices
+from wavemill.llm.shared import fresh, slices
 
 #: Longest piece of unsplit text that one task encodes as a whole, in characters of the text.
 LEAF_CHARS = 16_384
@@ -185,8 +185,9 @@ _IDS, _DECODED = T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.Str
 def encode(df: DataFrame, path: str, text: str = "text", leaf_chars: int = LEAF_CHARS,
            decoded: bool = False) -> DataFrame:
     """``df`` with ``token_ids`` in place of its text column, and with their text ``decoded`` too if asked for."""
-    lengthy = F.coalesce((F.length(text) > leaf_chars) & F.col(text).rlike(r"\S{%d}" % min(leaf_chars + 1, 65_000)),
-                         F.lit(False))
+    # The longest piece between white space decides, found in one pass over the few texts that are long at all.
+    pieces = F.split(F.when(F.length(text) > leaf_chars, F.col(text)), r"\s+")
+    lengthy = F.coalesce(F.array_max(F.transform(pieces, F.length)) > leaf_chars, F.lit(False))
     long = _encode_long(df.where(lengthy), path, text, leaf_chars)
     return _encode_short(df.where(~lengthy), path, text, decoded).unionByName(decode(long, path) if decoded else long)
 
@@ -206,12 +207,13 @@ def _encode_short(df: DataFrame, path: str, text: str, decoded: bool) -> DataFra
 
 def _encode_long(df: DataFrame, path: str, text: str, leaf_chars: int) -> DataFrame:
     """Texts that hold long unsplit runs: cut, encoded leaf by leaf in any task, joined by text."""
-    keyed = df.withColumn("_key", F.sha2(F.col(text), 256))
+    key, = fresh(df, "key")
+    keyed = df.withColumn(key, F.sha2(F.col(text), 256))
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(path)
-        for batch in slices(batches, text):
-            for key, whole in zip(*(batch.column(c).to_pylist() for c in ("_key", text)), strict=True):
+        for batch in slices(batches, "text"):
+            for key, whole in zip(*(batch.column(c).to_pylist() for c in ("_key", "text")), strict=True):
                 rows: list[tuple] = []
                 for part in code.parts(whole):
                     if part in code.special:
@@ -256,13 +258,13 @@ def _encode_long(df: DataFrame, path: str, text: str, leaf_chars: int) -> DataFr
                 out += r["ids"]
         return pa.table({"_key": [key[0].as_py()], "token_ids": pa.array([out], pa.list_(pa.int32()))})
 
-    cuts = (keyed.select("_key", text).dropDuplicates(["_key"])
+    cuts = (keyed.select(F.col(key).alias("_key"), F.col(text).alias("text")).dropDuplicates(["_key"])
             .mapInArrow(cut_up, "_key string, seq int, ids array<int>, leaf string, last boolean")
             .repartition("_key", "seq")
             .mapInArrow(leaves, "_key string, seq int, ids array<int>, piece boolean, last boolean"))
     ids = cuts.groupBy("_key").applyInArrow(joined, "_key string, token_ids array<int>")
     rows = keyed.drop(text, "token_ids")
-    return rows.join(ids, "_key").drop("_key")
+    return rows.join(ids.withColumnRenamed("_key", key), key).drop(key)
 
 
 def decode(df: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:

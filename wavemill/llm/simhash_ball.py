@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wavemill.llm.components import roots
-from wavemill.llm.near_copies import one_of_each, row_keys
-from wavemill.llm.shared import cut, raw_texts, slices
+from wavemill.llm.shared import cut, fresh, raw_texts, slices
 
 #: Seed of the shingle hash, Spark's own ``xxhash64`` of one string.
 SEED = 42
@@ -98,9 +97,26 @@ def components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius
 
 
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 2, words: int = 3) -> DataFrame:
-    """One row of ``df`` of each component, the one with the smallest id; rows without an id stay."""
-    marked = cut(with_fingerprint(df.select(F.col(doc_id).alias("doc_id"), *row_keys(doc_id, text), text), text, words))
-    reached = roots(links(marked.select("fingerprint").distinct(), radius))
-    rows = marked.where("not _none").join(reached, marked["fingerprint"] == reached["node"], "left").select(
-        "_none", "_id", "_mark", "doc_id", F.coalesce("root", "fingerprint").alias("root"))
-    return one_of_each(df, rows, doc_id, text)
+    """One row of ``df`` of each component, the one with the smallest id; rows without an id come last, equal ids by text.
+
+    Rows are joined by id and text only, never by fingerprint or component, so no group of copies meets in one task.
+    """
+    none, number, mark = fresh(df, "none", "number", "mark")
+    keys = [F.isnull(doc_id).alias(none), F.xxhash64(doc_id).alias(number),
+            F.xxhash64(F.coalesce(text, F.lit(""))).alias(mark)]
+    rows = df.select(*[k.alias(n) for k, n in zip(keys, ("none", "number", "mark"), strict=True)],
+                     F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    marked = cut(with_fingerprint(rows, "text", words))
+    each = marked.groupBy("none", "number", "mark", "id", "fingerprint").agg(F.count("*").alias("n"))
+    first = F.min(F.struct("none", "id", "mark", "number", "n")).alias("first")
+    prints = cut(each.groupBy("fingerprint").agg(first))
+    reached = roots(links(prints.select("fingerprint"), radius))
+    rooted = prints.join(reached, prints["fingerprint"] == reached["node"], "left").select(
+        F.coalesce("root", "fingerprint").alias("root"), "first")
+    stays = cut(rooted.groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.none").alias(none), F.col("first.number").alias(number), F.col("first.mark").alias(mark), "first.n"))
+    keyed, names = df.select("*", *keys), [none, number, mark]
+    single = keyed.join(stays.where("n = 1").select(*names), names, "left_semi").select(*df.columns)
+    equal = keyed.join(stays.where("n > 1").select(*names), names, "left_semi")
+    one = equal.groupBy(*names).agg(F.min(F.struct(*df.columns)).alias("row")).select("row.*")
+    return single.unionByName(one)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavemill.llm import bpe, line_runs, mixing, near_copies, toxicity
+from wavemill.llm import bpe, line_runs, mixing, simhash_ball, toxicity
 from wavemill.llm.queries import WORD_TOKENIZER, tokenizer_path
 from wavemill.llm.shared import drop_folder, shared_folder, table
 
@@ -27,8 +27,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, by five-word shingles at 0.8, the document with the smallest id stays."""
-    return near_copies.keep_one(docs, words=5, least=0.8).select(*docs.columns)
+    """Of each component of fingerprints of three-word shingles, linked at two bits, the smallest id stays."""
+    return simhash_ball.keep_one(docs, radius=2, words=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

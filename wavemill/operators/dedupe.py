@@ -76,13 +76,15 @@ def dedupe_latest(df: DataFrame) -> DataFrame:
     return with_outcome_flags(df.join(winners(df), [CYCLE, ROW]))
 
 
-def tag_submissions(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def tag_submissions(df: DataFrame, hot_rows: int = HOT_ROWS, accepted: DataFrame | None = None) -> DataFrame:
     """Every input row plus flags, ``household_submissions`` and ``reject_reason``.
 
     Kept rows have no reason. Rows rejected before deduplication have NULL
-    flags; superseded rows carry theirs.
+    flags; superseded rows carry theirs. ``accepted`` are the rows of ``df``
+    that pass rejection, where the caller knows them from more than ``df``.
     """
-    accepted = accepted_rows(df)
+    if accepted is None:
+        accepted = accepted_rows(df)
     members = sized_lookup(
         accepted.select(CYCLE, ROW, HOUSEHOLD, "is_completed", "is_consented"),
         household_groups(accepted), [CYCLE, HOUSEHOLD], "household_submissions",

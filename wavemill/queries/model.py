@@ -13,7 +13,9 @@ from ..functions import casts, derive, text
 from ..operators import catalog, dedupe, decode, harmonize, labels, profiling
 from ..operators.median import exact_median
 from ..plans import dims, facts, quality, reads, reports
+from ..sinks import shared_folder
 from ..sources import adapter, forms
+from ..streaming import silver_stream
 
 CODES = [c.code for c in config.CYCLES]
 
@@ -329,6 +331,16 @@ def _dedupe(s: Survey) -> DataFrame:
         "is_completed", "is_consented", "household_submissions")
 
 
+def _incremental_silver(s: Survey) -> DataFrame:
+    """Silver after two arrivals: nine tenths of the rows, then the rest as late rows of every cycle."""
+    path = shared_folder(s.spark)
+    late = F.col("source_row") > F.lit((s.submissions.agg(F.max("source_row")).first()[0] or 0) * 9 // 10)
+    silver_stream.upsert(s.submissions.where(~late), path)
+    silver_stream.upsert(s.submissions.where(late), path)
+    return silver_stream.read_silver(s.spark, path).select(
+        "survey_cycle", "source_row", "is_completed", "is_consented", "household_submissions", "reject_reason")
+
+
 QUERIES: dict[str, Callable[[Survey], DataFrame]] = {
     # casts and text
     "parse_timestamps": _parse_timestamps,
@@ -350,6 +362,7 @@ QUERIES: dict[str, Callable[[Survey], DataFrame]] = {
     "quarantine_reasons": lambda s: s.tagged.select(
         "survey_cycle", "source_row", "is_completed", "is_consented", "household_submissions",
         "reject_reason"),
+    "incremental_silver": _incremental_silver,
     "duplicate_keys": lambda s: dedupe.duplicate_keys(s.submissions).select(
         "survey_cycle", "source_row", "submission_key"),
     "dedupe_latest": _dedupe,

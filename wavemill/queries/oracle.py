@@ -392,6 +392,7 @@ def _queries() -> dict[str, str]:
         "SELECT survey_cycle, source_row, is_completed, is_consented, household_submissions, "
         "CASE WHEN place > 1 THEN 'superseded_duplicate' END AS reject_reason FROM ranked UNION ALL "
         "SELECT survey_cycle, source_row, NULL, NULL, NULL, early_reason FROM early WHERE early_reason IS NOT NULL")
+    q["incremental_silver"] = q["quarantine_reasons"]  # however the rows arrive
     q["duplicate_keys"] = (
         "SELECT survey_cycle, source_row, submission_key FROM (SELECT *, row_number() OVER (PARTITION BY survey_cycle, "
         "submission_key ORDER BY source_row) AS n FROM subs WHERE submission_key IS NOT NULL) WHERE n > 1")

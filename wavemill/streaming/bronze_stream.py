@@ -1,13 +1,13 @@
 """New export files into bronze, each exactly once.
 
 "Latest submission wins" needs the whole history of a cycle, so no state is
-kept in the stream: it only lands rows. A cycle that received rows is then
-deduplicated again by the batch job.
+kept in the stream: it only lands rows. What they change in silver is settled
+by ``silver_stream``, which is called with every batch that has landed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +20,15 @@ from ..sources.landing import plain_path
 
 
 def ingest_new_files(spark: SparkSession, folder: str, headers: Sequence[str], cycle: str,
-                     bronze: str, checkpoint: str, multiline: bool = True) -> StreamingQuery:
+                     bronze: str, checkpoint: str, multiline: bool = True,
+                     then: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
     """Take whatever files are new in ``folder`` and stop.
 
     ``headers`` are the normalised headers of the export. Each batch owns the
     directory ``batch=<id>`` and replaces it when it is replayed after a
     failure, so no file is taken twice or lost. How far rows are numbered is
     kept beside it, a line a batch, so earlier rows are not read again.
+    ``then`` is given the rows of every batch as they were landed.
     """
     numbers = f"{bronze}_numbers"
     stream = (spark.readStream.schema(export_schema(headers))
@@ -51,6 +53,8 @@ def ingest_new_files(spark: SparkSession, folder: str, headers: Sequence[str], c
         with_lineage(rows, cycle).write.mode("overwrite").parquet(target)
         last = session.read.parquet(target).agg(F.max("_source_row").alias("last"))
         last.write.mode("overwrite").parquet(f"{numbers}/batch={batch_id}")
+        if then:
+            then(session.read.parquet(target))
 
     return (stream.writeStream.foreachBatch(land).trigger(availableNow=True)
             .option("checkpointLocation", checkpoint).start())

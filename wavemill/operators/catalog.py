@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,14 +34,24 @@ def column_profile(df: DataFrame, columns: Sequence[str], by: str = "survey_cycl
                     "n_distinct", (F.col("_nulls") == F.col("_rows")).alias("all_null")))
 
 
+#: Columns whose presence one aggregate finds; wider exports are read in several, each with its own columns only.
+COLUMNS_A_PASS = 500
+
+
 def collected_columns(df: DataFrame, columns: Sequence[str], by: str = "survey_cycle") -> DataFrame:
     """(cycle, variable) of every column that holds any value in the cycle.
 
-    Only counts per column travel, whatever the number of rows or values.
+    One flag a column is aggregated where the rows lie and only a row a cycle is unpivoted, so no row is multiplied
+    by the number of its columns.
     """
-    long = df.select(by, *[F.col(quoted(c)).isNotNull().alias(c) for c in columns]).unpivot(
-        by, [F.col(quoted(c)) for c in columns], "variable", "present")
-    return long.groupBy(by, "variable").agg(F.bool_or("present").alias("any")).where("any").drop("any")
+    found = []
+    for at in range(0, len(columns), COLUMNS_A_PASS):
+        some = columns[at:at + COLUMNS_A_PASS]
+        flags = {f"c{i}": c for i, c in enumerate(some)}
+        wide = df.groupBy(by).agg(*[F.bool_or(F.col(quoted(c)).isNotNull()).alias(f) for f, c in flags.items()])
+        names = [F.when(F.col(f), F.lit(c)) for f, c in flags.items()]
+        found.append(wide.select(by, F.explode(F.array_compact(F.array(*names))).alias("variable")))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _is_system(c: Column) -> Column:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SPARK_TYPES, Cycle
@@ -39,38 +40,16 @@ def contract_rows(vm: DataFrame, cycle: str) -> list[tuple[str, str, str | None]
 
 def harmonize_together(rows: DataFrame, contracts: Mapping[str, list[tuple[str, str, str | None]]],
                        cycles: Sequence[Cycle], lineage: Mapping[str, str]) -> DataFrame:
-    """The rows of several cycles in one relation, in one pass: headers and formats are chosen by ``survey_cycle``.
+    """The rows of several cycles that lie in one relation, a branch for each cycle with its own headers and formats.
 
-    ``contracts`` has each cycle's contract, all with the same names in the same order.
+    A choice by cycle in every column would make one projection too large to compile; a branch reads only its cycle's
+    rows and its mapped columns. ``contracts`` has each cycle's contract, all with the same names in the same order.
     """
-    here = F.col("survey_cycle")
-
-    def by_cycle(values: Sequence[Column], null: Column) -> Column:
-        out = null
-        for cycle, value in zip(cycles, values, strict=True):
-            out = F.when(here == cycle.code, value).otherwise(out)
-        return out
-
-    names = [(name, dtype) for name, dtype, _ in contracts[cycles[0].code]]
-    sources = {name: [dict((n, s) for n, _, s in contracts[c.code])[name] for c in cycles] for name, _ in names}
-    absent = {s for found in sources.values() for s in found if s} - set(rows.columns)
+    absent = {s for c in cycles for _, _, s in contracts[c.code] if s} - set(rows.columns)
     if absent:
         raise KeyError(f"mapped source columns not found: {sorted(absent)}")
-
-    def picked(found: Sequence[str | None]) -> Column:
-        text = F.lit(None).cast("string")
-        if len(set(found)) == 1:
-            return F.col(quoted(found[0])) if found[0] else text
-        return by_cycle([F.col(quoted(s)) if s else text for s in found], text)
-
-    kept = [F.col(quoted(c)).alias(out) for c, out in lineage.items()]
-    order = F.lit(None).cast("int")
-    stripped = rows.select("survey_cycle", *kept, *[strip_whitespace(picked(sources[n])).alias(n) for n, _ in names])
-    typed = stripped.select(
-        "survey_cycle", by_cycle([F.lit(c.order) for c in cycles], order).alias("cycle_order"), *lineage.values(),
-        *[(by_cycle([cast_variable(F.col(n), n, d, c.formats) for c in cycles], F.lit(None).cast(SPARK_TYPES[d]))
-           if d == "timestamp" else cast_variable(F.col(n), n, d, ())).alias(n) for n, d in names])
-    return _derived(typed)
+    return reduce(DataFrame.unionByName, [
+        harmonize(rows.where(F.col("survey_cycle") == c.code), contracts[c.code], c, lineage) for c in cycles])
 
 
 def harmonize(bronze: DataFrame, contract: list[tuple[str, str, str | None]],

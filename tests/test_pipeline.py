@@ -317,6 +317,18 @@ def test_quality(built):
     assert not [k for k, r in checks.items() if r.severity == "error" and r.failed]
 
 
+def test_checks_counted_by_the_writes_equal_those_of_a_scan(built):
+    lake, checks = built
+    fact, stored = lake.table("gold", "fct_survey_submissions"), lake.table("silver", "submission")
+    kept = stored.where("kept = 1").drop("kept", "reject_reason")
+    assert set(lake.counted) == {"submission", "fct_survey_submissions"}
+    for scanned, counted in ((quality.fact_checks(fact), quality.fact_checks(fact, lake.counted["fct_survey_submissions"])),
+                             (quality.silver_checks(kept), lake.counted["submission"])):
+        assert sorted(map(tuple, scanned.collect())) == sorted(map(tuple, counted.collect()))
+        for r in counted.collect():
+            assert (checks[r.check].failed, checks[r.check].total) == (r.failed, r.total)
+
+
 def test_a_failing_error_check_stops_the_run_after_its_results_are_stored(spark, data, variable_map, tmp_path):
     broken = str(tmp_path / "data")
     shutil.copytree(data, broken)

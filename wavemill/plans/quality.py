@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
@@ -20,23 +20,43 @@ from ..operators.decode import decode
 Check = tuple[str, str, Column, Column]
 
 
+def _measures(checks: Sequence[Check]) -> list[Column]:
+    """Failed and total of every check, as the columns of one aggregate."""
+    return [F.coalesce(value, F.lit(0)).cast("bigint").alias(f"{letter}{i}")
+            for i, (_, _, failed, total) in enumerate(checks) for letter, value in (("f", failed), ("t", total))]
+
+
 def _rows(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One aggregate over ``df``, turned into one row per check."""
-    aggs, rows = [], []
-    for i, (name, severity, failed, total) in enumerate(checks):
-        aggs += [F.coalesce(failed, F.lit(0)).cast("bigint").alias(f"f{i}"),
-                 F.coalesce(total, F.lit(0)).cast("bigint").alias(f"t{i}")]
-        rows.append(F.struct(F.lit(name).alias("check"), F.lit(severity).alias("severity"),
-                             F.col(f"f{i}").alias("failed"), F.col(f"t{i}").alias("total"),
-                             F.lit("").alias("detail")))
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    rows = [F.struct(F.lit(name).alias("check"), F.lit(severity).alias("severity"),
+                     F.col(f"f{i}").alias("failed"), F.col(f"t{i}").alias("total"), F.lit("").alias("detail"))
+            for i, (name, severity, _, _) in enumerate(checks)]
+    return df.agg(*_measures(checks)).select(F.inline(F.array(*rows)))
+
+
+def observed(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, Observation]:
+    """``df`` with its checks counted while it is written; to be the last step before the write.
+
+    Tasks of the writing stage add to the counts once, when they succeed, so a lost executor does not count twice.
+    """
+    seen = Observation()
+    return df.observe(seen, *_measures(checks)), seen
+
+
+def from_observation(spark: SparkSession, checks: Sequence[Check], seen: Observation) -> DataFrame:
+    """The rows of checks that were counted in a write."""
+    counts = seen.get
+    return config.literal_frame(
+        spark, [(name, severity, counts[f"f{i}"], counts[f"t{i}"], "") for i, (name, severity, _, _) in enumerate(checks)],
+        "check string, severity string, failed bigint, total bigint, detail string")
 
 
 def _outside(c: Column, lo: float, hi: float) -> Column:
     return ~c.between(lo, hi)
 
 
-def fact_checks(fact: DataFrame) -> DataFrame:
+def fact_rules() -> list[Check]:
+    """The checks that look at one row of the fact at a time."""
     c, n, every = F.col, F.count_if, F.count("*")
     hhip, year = c("hhip_usd_day"), c("hhip_usd_year")
     done, agreed = c("is_completed"), c("is_consented")
@@ -45,10 +65,7 @@ def fact_checks(fact: DataFrame) -> DataFrame:
     minutes = c("interview_duration_min")
     lo_min, hi_min = config.DURATION_MINUTES_RANGE
     reconciles = F.abs(hhip * 365 - year) > 0.01 * F.greatest(year, F.lit(1))
-    # The grain has its own narrow count, so that the other checks stay one map-side aggregate.
-    sizes = fact.groupBy("household_id", "survey_cycle").agg(F.count("*").alias("n"))
-    grain = _rows(sizes, [("grain_unique_household_cycle", "error", F.sum(F.col("n") - 1), F.sum("n"))])
-    return grain.unionByName(_rows(fact, [
+    return [
         ("household_id_format", "warn",
          n(~c("household_id").rlike(config.HOUSEHOLD_ID_LAYOUT)), every),
         ("hh_size_in_range", "warn",
@@ -67,16 +84,30 @@ def fact_checks(fact: DataFrame) -> DataFrame:
          n(agreed & (_outside(c("head_age"), *config.HEAD_AGE_RANGE) | c("head_age").isNull())),
          n(agreed)),
         ("completed_interview_has_consent_answer", "warn", n(done & c("consent").isNull()), n(done)),
-    ]))
+    ]
 
 
-def silver_checks(kept: DataFrame) -> DataFrame:
+def fact_checks(fact: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """``counted``: the rows of ``fact_rules``, if the write of the fact has counted them."""
+    # The grain has its own narrow count, so that the other checks stay one map-side aggregate.
+    sizes = fact.groupBy("household_id", "survey_cycle").agg(F.count("*").alias("n"))
+    grain = _rows(sizes, [("grain_unique_household_cycle", "error", F.sum(F.col("n") - 1), F.sum("n"))])
+    return grain.unionByName(_rows(fact, fact_rules()) if counted is None else counted)
+
+
+def silver_rules(kept: Column | None = None) -> list[Check]:
+    """The checks of kept rows; ``kept`` tells them from others of the same relation."""
+    kept = F.lit(True) if kept is None else kept
     early = F.col("submitted_at") < F.col("started_at") - F.expr("interval 1 day")
-    return _rows(kept, [
+    return [
         ("household_id_needed_normalisation", "info",
-         F.count_if(F.col("household_id_raw") != F.col("household_id")), F.count("*")),
-        ("submitted_after_started", "warn", F.count_if(early), F.count("*")),
-    ])
+         F.count_if(kept & (F.col("household_id_raw") != F.col("household_id"))), F.count_if(kept)),
+        ("submitted_after_started", "warn", F.count_if(kept & early), F.count_if(kept)),
+    ]
+
+
+def silver_checks(kept: DataFrame) -> DataFrame:
+    return _rows(kept, silver_rules())
 
 
 def history_checks(history: DataFrame) -> DataFrame:
@@ -133,10 +164,12 @@ def household_checks(households: DataFrame) -> DataFrame:
 
 
 def model_checks(fact: DataFrame, kept: DataFrame, history: DataFrame, geography: DataFrame,
-                 time: DataFrame, households: DataFrame, lists: DataFrame) -> DataFrame:
-    """The 21 checks over silver and the star schema."""
+                 time: DataFrame, households: DataFrame, lists: DataFrame,
+                 fact_counted: DataFrame | None = None, kept_counted: DataFrame | None = None) -> DataFrame:
+    """The 21 checks over silver and the star schema; those that the writes have counted are not counted again."""
     return reduce(DataFrame.unionByName, [
-        fact_checks(fact), silver_checks(kept), history_checks(history),
+        fact_checks(fact, fact_counted), silver_checks(kept) if kept_counted is None else kept_counted,
+        history_checks(history),
         geography_checks(geography), unmatched_checks(fact, geography, time),
         district_checks(kept, lists), household_checks(households)])
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +29,8 @@ class Lake:
     spark: SparkSession
     root: str
     cycles: Sequence[config.Cycle] = config.CYCLES
+    #: Rows of checks that this run's writes have counted, by the table written.
+    counted: dict[str, DataFrame] = field(default_factory=dict)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -105,7 +107,10 @@ def build_silver(lake: Lake, bronze: dict[str, str], vm: DataFrame) -> tuple[Dat
     # Both halves in one write; as partitions they are read apart without a scan of the other.
     tagged = dedupe.tag_submissions(rows).withColumn(
         "kept", F.when(F.col("reject_reason").isNull(), 1).otherwise(0))
+    rules = quality.silver_rules(F.col("kept") == 1)
+    tagged, seen = quality.observed(tagged, rules)
     stored = sinks.write_table(tagged, lake.path("silver", "submission"), ["kept"])
+    lake.counted["submission"] = quality.from_observation(lake.spark, rules, seen)
     kept = stored.where("kept = 1").drop("kept", "reject_reason")
     dedupe.check_kept(kept)
     return kept, stored.where("kept = 0").drop("kept")
@@ -129,8 +134,9 @@ def build_gold(lake: Lake, kept: DataFrame, quarantine: DataFrame, label_map: Da
     put("dim_geography_name_history", dims.geography_name_history(kept))
     places = put("dim_geography", dims.dim_geography(kept, regions))
     households = put("dim_household", dims.dim_household(kept, len(lake.cycles)))
-    fact = put("fct_survey_submissions",
-               facts.layout(facts.fct_survey_submissions(kept, lists)))
+    laid, seen = quality.observed(facts.layout(facts.fct_survey_submissions(kept, lists)), quality.fact_rules())
+    fact = put("fct_survey_submissions", laid)
+    lake.counted["fct_survey_submissions"] = quality.from_observation(lake.spark, quality.fact_rules(), seen)
     operations = put("rpt_field_operations", reports.rpt_field_operations(submissions))
     put("rpt_field_operations_cycle", reports.rpt_field_operations_cycle(
         operations, kept, submissions, lake.table("meta", "meta_silver_variable")))
@@ -161,7 +167,7 @@ def run_quality(lake: Lake, bronze: dict[str, str], kept: DataFrame, quarantine:
     checks = checks.unionByName(quality.model_checks(
         gold["fct_survey_submissions"], kept, gold["dim_geography_name_history"],
         gold["dim_geography"], gold["dim_time"], gold["dim_household"],
-        gold["meta_choice_decode"]))
+        gold["meta_choice_decode"], lake.counted.get("fct_survey_submissions"), lake.counted.get("submission")))
     results = lake.write(quality.dq_results(checks), "gold", "dq_results")
     variables = lake.table("meta", "meta_variable")
     lake.write(catalog.schema_drift(variables, codes), "gold", "dq_schema_drift")

@@ -38,6 +38,8 @@ OPENED = 7 / 8
 BLOCK_ROWS, PART_QUERIES = 32, 8
 #: Share of what a query reads in a block that is ranked by cosine, and the least number.
 RERANKED, LEAST_RERANKED = 1 / 8, 64
+#: Rows that are compared at once.
+_PIECE = 2048
 
 
 def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -102,10 +104,11 @@ class Block:
         edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
         worth = (self.posted - np.arange(self.posted, dtype=np.int16))[:, None]
         places, saved = [], []
-        for a, b in self.ends[edges].reshape(-1, 2):  # files side by side are read at once
-            both = np.minimum(self.worth[near[:self.posted], a:b], worth)
-            saved.append(both.sum(axis=0, dtype=self.sums))
-            places.append(np.arange(a, b))
+        for start, end in self.ends[edges].reshape(-1, 2):  # files side by side are read at once
+            for a in range(start, end, _PIECE):
+                both = self.worth[near[:self.posted], a:min(a + _PIECE, end)]
+                saved.append(np.minimum(both, worth, out=both).sum(axis=0, dtype=self.sums))
+            places.append(np.arange(start, end))
         return (np.concatenate(places), np.concatenate(saved)) if places else (np.zeros(0, int), np.zeros(0, self.sums))
 
     def best(self, query: np.ndarray, near: np.ndarray, opened: int, k: int) -> tuple[np.ndarray, np.ndarray]:

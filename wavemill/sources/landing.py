@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import literal_frame
 from ..sinks import append_manifest, path_exists
+from .digest import content_digests
 
 MANIFEST_SCHEMA = ("survey_cycle string, kind string, file string, path string, sha256 string, "
                    "bytes bigint, status string, seen_at timestamp")
@@ -20,13 +21,12 @@ def plain_path(path: Column) -> Column:
 def fingerprints(spark: SparkSession, sources: DataFrame) -> DataFrame:
     """``sources``: survey_cycle, kind, path. Adds file, bytes and sha256; files belong to their whole path.
 
-    Files are opened and hashed by Spark's own reader, so any file system that it knows will do. The list of
-    sources is configuration: two files a cycle.
+    Files are opened and hashed by Spark's own readers, so any file system that they know will do, and files of
+    any size. The list of sources is configuration: two files a cycle.
     """
     paths = [r.path for r in sources.select("path").distinct().collect()]
-    hashed = (spark.read.format("binaryFile").load(paths)
-              .select(plain_path(F.col("path")).alias("_path"), F.col("path"), F.col("length").alias("bytes"),
-                      F.sha2("content", 256).alias("sha256"),
+    hashed = (content_digests(spark, paths)
+              .select(plain_path(F.col("path")).alias("_path"), "path", "bytes", "sha256",
                       F.element_at(F.split("path", "/"), -1).alias("file")))
     wanted = sources.select("survey_cycle", "kind", plain_path(F.col("path")).alias("_path"))
     return hashed.join(wanted, "_path").select("survey_cycle", "kind", "file", "path", "sha256", "bytes")

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import config
 from ..sinks import path_exists
+from ..sources.digest import content_digests
 from ..sources.exports import CSV_OPTIONS, FILE_HASH, export_schema, with_lineage, with_source_row
 from ..sources.landing import plain_path
 
@@ -44,8 +45,8 @@ def ingest_new_files(spark: SparkSession, folder: str, headers: Sequence[str], c
         if path_exists(session, numbers):
             earlier = session.read.schema("last long, batch long").parquet(numbers).where(F.col("batch") < batch_id)
             offset = earlier.agg(F.max("last")).first()[0] or 0
-        hashed = session.read.format("binaryFile").load(files).select(
-            plain_path(F.col("path")).alias("_hashed"), F.sha2("content", 256).alias(FILE_HASH))
+        hashed = content_digests(session, files).select(
+            plain_path(F.col("path")).alias("_hashed"), F.col("sha256").alias(FILE_HASH))
         rows = with_source_row(batch, offset)
         rows = rows.join(hashed, plain_path(F.col("_metadata.file_path")) == F.col("_hashed")).drop(
             "_metadata", "_hashed", config.INDEX_COLUMN)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -45,9 +45,27 @@ def crosstab(df: DataFrame, rows: str, columns: str) -> DataFrame:
 
 
 def sample_values(df: DataFrame, column: str, k: int = 3, seed: int = 1) -> DataFrame:
-    """``k`` non-NULL values in a seeded order; a per-partition top-k, not a sort."""
-    return (df.where(F.col(column).isNotNull()).select(column)
-            .orderBy(F.rand(seed)).limit(k))
+    """``k`` distinct non-NULL values in a seeded order; a per-partition top-k, not a sort."""
+    values = df.where(F.col(column).isNotNull()).select(column).distinct()
+    return values.orderBy(_seeded(column, seed), column).limit(k)
+
+
+def sample_by(df: DataFrame, columns: Sequence[str], by: str = "survey_cycle", k: int = 3, seed: int = 1) -> DataFrame:
+    """(``by``, ``column``, ``nth``, ``value``): ``k`` distinct non-NULL values of each column and group, as text.
+
+    Which ones depends on the values and the seed alone, not on the order or partitioning of rows. Equal values are
+    merged map-side, and each task ranks what it has before anything is shuffled for the final ranks, so neither
+    a large group nor a commonest value gathers in one task.
+    """
+    long = df.select(by, *(F.col(f"`{c}`").cast("string").alias(c) for c in columns)).unpivot(
+        by, [F.col(f"`{c}`") for c in columns], "column", "value").where(F.col("value").isNotNull()).distinct()
+    order = Window.partitionBy(by, "column").orderBy(_seeded("value", seed), "value")
+    return long.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).select(
+        by, "column", "nth", "value")
+
+
+def _seeded(column: str, seed: int) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(f"`{column}`").cast("string")))
 
 
 def all_null_columns(profile: DataFrame, by: str = "survey_cycle") -> DataFrame:

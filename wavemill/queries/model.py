@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions import casts, derive, text
+from ..functions import casts, derive, sql, text
 from ..operators import catalog, dedupe, decode, harmonize, labels, profiling
 from ..operators.median import exact_median
 from ..plans import dims, facts, quality, reads, reports
@@ -325,6 +325,17 @@ def _title_case(s: Survey) -> DataFrame:
         .alias("title"))
 
 
+def _sql_functions(s: Survey) -> DataFrame:
+    """Titles, place keys and answers' labels of all submissions, in SQL alone."""
+    sql.register(s.spark)
+    sql.register_choice_label(s.spark, s.lists.select("survey_cycle", "field", "code", "label"))
+    labelled = ", ".join(
+        f"coalesce(choice_label(survey_cycle, '{field}', CAST({code} AS STRING)), {repr(default) if default else 'NULL'}) "
+        f"AS {name}" for field, code, name, default in config.DECODED_FIELDS)
+    return s.spark.sql("SELECT source_row, title_case(district) AS district, geo_key(district, village) AS geo_key, "
+                       f"{labelled} FROM {{subs}}", subs=s.submissions)
+
+
 def _dedupe(s: Survey) -> DataFrame:
     return dedupe.dedupe_latest(s.submissions).select(
         "survey_cycle", "source_row", "household_id", "submission_key", "submitted_at",
@@ -351,6 +362,7 @@ QUERIES: dict[str, Callable[[Survey], DataFrame]] = {
     "geo_key": lambda s: s.submissions.select(
         "source_row", derive.geo_key(F.col("district"), F.col("village")).alias("geo_key")),
     "title_case": _title_case,
+    "sql_functions": _sql_functions,
     "status_labels": lambda s: s.submissions.select(
         "source_row", derive.status_label(F.col("interview_status")).alias("interview_status_label")),
     "demographic_bands": lambda s: s.submissions.select(
@@ -377,6 +389,7 @@ QUERIES: dict[str, Callable[[Survey], DataFrame]] = {
         s.submissions.select("survey_cycle", F.col("household_id_raw").alias("raw"),
                              F.col("household_id").alias("normalised")),
         ["raw", "normalised"], len(CODES)),
+    "sample_values": lambda s: profiling.sample_by(s.submissions, ["household_id_raw", "district", "district_code"]),
     "profile_ids": lambda s: profiling.profile_ids(s.submissions, "household_id_raw"),
     "district_crosstab": lambda s: profiling.crosstab(
         s.submissions.withColumn("district", F.upper(F.trim("district"))),

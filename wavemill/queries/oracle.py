@@ -422,6 +422,12 @@ def _queries() -> dict[str, str]:
         "count(*) FILTER (WHERE nth > 1) AS surplus_rows FROM (SELECT *, count(*) OVER (PARTITION BY survey_cycle, "
         "household_id_raw) AS n, row_number() OVER (PARTITION BY survey_cycle, household_id_raw ORDER BY source_row) AS nth "
         "FROM subs) GROUP BY survey_cycle")
+    seeded = " UNION ALL ".join(
+        f"SELECT DISTINCT survey_cycle, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM subs WHERE {c} IS NOT NULL"
+        for c in ("household_id_raw", "district", "district_code"))
+    q["sample_values"] = (
+        "SELECT survey_cycle, \"column\", CAST(nth AS INTEGER) AS nth, value FROM (SELECT *, row_number() OVER (PARTITION BY "
+        f"survey_cycle, \"column\" ORDER BY md5('1|' || value), value) AS nth FROM ({seeded})) WHERE nth <= 3")
     q["district_crosstab"] = (
         "SELECT district_code, upper(trim(district)) AS district, count(*) AS n FROM subs "
         "WHERE district_code IS NOT NULL AND district IS NOT NULL GROUP BY ALL")
@@ -437,6 +443,9 @@ def _queries() -> dict[str, str]:
         "SELECT p.survey_cycle, p.field, p.code, p.raw_label, coalesce(c.conformed_label, p.label) AS label "
         "FROM part_choices p LEFT JOIN conform c ON c.field = p.field AND c.raw_label = p.label")
     q["choice_decode"] = f"SELECT s.source_row, {_labels('s')} FROM subs s"
+    q["sql_functions"] = (
+        f"SELECT s.source_row, {_title('s.district')} AS district, md5(lower(trim(s.district)) || '|' || "
+        f"lower(trim(s.village))) AS geo_key, {_labels('s')} FROM subs s")
     q["fct_survey_submissions"] = "SELECT * FROM fact"
     q["rpt_field_operations"] = "SELECT * FROM ops"
     q["rpt_field_operations_cycle"] = "SELECT * FROM opc"

@@ -46,8 +46,8 @@ def crosstab(df: DataFrame, rows: str, columns: str) -> DataFrame:
 
 def sample_values(df: DataFrame, column: str, k: int = 3, seed: int = 1) -> DataFrame:
     """``k`` distinct non-NULL values in a seeded order; a per-partition top-k, not a sort."""
-    values = df.where(F.col(column).isNotNull()).select(column).distinct()
-    return values.orderBy(_seeded(column, seed), column).limit(k)
+    value = F.col(f"`{column}`")
+    return df.where(value.isNotNull()).select(value).distinct().orderBy(_seeded(column, seed), value).limit(k)
 
 
 def sample_by(df: DataFrame, columns: Sequence[str], by: str = "survey_cycle", k: int = 3, seed: int = 1) -> DataFrame:
@@ -57,8 +57,8 @@ def sample_by(df: DataFrame, columns: Sequence[str], by: str = "survey_cycle", k
     merged map-side, and each task ranks what it has before anything is shuffled for the final ranks, so neither
     a large group nor a commonest value gathers in one task.
     """
-    long = df.select(by, *(F.col(f"`{c}`").cast("string").alias(c) for c in columns)).unpivot(
-        by, [F.col(f"`{c}`") for c in columns], "column", "value").where(F.col("value").isNotNull()).distinct()
+    cells = F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns))
+    long = df.select(by, F.inline(cells)).where(F.col("value").isNotNull()).distinct()
     order = Window.partitionBy(by, "column").orderBy(_seeded("value", seed), "value")
     return long.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).select(
         by, "column", "nth", "value")

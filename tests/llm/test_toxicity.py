@@ -52,6 +52,27 @@ def test_quotation_and_address():
     assert scorer.features("rotter rotter")[0][0] == 5.0
 
 
+def test_words_with_digits_and_signs():
+    assert list(toxicity.spelt("st*pid,")) == ["st", "pid", "st*pid"]
+    assert list(toxicity.spelt("(id1ot!)")) == ["id", "ot", "id1ot"]
+    assert list(toxicity.spelt("word.")) == ["word"] and list(toxicity.spelt("2023-11-05")) == []
+    assert list(toxicity.spelt("")) == [] and list(toxicity.spelt("a1" * 30)) == ["a"] * 30
+    scorer = toxicity.Scorer(toxicity.Lexicon({t: (4.0, 5.0, 6.0) for t in ("idiot", "stupid", "scum")}))
+    for word, term in (("id1ot", "idiot"), ("st*pid", "stupid"), ("stup1d!", "stupid"), ("scumm", "scum"), ("scom", "scum")):
+        assert scorer.features(f"such a {word} here")[1] == [term], word
+    assert scorer.features("the sum of 17 items, a b1 and st")[1] == ["scum"]  # one edit; clean texts tell of such words
+    guarded = toxicity.Scorer(toxicity.Lexicon({"scum": (4.0, 5.0, 6.0)}, frozenset({"sum"})))
+    assert guarded.features("the sum of 17 items")[1] == []
+
+
+def test_a_fit_does_not_depend_on_partitioning(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    once = toxicity.fit(docs, labels)
+    again = toxicity.fit(docs.unionByName(docs).repartition(7, "text"), labels.repartition(3))
+    assert once.terms and once == again
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")

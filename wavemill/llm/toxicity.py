@@ -8,13 +8,14 @@ and go to every task.
 Scoring. The terms form a trie, and a word is read against all of them at once: a state is the set of trie nodes
 that are within reach with the edits spent so far, the product of the trie and one Levenshtein automaton a term,
 made into a deterministic automaton as words need it. Edits allowed grow with the term; stems, whose endings are
-free, allow none. A word that is not the term itself counts less, and not at all if the sample has it in clean
+free, allow none. What stands between white space is also read whole if digits or signs replace
+letters in it. A word that is not the term itself counts less, and not at all if the sample has it in clean
 texts. Every hit is weighed by the words
 around it: a hit between quotation marks or behind a word of reporting is quoted, one near a second person is
 aimed at somebody. A logistic model over the sums, fitted on the sample, gives the score.
 
 Rows: NULL counts as empty; a text without hits has the model's lowest score; rows with equal text have equal
-scores; without labels of both kinds the lexicon is empty and every score is that of a toxic share of zero; an
+scores, and a fit gives the same model however rows are dealt; without labels of both kinds the lexicon is empty and every score is that of a toxic share of zero; an
 empty table gives an empty table. Columns called like a result are replaced, all others but the text stay.
 """
 
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavemill.llm.shared import slices
+from wavemill.llm.shared import cut, slices
 
 #: Labelled texts of either label that the model is fitted on, at most, and terms of the lexicon.
 MAX_ROWS, MAX_TERMS = 6_000, 2_000
@@ -52,6 +53,10 @@ WINDOW = 5
 _CACHE, _STATES = 300_000, 50_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
+#: Around a token, and a token with letters first or last and a few digits or signs among them, as in "w0rd", "w*rd".
+_OUTER = re.compile(r"^[^\w*@$!]+|[^\w*@$]+$")
+_MIXED = re.compile(r"(?=.*[^\W\d_].*[^\W\d_])\w*(?:[\d*@$!#_]\w*){1,3}")
+_LONGEST = 40
 _QUOTES = frozenset("\"“”„‟«»‹›")
 #: Words of reporting and of address, in the four languages of the corpus (fixed values).
 REPORTING = frozenset("said says say wrote called calls quote quoted term word words reported dit disait écrit mot "
@@ -71,7 +76,15 @@ class Lexicon:
 
 def edits(term: str) -> int:
     """Edits that a misspelling of a term may have."""
-    return 0 if term.endswith("*") or len(term) < 5 else 1 if len(term) < 9 else 2
+    return 0 if term.endswith("*") or len(term) < 4 else 1 if len(term) < 9 else 2
+
+
+def spelt(token: str) -> Iterator[str]:
+    """The words of what stands between white space, and all of it if signs or digits replace letters inside."""
+    yield from _LETTERS.findall(token)
+    whole = "" if token.isalpha() else _OUTER.sub("", token)
+    if len(whole) <= _LONGEST and not whole.isalpha() and _MIXED.fullmatch(whole):
+        yield whole
 
 
 class Automaton:
@@ -155,7 +168,7 @@ class Scorer:
 
     def token(self, token: str) -> list[tuple[str, int]] | None:
         """Terms, with the edits they take, that the words of what stands between white space hit."""
-        hits = [(m, w) for w in _LETTERS.findall(token.lower()) if (m := self.automaton.match(w))]
+        hits = [(m, w) for w in spelt(token.lower()) if (m := self.automaton.match(w))]
         return [m for m, w in hits if not m[1] or w not in self.lexicon.plain] or None
 
     def weight(self, hits: dict[str, list[int]], term: str) -> float:
@@ -222,8 +235,12 @@ def sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, max_rows:
               for label in (0, 1)]
     few = F.broadcast(picked[0].unionByName(picked[1]))  # 2 * max_rows rows of two numbers
     texts = docs.select(F.col(doc_id), F.coalesce(text, F.lit("")).alias("text")).join(few, doc_id)
-    return texts.select("text", "toxic").mapInArrow(_marked, "text string, toxic int, mark long").dropDuplicates(
-        ["mark", "toxic"]).drop("mark")
+    marked = texts.select(F.col(doc_id).alias("id"), "text", "toxic").mapInArrow(
+        _marked, T.StructType([T.StructField("id", docs.schema[doc_id].dataType), T.StructField("text", T.StringType()),
+                               T.StructField("toxic", T.IntegerType()), T.StructField("mark", T.LongType())]))
+    # Which of a group stays hangs on its rows alone, so that a fit gives the same model however rows are dealt.
+    least = F.min(F.struct("id", F.xxhash64("text").alias("hash"), "text")).alias("row")
+    return marked.groupBy("mark", "toxic").agg(least).select("row.text", "toxic")
 
 
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,26 +253,25 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             triples = zip(words, words[1:], words[2:], strict=False)
             marks.append(min((xxh3_64_intdigest(" ".join(t)) >> 1 for t in triples),
                              default=xxh3_64_intdigest(" ".join(words)) >> 1))
-        yield pa.RecordBatch.from_arrays([batch.column("text"), batch.column("toxic"), pa.array(marks, pa.int64())],
-                                         ["text", "toxic", "mark"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("text"), batch.column("toxic"), pa.array(marks, pa.int64())],
+            ["id", "text", "toxic", "mark"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
         max_rows: int = MAX_ROWS, max_terms: int = MAX_TERMS) -> Lexicon:
     """Terms, near misses and weights from the labelled rows that are not held out."""
-    texts = sample(docs, labels, doc_id, text, max_rows).persist()
-    try:
-        counts = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-        toxic, clean = counts.get(1, 0), counts.get(0, 0)
-        if not toxic or not clean:
-            return Lexicon()
-        terms = _terms(texts, toxic, clean, max_terms)
-        lexicon = Lexicon(terms, _near_misses(texts, terms))
-        rows = texts.mapInArrow(_featured(lexicon), "toxic int, f array<double>").collect()  # max_rows bounds it
-        lexicon.model = _logistic([r["f"] for r in rows], [r["toxic"] for r in rows])
-        return lexicon
-    finally:
-        texts.unpersist()
+    texts = cut(sample(docs, labels, doc_id, text, max_rows))
+    counts = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    toxic, clean = counts.get(1, 0), counts.get(0, 0)
+    if not toxic or not clean:
+        return Lexicon()
+    terms = _terms(texts, toxic, clean, max_terms)
+    lexicon = Lexicon(terms, _near_misses(texts, terms))
+    rows = sorted((r["toxic"], r["f"]) for r in
+                  texts.mapInArrow(_featured(lexicon), "toxic int, f array<double>").collect())  # max_rows bounds it
+    lexicon.model = _logistic([f for _, f in rows], [label for label, _ in rows])  # sums in one order in every run
+    return lexicon
 
 
 def _terms(texts: DataFrame, toxic: int, clean: int, max_terms: int) -> dict[str, tuple[float, ...]]:
@@ -305,7 +321,7 @@ def _near_misses(texts: DataFrame, terms: dict[str, tuple[float, ...]]) -> froze
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(sorted(terms))
         for batch in slices(batches, "text"):
-            words = {w for whole in batch.column("text").to_pylist() for w in _LETTERS.findall(whole.lower())}
+            words = {w for whole in batch.column("text").to_pylist() for t in set(whole.lower().split()) for w in spelt(t)}
             near = [w for w in words if (m := automaton.match(w)) and m[1]]
             yield pa.RecordBatch.from_pydict({"word": pa.array(near, pa.string())})
 

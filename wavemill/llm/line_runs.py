@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavemill.llm.shared import cut, drop_folder, raw_texts, shared_folder, slices
+from wavemill.llm.shared import cut, drop_folder, fresh, raw_texts, shared_folder, slices
 
 #: Runs of one level that are merged into one of the next.
 FANOUT = 2
@@ -137,16 +137,17 @@ def drop_repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text
     dropped = lines.join(common, _KEY).where("doc <> holder")
     listed = cut(dropped.groupBy("doc").agg(F.flatten(F.collect_list(F.array(*_KEY))).alias("_drops")))
     drop_folder(spark, folder)  # all that is needed of it has been written
-    return _apply(df.join(listed.withColumnRenamed("doc", "_doc"), F.col(doc_id) == F.col("_doc"), "left").drop("_doc"),
-                  df.schema, text, min_chars)
+    name, drops = fresh(df, "_doc", "_drops")
+    marked = df.join(listed.toDF(name, drops), F.col(doc_id) == F.col(name), "left").drop(name)
+    return _apply(marked, df.schema, text, min_chars, drops)
 
 
-def _apply(df: DataFrame, schema: T.StructType, text: str, min_chars: int) -> DataFrame:
-    """Drop each row's lines whose hash is in its ``_drops``."""
+def _apply(df: DataFrame, schema: T.StructType, text: str, min_chars: int, listed: str) -> DataFrame:
+    """Drop each row's lines whose hash is ``listed``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
             texts, before, gone = batch.column(text).to_pylist(), [], []
-            for i, drops in enumerate(batch.column("_drops").to_pylist()):
+            for i, drops in enumerate(batch.column(listed).to_pylist()):
                 whole = (texts[i] or "").encode()
                 before.append(whole.count(b"\n") + 1)
                 gone.append(0)

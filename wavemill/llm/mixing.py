@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wavemill.llm.shared import cut
+from wavemill.llm.shared import cut, fresh
 
 #: Words of a block, the unit that is drawn.
 BLOCK_WORDS = 64
@@ -155,9 +155,9 @@ def mix(df: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 0, doc_id: st
         "a.doc_id", "a.source", "a.size", "s.source_size", "s.target", "a.taken")
 
 
-def _keys(doc_id: str, mark: Column, source: str) -> list[Column]:
-    return [F.coalesce(F.col(doc_id), F.lit(0)).cast("long").alias("_id"), mark.alias("_mark"),
-            F.xxhash64(source, F.isnull(doc_id)).alias("_of")]
+def _keys(names: list[str], doc_id: str, mark: Column, source: str) -> list[Column]:
+    return [c.alias(n) for c, n in zip((F.coalesce(F.col(doc_id), F.lit(0)).cast("long"), mark,
+                                        F.xxhash64(source, F.isnull(doc_id))), names, strict=True)]
 
 
 def mixed_documents(df: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 0, doc_id: str = "doc_id",
@@ -170,16 +170,16 @@ def mixed_documents(df: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 0
     sources = cut(targets(sizes))
     taken = mixed_pieces(sizes, sources, block_words, seed)
     spans = taken.groupBy("doc_id", "mark", "source", "epoch").agg(
-        F.sort_array(F.collect_list(F.struct("first", "n_words"))).alias("_spans"))
+        F.sort_array(F.collect_list(F.struct("first", "n_words"))).alias("spans"))
     # One key without NULLs for both steps, so that texts are shuffled once.
-    key = ["_id", "_mark", "_of"]
-    spans = spans.select("_spans", *_keys("doc_id", F.col("mark"), "source"))
-    marked = df.select("*", *_keys(doc_id, F.xxhash64(text), source)).dropDuplicates(key)
+    *key, parts, words = fresh(df, "_id", "_mark", "_of", "_spans", "_words")
+    spans = spans.select(F.col("spans").alias(parts), *_keys(key, "doc_id", F.col("mark"), "source"))
+    marked = df.select("*", *_keys(key, doc_id, F.xxhash64(text), source)).dropDuplicates(key)
     # As a generated column the words are found once a row; as a projected one they would be once a span.
     rows = marked.join(spans.hint("merge"), key).select(
-        "*", F.explode(F.array(words_of(text, _WORD_AND_SPACE))).alias("_words"))
-    whole = F.array_join(F.transform("_spans", lambda s: F.array_join(
-        F.slice("_words", (s["first"] + 1).cast("int"), s["n_words"].cast("int")), "")), "")
+        "*", F.explode(F.array(words_of(text, _WORD_AND_SPACE))).alias(words))
+    whole = F.array_join(F.transform(parts, lambda s: F.array_join(
+        F.slice(words, (s["first"] + 1).cast("int"), s["n_words"].cast("int")), "")), "")
     rows = rows.withColumn(text, whole)
     if n_chars in df.columns:
         rows = rows.withColumn(n_chars, F.length(text).cast(df.schema[n_chars].dataType))

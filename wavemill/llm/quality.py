@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavemill.llm.shared import cut, slices
+from wavemill.llm.shared import cut, fresh, slices
 
 _SPACES = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
@@ -141,7 +141,11 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 500) ->
 
 def judged(df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """``df`` with the counts, ``base_failed``, ``quality`` (the posterior) and ``kept`` in place of its text."""
-    rows = cut(measured(df.drop("base_failed", "quality", "kept"), text))
+    df = df.drop("base_failed", "quality", "kept")
+    internal = {*_SHARES, *(f"_{r}" for r in RULES)}
+    clashing = [c for c in df.columns if c != text and c.lower() in internal]
+    aside = dict(zip(clashing, fresh(df, *(f"{c}_aside" for c in clashing)), strict=True))
+    rows = cut(measured(df.withColumnsRenamed(aside), text))
     voted = rows.select("*", *(vote(r).alias(f"_{r}") for r in RULES))
     names = [f"_{r}" for r in RULES]
     counted = voted.groupBy(*names).count().collect()  # 3 ** len(RULES) rows at most
@@ -151,4 +155,5 @@ def judged(df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFra
         odds = odds + F.when(F.col(name) == 1, w[1]).when(F.col(name) == -1, w[-1]).otherwise(w[0])
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged_rows = voted.withColumn("base_failed", failed).withColumn("quality", 1 / (1 + F.exp(-odds)))
-    return judged_rows.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold)).drop(*names, *_SHARES)
+    rows = judged_rows.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold)).drop(*names, *_SHARES)
+    return rows.withColumnsRenamed({new: old for old, new in aside.items()})

@@ -31,12 +31,18 @@ class Lake:
     cycles: Sequence[config.Cycle] = config.CYCLES
     #: Rows of checks that this run's writes have counted, by the table written.
     counted: dict[str, DataFrame] = field(default_factory=dict)
+    #: Buckets by household of silver, fact and households, the same for all; from the rows of silver where not given.
+    buckets: int | None = None
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
     def table(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, name))
+        return sinks.read_table(self.spark, self.path(layer, name))
+
+    def write_by_household(self, df: DataFrame, layer: str, name: str, order: Sequence[str],
+                           partition_by: Sequence[str] = ()) -> DataFrame:
+        return sinks.write_buckets(df, self.path(layer, name), dedupe.HOUSEHOLD, order, self.buckets, partition_by)
 
     def write(self, df: DataFrame, layer: str, name: str) -> DataFrame:
         return sinks.write_table(df, self.path(layer, name))
@@ -104,12 +110,13 @@ def build_silver(lake: Lake, bronze: dict[str, str], vm: DataFrame) -> tuple[Dat
         contract = harmonize.contract_rows(vm, cycle.code)
         typed.append(harmonize.harmonize(lake.spark.read.parquet(bronze[cycle.code]), contract, cycle))
     rows = lake.write(reduce(DataFrame.unionByName, typed), "silver", "typed")
+    lake.buckets = lake.buckets or sinks.bucket_number(rows.count())
     # Both halves in one write; as partitions they are read apart without a scan of the other.
     tagged = dedupe.tag_submissions(rows).withColumn(
         "kept", F.when(F.col("reject_reason").isNull(), 1).otherwise(0))
     rules = quality.silver_rules(F.col("kept") == 1)
-    tagged, seen = quality.observed(tagged, rules)
-    stored = sinks.write_table(tagged, lake.path("silver", "submission"), ["kept"])
+    tagged, seen = quality.observed(sinks.in_buckets(tagged, dedupe.HOUSEHOLD, lake.buckets), rules)
+    stored = lake.write_by_household(tagged, "silver", "submission", [dedupe.HOUSEHOLD], ["kept"])
     lake.counted["submission"] = quality.from_observation(lake.spark, rules, seen)
     kept = stored.where("kept = 1").drop("kept", "reject_reason")
     dedupe.check_kept(kept)
@@ -133,9 +140,15 @@ def build_gold(lake: Lake, kept: DataFrame, quarantine: DataFrame, label_map: Da
     days = put("dim_time", dims.dim_time(submissions))
     put("dim_geography_name_history", dims.geography_name_history(kept))
     places = put("dim_geography", dims.dim_geography(kept, regions))
-    households = put("dim_household", dims.dim_household(kept, len(lake.cycles)))
-    laid, seen = quality.observed(facts.layout(facts.fct_survey_submissions(kept, lists)), quality.fact_rules())
-    fact = put("fct_survey_submissions", laid)
+    # By household like silver: where these are joined or grouped by household nothing is shuffled. Kept rows have one
+    # household a cycle, so no bucket is heavy; in a bucket the fact lies by cycle, which reads of a cycle skip by.
+    lake.buckets = lake.buckets or sinks.bucket_number(kept.count())
+    households = gold["dim_household"] = lake.write_by_household(
+        dims.dim_household(kept, len(lake.cycles)), "gold", "dim_household", [dedupe.HOUSEHOLD])
+    laid, seen = quality.observed(sinks.in_buckets(
+        facts.fct_survey_submissions(kept, lists), dedupe.HOUSEHOLD, lake.buckets), quality.fact_rules())
+    fact = gold["fct_survey_submissions"] = lake.write_by_household(
+        laid, "gold", "fct_survey_submissions", ["cycle_order", dedupe.HOUSEHOLD])
     lake.counted["fct_survey_submissions"] = quality.from_observation(lake.spark, quality.fact_rules(), seen)
     operations = put("rpt_field_operations", reports.rpt_field_operations(submissions))
     put("rpt_field_operations_cycle", reports.rpt_field_operations_cycle(

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import math
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +51,81 @@ def write_layout(df: DataFrame, path: str, order: list[str]) -> DataFrame:
     return write_table(df.repartitionByRange(*order).sortWithinPartitions(*order), path)
 
 
+#: Rows that a bucket of a table is meant to hold.
+BUCKET_ROWS = 2_000_000
+#: What a bucketed table keeps beside its files, so that other sessions can read it by buckets too.
+_BUCKETS = "_buckets"
+
+
+def bucket_number(rows: int) -> int:
+    """Buckets of a table of so many rows, a power of two and 4 at least."""
+    return 1 << max(2, math.ceil(math.log2(max(1.0, rows / BUCKET_ROWS))))
+
+
+def table_name(spark: SparkSession, path: str) -> str:
+    """What a table stored at ``path`` is called in the catalog: tables of two lakes never share a name."""
+    whole = _qualified(spark, path)
+    return f"{whole.rstrip('/').split('/')[-1]}_{hashlib.sha256(whole.encode()).hexdigest()[:12]}"
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
+def in_buckets(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``df`` with each bucket's rows together; one whose key is very common is split over tasks by the adaptive plan."""
+    return df.hint("rebalance", buckets, key)
+
+
+def write_buckets(df: DataFrame, path: str, key: str, order: Sequence[str], buckets: int,
+                  partition_by: Sequence[str] = ()) -> DataFrame:
+    """Replace a table stored in buckets of ``key``: joins and aggregates on it need no shuffle when it is read.
+
+    Rows are written where they lie, so ``df`` should come from ``in_buckets`` or have been grouped by ``key`` over
+    bucketed tables; otherwise each task writes a file into every bucket.
+    """
+    spark = df.sparkSession
+    name, whole = table_name(spark, path), _qualified(spark, path)
+    writer = (df.write.mode("overwrite").format("parquet").option("path", whole)
+              .bucketBy(buckets, key).sortBy(*order))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(name)
+    spec = {"key": key, "order": list(order), "buckets": buckets, "partition_by": list(partition_by),
+            "schema": spark.table(name).schema.json()}
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{whole}/{_BUCKETS}")
+    out = mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark, True)
+    out.write(bytearray(json.dumps(spec).encode()))
+    out.close()
+    return spark.table(name)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table, by its buckets if it was written in buckets, in whatever session."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_BUCKETS}")
+    if not path_exists(spark, str(mark)):
+        return spark.read.parquet(path)
+    name = table_name(spark, path)
+    if not spark.catalog.tableExists(name):
+        stream = mark.getFileSystem(spark._jsc.hadoopConfiguration()).open(mark)
+        spec = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        stream.close()
+        _attach(spark, name, _qualified(spark, path), spec)
+    return spark.table(name)
+
+
+def _attach(spark: SparkSession, name: str, path: str, spec: dict) -> None:
+    """Tell this session's catalog of a bucketed table that another one has written."""
+    fields = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(spec["schema"]).toDDL()
+    quoted = lambda names: ", ".join(f"`{n}`" for n in names)
+    parts = f"PARTITIONED BY ({quoted(spec['partition_by'])})" if spec["partition_by"] else ""
+    spark.sql(f"CREATE TABLE `{name}` ({fields}) USING parquet {parts} CLUSTERED BY (`{spec['key']}`) "
+              f"SORTED BY ({quoted(spec['order'])}) INTO {spec['buckets']} BUCKETS LOCATION '{path}'")
+    if parts:
+        spark.catalog.recoverPartitions(name)
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df

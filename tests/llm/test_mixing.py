@@ -33,12 +33,12 @@ def docs(spark):
 
 def test_targets_and_taken(spark, docs):
     rows = mixing.mix(docs, block_words=8).collect()
-    assert len(rows) == docs.count() - 1  # equal rows are one document
+    assert len(rows) == docs.count()  # equal rows are documents each
     sizes, taken = Counter(), Counter()
     for r in rows:
         sizes[r["source"]] += r["size"]
         taken[r["source"]] += r["taken"]
-        assert 0 <= r["taken"] <= 2 * r["size"]
+        assert 0 <= r["taken"] <= 2 * r["size"] and (r["shard"] is None) == (r["taken"] == 0)
     want = slow_targets(dict(sizes))
     for r in rows:
         assert r["source_size"] == sizes[r["source"]]
@@ -49,17 +49,54 @@ def test_targets_and_taken(spark, docs):
     assert Counter(map(tuple, rows)) == Counter(map(tuple, again))
 
 
-def test_slots_are_permutations_and_shards_have_every_source(spark, docs):
-    sizes = mixing.sized(docs)
-    sources = mixing.targets(sizes)
-    slots = mixing.slots(sources, 1).collect()
-    blocks = {r["src"]: r["source_size"] for r in sources.collect()}
-    seen = Counter((r["src"], r["epoch"], r["block"]) for r in slots)
-    assert max(seen.values()) == 1
-    for r in slots:
-        assert 0 <= r["block"] < blocks[r["src"]] and r["epoch"] == r["slot"] // blocks[r["src"]]
-    counts = mixing.shard_counts(mixing.slots(sources, 1))
-    assert counts.agg(F.sum("n_blocks")).first()[0] == len(slots)
+def test_slots_are_permutations_and_meet_the_quotas(spark, docs):
+    sources = mixing.targets(mixing.sized(docs))
+    quota = {r["src"]: r for r in mixing.quotas(sources, 1).collect()}
+    rows = mixing.slots(sources, 1, shard_slots=500).collect()
+    assert Counter(r["src"] for r in rows) == Counter({s: r["quota"] for s, r in quota.items()})
+    assert max(Counter((r["src"], r["epoch"], r["block"]) for r in rows).values()) == 1
+    assert max(Counter((r["src"], r["slot"]) for r in rows).values()) == 1
+    for r in rows:
+        assert 0 <= r["block"] < quota[r["src"]]["blocks"] and r["slot"] < quota[r["src"]]["quota"]
+        assert r["epoch"] == r["slot"] // quota[r["src"]]["blocks"]
+
+
+def test_shards_draw_multinomial_counts(spark, docs):
+    quota = mixing.quotas(mixing.targets(mixing.sized(docs)), 1)
+    of = {r["src"]: r["quota"] for r in quota.collect()}
+    total = sum(of.values())
+    drawn = {(r["shard"], r["src"]): r["n_slots"] for r in mixing.drawn_counts(quota, shard_slots=500).collect()}
+    shards = range(-(-total // 500))
+    for k in shards:
+        assert sum(drawn.get((k, s), 0) for s in of) == min(500, total - 500 * k)
+    full = shards[:-1]
+    chi = sum((drawn.get((k, s), 0) - 500 * q / total) ** 2 / (500 * q / total) for k in full for s, q in of.items())
+    freedom = len(full) * (len(of) - 1)
+    assert freedom / 2 < chi < 2 * freedom  # neither more even than a draw nor less
+    counts = {(r["shard"], r["src"]): r["n_blocks"] for r in
+              mixing.shard_counts(mixing.slots(mixing.targets(mixing.sized(docs)), 1, shard_slots=500)).collect()}
+    moved = sum(abs(counts.get(c, 0) - drawn.get(c, 0)) for c in {*counts, *drawn})
+    assert moved == sum(abs(q - sum(drawn.get((k, s), 0) for k in shards)) for s, q in of.items())
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 64, 1000, 999_983])
+def test_permutations_of_any_length(spark, n):
+    i = F.col("id")
+    rows = spark.range(n).select(i, mixing._permuted(i, F.lit(n), F.lit(7)).alias("to"))
+    moved = rows.agg(F.countDistinct("to").alias("d"), F.min("to").alias("a"), F.max("to").alias("b"),
+                     F.corr("id", "to").alias("c")).first()
+    assert (moved["d"], moved["a"], moved["b"]) == (n, 0, n - 1)
+    assert n < 1000 or abs(moved["c"]) < 0.1
+
+
+def test_many_equal_rows(spark):
+    same = spark.range(5000).selectExpr("7L AS doc_id", "'a b c' AS text", "'s' AS source", "0L AS n_chars")
+    rows = mixing.mix(same, block_words=4).groupBy("size", "source_size").agg(
+        F.count("*").alias("n"), F.sum("taken").alias("taken"), F.max("taken").alias("most")).collect()
+    assert [(r["size"], r["source_size"], r["n"]) for r in rows] == [(3, 15000, 5000)]
+    assert abs(rows[0]["taken"] - 22500) <= 4 and rows[0]["most"] <= 6
+    words = mixing.mixed_documents(same, block_words=4).select(F.sum(F.size(F.split(F.trim("text"), " ")))).first()[0]
+    assert words == rows[0]["taken"]
 
 
 def test_mixed_texts_have_the_words_taken(spark, docs):

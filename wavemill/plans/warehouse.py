@@ -13,12 +13,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config, sinks
 from ..operators import catalog, dedupe, harmonize
-from ..sources import exports, forms, landing
+from ..sources import exports, footers, forms, landing
 from . import dims, facts, quality, reports
 
 
@@ -83,11 +83,8 @@ def build_bronze(lake: Lake, multiline: bool = True) -> dict[str, str]:
 def build_catalog(lake: Lake, bronze: dict[str, str], vm: DataFrame) -> None:
     """Form fields, choice lists, variables and the silver variable catalog."""
     spark, codes = lake.spark, [c.code for c in lake.cycles]
-    by_file = config.cycles_frame(spark, tuple(lake.cycles)).select(
-        F.col("form_file").alias("form"), "survey_cycle")
-    paths = [path for _, path in lake.version("form").values()]
-    parsed = lake.write(forms.read_forms(spark, paths).join(F.broadcast(by_file), "form"),
-                        "meta", "parsed_form")
+    current = {cycle: path for cycle, (_, path) in lake.version("form").items()}
+    parsed = lake.write(forms.read_cycle_forms(spark, current), "meta", "parsed_form")
     fields = lake.write(forms.form_fields(parsed), "meta", "meta_form_field")
     lake.write(forms.choice_list(parsed), "meta", "meta_choice_list")
     profiles = []
@@ -200,10 +197,26 @@ def missing_tables(gold: dict[str, DataFrame]) -> set[str]:
 
 
 def row_counts(gold: dict[str, DataFrame]) -> dict[str, int]:
-    """Rows per required table; a stored table answers from its file footers."""
+    """Rows per required table."""
     return {name: gold[name].count() for name in REQUIRED}
 
 
+def stored_counts(lake: Lake, names: Sequence[str] = REQUIRED, layer: str = "gold") -> DataFrame:
+    """(``table_name``, ``n_rows``) of stored tables, from their footers alone."""
+    return footers.stored_counts(footers.footer_session(lake.spark), {n: lake.path(layer, n) for n in names})
+
+
+def fact_days(lake: Lake) -> Row:
+    """The fact's ``n_rows``, and its first and last day as ``min_date_key`` and ``max_date_key``, from footers."""
+    return footers.stats_row(footers.footer_session(lake.spark), lake.path("gold", "fct_survey_submissions"),
+                             ["date_key"])
+
+
+def submission_halves(lake: Lake) -> DataFrame:
+    """(``kept``, ``n_rows``): rows kept (1) and quarantined (0), from the footers of silver's two folders."""
+    return footers.footer_stats(footers.footer_session(lake.spark), lake.path("silver", "submission"), by=["kept"])
+
+
 def build_all(lake: Lake, folder: str, vm: DataFrame, label_map: DataFrame,
               regions: DataFrame, multiline: bool = True) -> DataFrame:
     """Run every stage once; the history of runs is appended whatever happens."""

@@ -429,6 +429,7 @@ QUERIES: dict[str, Callable[[Survey], DataFrame]] = {
     "dedup_stages": lambda s: reads.dedup_stages(s.operations_cycle),
     "rates_long": lambda s: reads.rates_long(s.operations_cycle),
     "rate_pivot": lambda s: reads.district_rates(s.program_counts),
+    "rate_pivot_wide": lambda s: reads.rate_pivot(s.program_counts, adapter.PERIODS),
     "coverage_labels": lambda s: reads.coverage_with_labels(s.coverage),
     "households_by_cycles_seen": lambda s: reads.households_by_cycles_seen(s.coverage),
     "panel_size": lambda s: reads.panel_size(reports.panel_counts(s.undecoded, s.households, s.geography)),

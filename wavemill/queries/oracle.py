@@ -493,6 +493,10 @@ def _queries() -> dict[str, str]:
     q["rate_pivot"] = (
         "SELECT district, survey_cycle, year_month, round(avg(completion_rate), 3) AS completion_rate, "
         "round(avg(consent_rate), 3) AS consent_rate FROM summary GROUP BY ALL")
+    rates = ", ".join(
+        f"round(avg(CASE WHEN survey_cycle || ' ' || year_month = '{p}' THEN {r} END), 3) AS \"{p}_{r}\""
+        for p in adapter.PERIODS for r in ("completion_rate", "consent_rate"))
+    q["rate_pivot_wide"] = f"SELECT district, {rates} FROM summary GROUP BY district"
     q["coverage_labels"] = (
         "SELECT n_cycles, replace(replace(replace(cycle_pattern, 'baseline', 'Baseline'), 'year1', 'Year 1'), 'year2', "
         "'Year 2') AS cycle_pattern, households FROM coverage")

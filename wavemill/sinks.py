@@ -64,11 +64,12 @@ def bucket_number(rows: int) -> int:
 
 def table_name(spark: SparkSession, path: str) -> str:
     """What a table stored at ``path`` is called in the catalog: tables of two lakes never share a name."""
-    whole = _qualified(spark, path)
+    whole = qualified(spark, path)
     return f"{whole.rstrip('/').split('/')[-1]}_{hashlib.sha256(whole.encode()).hexdigest()[:12]}"
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme and authority, as Spark's readers report it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
@@ -86,7 +87,7 @@ def write_buckets(df: DataFrame, path: str, key: str, order: Sequence[str], buck
     bucketed tables; otherwise each task writes a file into every bucket.
     """
     spark = df.sparkSession
-    name, whole = table_name(spark, path), _qualified(spark, path)
+    name, whole = table_name(spark, path), qualified(spark, path)
     writer = (df.write.mode("overwrite").format("parquet").option("path", whole)
               .bucketBy(buckets, key).sortBy(*order))
     if partition_by:
@@ -111,7 +112,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
         stream = mark.getFileSystem(spark._jsc.hadoopConfiguration()).open(mark)
         spec = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         stream.close()
-        _attach(spark, name, _qualified(spark, path), spec)
+        _attach(spark, name, qualified(spark, path), spec)
     return spark.table(name)
 
 

@@ -15,6 +15,10 @@ from ..config import VARIABLE_SPEC, literal_frame
 from ..functions import derive, text
 from ..operators import dedupe
 
+#: Every month of the driver's orders with its cycle, as ``wave`` below has it.
+PERIODS = [f"{'baseline' if year <= 1996 else 'year1' if year <= 1998 else 'year2'} {year}-{month:02d}"
+           for year in range(1995, 2002) for month in range(1, 13)]
+
 # Used by several columns below.
 HELPERS: dict[str, str] = {
     "wave": ("CASE WHEN year(o_orderdate) <= 1996 THEN 0 WHEN year(o_orderdate) <= 1998 THEN 1 "

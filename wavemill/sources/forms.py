@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import literal_frame
+from ..sinks import qualified
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FIELD_SCHEMA = ("form string, position int, field string, section string, label string, "
@@ -119,13 +122,37 @@ def parse_forms(documents: DataFrame) -> DataFrame:
     return documents.select("form", "html").mapInPandas(_parse, FIELD_SCHEMA)
 
 
+def _parsed_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The fields of form files; ``form`` is a file's qualified path."""
+    files = spark.read.format("binaryFile").load(sorted({qualified(spark, p) for p in paths}))
+    # Bytes that are not UTF-8 become replacement marks rather than an error.
+    return parse_forms(files.select(F.col("path").alias("form"),
+                                    F.decode(F.col("content"), "UTF-8").alias("html")))
+
+
+def _file_name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
 def read_forms(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Parse form files; ``form`` is the file name."""
-    files = spark.read.format("binaryFile").load(paths)
-    # Bytes that are not UTF-8 become replacement marks rather than an error.
-    html = F.decode(F.col("content"), "UTF-8")
-    return parse_forms(files.select(F.element_at(F.split("path", "/"), -1).alias("form"),
-                                    html.alias("html")))
+    return _parsed_files(spark, paths).withColumn("form", _file_name(F.col("form")))
+
+
+def read_cycle_forms(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """The forms at ``paths``, by survey cycle, with ``survey_cycle``.
+
+    Forms belong to their whole path: files called alike in two folders stay apart, and one that two cycles name
+    is parsed once and has its rows in both. Without paths the result is empty.
+    """
+    schema = f"{FIELD_SCHEMA}, survey_cycle string"
+    if not paths:
+        return spark.createDataFrame([], schema)
+    owners = literal_frame(spark, [(c, qualified(spark, p)) for c, p in paths.items()],
+                           "survey_cycle string, form string")
+    # One row per cycle; as a hint, since the planner knows no size of parsed rows.
+    parsed = _parsed_files(spark, list(paths.values())).join(F.broadcast(owners), "form")
+    return parsed.withColumn("form", _file_name(F.col("form")))
 
 
 def form_fields(parsed: DataFrame) -> DataFrame:

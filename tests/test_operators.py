@@ -153,6 +153,27 @@ def test_profile(spark):
     assert shape == {"a": (3, 1), "b": (3, 0)}
 
 
+def test_a_profile_counts_what_is_asked_and_is_read_once(spark):
+    df = spark.createDataFrame([("baseline", "x", None), ("baseline", "x", None), ("year2", "y", "z"), (None, "y", "z"),
+                                (None, None, None)], "survey_cycle string, `p q` string, s string")
+    profile = catalog.column_profile(df, ["p q", "s"])
+    assert {(r.survey_cycle, r.variable): tuple(r)[2:] for r in profile.collect()} == {
+        ("baseline", "p q"): (0.0, 1, False), ("baseline", "s"): (1.0, 0, True), ("year2", "p q"): (0.0, 1, False),
+        ("year2", "s"): (0.0, 1, False), (None, "p q"): (0.5, 1, False), (None, "s"): (0.5, 1, False)}
+    fields = spark.createDataFrame([("year2", "s", "S", "L", 2)],
+                                   "survey_cycle string, field string, section string, label string, n_choices int")
+    variables = catalog.meta_variable(profile.where(~F.col("all_null")), fields, ["baseline", "year2"])
+    shown = variables.select("survey_cycle", "variable", "kind", "null_rate", "in_baseline", "in_year2")
+    assert {tuple(r) for r in shown.collect()} == {
+        ("baseline", "p q", "unclassified", 0.0, True, True), ("year2", "p q", "unclassified", 0.0, True, True),
+        ("year2", "s", "select_question", 0.0, False, True), (None, "p q", "unclassified", 0.5, True, True),
+        (None, "s", "unclassified", 0.5, False, True)}
+    # Kinds and shares of NULLs need no distinct values: no row is taken apart, and the export is scanned once.
+    plan = shown._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "posexplode" not in plan and plan.count("count(p q#") == 1
+    assert "posexplode" in variables._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_samples_are_seeded_and_not_null(spark):
     df = spark.createDataFrame([(str(i) if i % 2 else None,) for i in range(50)], "v string")
     first = [r.v for r in profiling.sample_values(df, "v").collect()]

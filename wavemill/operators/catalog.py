@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
@@ -13,47 +13,57 @@ from ..functions.text import column_base, match_key
 from .harmonize import quoted
 
 
-def column_profile(df: DataFrame, columns: Sequence[str], by: str = "survey_cycle",
-                   digits: int = 4) -> DataFrame:
-    """null_rate, n_distinct and all_null of every (cycle, column).
-
-    Wide to long first: a distinct count per column in one ``agg`` would copy
-    each row once per column *and* hold all of them in one plan node. Distinct
-    values are deduplicated by (cycle, column, value) before any column's
-    values meet, so neither a wide nor a constant column weighs on one task.
-    """
-    long = df.select(by, *[F.col(quoted(c)).cast("string").alias(c) for c in columns]).unpivot(
-        by, [F.col(quoted(c)) for c in columns], "variable", "value")
-    values = long.groupBy(by, "variable", "value").agg(F.count("*").alias("n"))
-    return (values.groupBy(by, "variable")
-            .agg(F.sum("n").alias("_rows"),
-                 F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("_nulls"),
-                 F.count("value").alias("n_distinct"))
-            .select(by, "variable",
-                    F.round(F.col("_nulls") / F.col("_rows"), digits).alias("null_rate"),
-                    "n_distinct", (F.col("_nulls") == F.col("_rows")).alias("all_null")))
-
-
-#: Columns whose presence one aggregate finds; wider exports are read in several, each with its own columns only.
+#: Columns whose values one aggregate counts; wider exports are read in several, each with its own columns only.
 COLUMNS_A_PASS = 500
 
 
-def collected_columns(df: DataFrame, columns: Sequence[str], by: str = "survey_cycle") -> DataFrame:
-    """(cycle, variable) of every column that holds any value in the cycle.
+def _value_counts(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
+    """(cycle, variable, rows, filled) of every (cycle, column), ``filled`` without NULLs.
 
-    One flag a column is aggregated where the rows lie and only a row a cycle is unpivoted, so no row is multiplied
+    One count a column is aggregated where the rows lie and only a row a cycle is unpivoted, so no row is multiplied
     by the number of its columns.
     """
     found = []
     for at in range(0, len(columns), COLUMNS_A_PASS):
         some = columns[at:at + COLUMNS_A_PASS]
-        flags = {f"c{i}": c for i, c in enumerate(some)}
-        wide = df.groupBy(by).agg(*[F.bool_or(F.col(quoted(c)).isNotNull()).alias(f) for f, c in flags.items()])
-        names = [F.when(F.col(f), F.lit(c)) for f, c in flags.items()]
-        found.append(wide.select(by, F.explode(F.array_compact(F.array(*names))).alias("variable")))
+        wide = df.groupBy(by).agg(F.count("*").alias("rows"),
+                                  *[F.count(F.col(quoted(c))).alias(f"c{i}") for i, c in enumerate(some)])
+        # Never empty; naming it keeps the aggregate the same for every consumer, so that one pass serves them all.
+        wide = wide.where(F.col("rows") > 0)
+        each = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"c{i}").alias("filled")) for i, c in enumerate(some)])
+        found.append(wide.select(by, "rows", F.inline(each)).select(by, "variable", "rows", "filled"))
     return reduce(DataFrame.unionByName, found)
 
 
+def column_profile(df: DataFrame, columns: Sequence[str], by: str = "survey_cycle",
+                   digits: int = 4) -> DataFrame:
+    """null_rate, n_distinct and all_null of every (cycle, column).
+
+    NULLs are counted by one wide aggregate. Distinct values are counted from wide to long, as a distinct count per
+    column in one ``agg`` would hold all of them in one plan node: they are deduplicated by (cycle, column, value)
+    before any column's values meet, so neither a wide nor a constant column weighs on one task. Columns go by their
+    position there, which is shorter than their names. The join is a left one on what the right side is grouped by:
+    a consumer that shows no ``n_distinct`` does not pay for it.
+    """
+    values = F.array(*[F.col(quoted(c)).cast("string") for c in columns])
+    long = df.select(F.col(by), F.posexplode(values).alias("_at", "_value")).where(F.col("_value").isNotNull())
+    # A struct, so that rows without a cycle meet their counts too.
+    distinct = (long.distinct()
+                .groupBy(F.struct(by).alias("_by"), F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_at") + 1)
+                         .alias("_variable"))
+                .agg(F.count("*").alias("n_distinct")))
+    nulls = F.col("rows") - F.col("filled")
+    return (_value_counts(df, columns, by)
+            .join(distinct, (F.struct(by) == F.col("_by")) & (F.col("variable") == F.col("_variable")), "left")
+            .select(by, "variable", F.round(nulls / F.col("rows"), digits).alias("null_rate"),
+                    F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), (F.col("filled") == 0).alias("all_null")))
+
+
+def collected_columns(df: DataFrame, columns: Sequence[str], by: str = "survey_cycle") -> DataFrame:
+    """(cycle, variable) of every column that holds any value in the cycle."""
+    return _value_counts(df, columns, by).where(F.col("filled") > 0).select(by, "variable")
+
+
 def _is_system(c: Column) -> Column:
     return c.isin(*config.SYSTEM_COLUMNS)
 
@@ -99,9 +109,11 @@ def variable_presence(variables: DataFrame, cycles: Sequence[str]) -> DataFrame:
 
 def meta_variable(profile: DataFrame, form_fields: DataFrame, cycles: Sequence[str]) -> DataFrame:
     """Profile, kind and presence of every exported column; lineage columns are left out."""
-    exported = profile.where(~F.col("variable").startswith("_"))
+    # Flags over a variable's own rows, one a cycle: joined to itself, the profile would be read twice.
+    same = Window.partitionBy("variable")
+    exported = profile.where(~F.col("variable").startswith("_")).withColumns({
+        f"in_{c}": F.bool_or(F.col("survey_cycle") == c).over(same) for c in cycles})
     return (classify_columns(exported, form_fields)
-            .join(variable_presence(exported, cycles), "variable")
             .select("survey_cycle", "variable", "kind", "form_field", "section", "label",
                     "null_rate", "n_distinct", "all_null", *[f"in_{c}" for c in cycles]))
 

@@ -1,6 +1,7 @@
 """Single rules on tiny frames."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +102,16 @@ def test_row_hash_tells_null_empty_and_shifted_values_apart(spark):
     assert len(short) == 16
 
 
+def test_row_hash_is_the_same_text_without_an_interpreted_lambda(spark):
+    rows = [("ab", None, "\u00e9,"), (None, None, None), ("", "-", "1:a")]
+    df = spark.createDataFrame(rows, "x string, y string, z string")
+    hashed = df.select("*", derive.row_hash([F.col("x"), F.col("y"), F.col("z")]).alias("h"))
+    for *values, h in hashed.collect():
+        text = ",".join("-" if v is None else f"{len(v)}:{v}" for v in values)
+        assert h == hashlib.md5(text.encode()).hexdigest()
+    assert "lambda" not in hashed._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_bands_and_labels(spark):
     df = spark.createDataFrame([(None, None, None), (0, 14, 9), (3, 15, 1), (9, 64, 5), (10, 101, 2)],
                                "n bigint, age bigint, status bigint")

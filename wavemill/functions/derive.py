@@ -68,9 +68,7 @@ def row_hash(columns: Iterable[Column], digits: int = 32) -> Column:
     gives the short 64-bit form; the default stays collision-free far beyond
     the 2^32 rows at which 64 bits do not.
     """
-    parts = F.transform(
-        F.array(*columns),
-        lambda v: F.when(v.isNull(), F.lit("-")).otherwise(
-            F.concat(F.length(v).cast("string"), F.lit(":"), v)),
-    )
-    return F.substring(F.md5(F.array_join(parts, ",")), 1, digits)
+    # Not a lambda over an array: one is interpreted together with every expression below it. Without a test for NULL each
+    # value is also computed once, as all that always runs is shared by its uses.
+    parts = [F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in columns]
+    return F.substring(F.md5(F.concat_ws(",", *parts)), 1, digits)

@@ -64,6 +64,51 @@ def test_only_touched_parts_are_written(spark, tmp_path):
     assert len(before) > 16 and silver_stream.read_silver(spark, path).count() == 302
 
 
+def same_as_full_run(spark, path, rows):
+    names = sorted(silver_stream.read_silver(spark, path).columns)
+    want = dedupe.tag_submissions(spark.createDataFrame(rows, SCHEMA)).select(*names).collect()
+    return sorted(map(str, silver_stream.read_silver(spark, path).select(*names).collect())) == sorted(map(str, want))
+
+
+def test_stored_rows_are_not_written_again_when_verdicts_change(spark, tmp_path):
+    rows, path = arrivals(5, 240), str(tmp_path / "silver")
+    silver_stream.upsert(spark.createDataFrame(rows[:180], SCHEMA), path, parts=4)
+    before, limit = files(path), spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    written = silver_stream.upsert(spark.createDataFrame(rows[180:], SCHEMA), path, parts=4)
+    after = files(path)
+    assert len(written) == 10 and len(after) > len(before)  # every part gets rows
+    assert all(after[f] == before[f] for f in before)
+    assert same_as_full_run(spark, path, rows)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
+
+
+@pytest.mark.parametrize("repeated", [True, False])
+def test_rows_of_a_failed_call_are_not_read(spark, tmp_path, monkeypatch, repeated):
+    rows, path = arrivals(6, 240), str(tmp_path / "silver")
+
+    def fail(accepted):
+        raise RuntimeError("lost")
+
+    for low, high in ((0, 100), (100, 170)):
+        with monkeypatch.context() as m, pytest.raises(RuntimeError):
+            m.setattr(dedupe, "verdicts", fail)
+            silver_stream.upsert(spark.createDataFrame(rows[low:high], SCHEMA), path, parts=4)
+        if low:
+            assert same_as_full_run(spark, path, rows[:low])
+        if repeated or not low:
+            silver_stream.upsert(spark.createDataFrame(rows[low:high], SCHEMA), path, parts=4)
+    silver_stream.upsert(spark.createDataFrame(rows[170:], SCHEMA), path, parts=4)
+    assert same_as_full_run(spark, path, rows if repeated else rows[:100] + rows[170:])
+
+
+def test_a_table_without_verdicts_is_refused(spark, tmp_path):
+    rows, path = arrivals(7, 20), str(tmp_path / "silver")
+    silver_stream.with_part(spark.createDataFrame(rows[:10], SCHEMA)).write.partitionBy(
+        "survey_cycle", "household_part").parquet(path)
+    with pytest.raises(ValueError, match="without verdicts"):
+        silver_stream.upsert(spark.createDataFrame(rows[10:], SCHEMA), path)
+
+
 def test_stream_from_files_to_silver(spark, tmp_path):
     data, folder, bronze, silver = (str(tmp_path / n) for n in ("data", "in", "bronze", "silver"))
     os.makedirs(data), os.makedirs(folder)

@@ -15,6 +15,8 @@ from ..functions import derive
 from .skew import HOT_ROWS, sized_lookup
 
 CYCLE, ROW, KEY, HOUSEHOLD = "survey_cycle", "source_row", "submission_key", "household_id"
+#: Of a verdict: whether its row is its household's best.
+BEST = "_best"
 
 EMPTY_ROW = "empty_row"
 MISSING_HOUSEHOLD = "missing_household_id"
@@ -76,27 +78,32 @@ def dedupe_latest(df: DataFrame) -> DataFrame:
     return with_outcome_flags(df.join(winners(df), [CYCLE, ROW]))
 
 
-def tag_submissions(df: DataFrame, hot_rows: int = HOT_ROWS, accepted: DataFrame | None = None) -> DataFrame:
-    """Every input row plus flags, ``household_submissions`` and ``reject_reason``.
-
-    Kept rows have no reason. Rows rejected before deduplication have NULL
-    flags; superseded rows carry theirs. ``accepted`` are the rows of ``df``
-    that pass rejection, where the caller knows them from more than ``df``.
-    """
-    if accepted is None:
-        accepted = accepted_rows(df)
+def verdicts(accepted: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(cycle, source row, household) of rows that pass rejection: flags, group size and whether each is the best."""
     members = sized_lookup(
         accepted.select(CYCLE, ROW, HOUSEHOLD, "is_completed", "is_consented"),
         household_groups(accepted), [CYCLE, HOUSEHOLD], "household_submissions",
         F.col(ROW), hot_rows)
-    verdicts = members.select(CYCLE, ROW, "is_completed", "is_consented", "household_submissions",
-                              (F.col(ROW) == F.col("best_row")).alias("_best"))
-    reason = (F.when(F.col(KEY).isNull(), EMPTY_ROW)
-               .when(F.col(HOUSEHOLD).isNull(), MISSING_HOUSEHOLD)
-               .when(F.col("_best").isNull(), DUPLICATE_KEY)
-               .when(~F.col("_best"), SUPERSEDED))
-    return (df.join(verdicts, [CYCLE, ROW], "left")
-            .withColumn("reject_reason", reason).drop("_best"))
+    return members.select(CYCLE, ROW, HOUSEHOLD, "is_completed", "is_consented", "household_submissions",
+                          (F.col(ROW) == F.col("best_row")).alias(BEST))
+
+
+def with_verdicts(df: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Every row of ``df`` with its verdict, and the reason of those that are not kept."""
+    # What a row's own columns decide is settled first: a narrow result then takes neither through the join.
+    own = F.when(F.col(KEY).isNull(), EMPTY_ROW).when(F.col(HOUSEHOLD).isNull(), MISSING_HOUSEHOLD)
+    later = F.when(F.col(BEST).isNull(), DUPLICATE_KEY).when(~F.col(BEST), SUPERSEDED)
+    return (df.withColumn("_own_reason", own).join(verdicts.drop(HOUSEHOLD), [CYCLE, ROW], "left")
+            .withColumn("reject_reason", F.coalesce(F.col("_own_reason"), later)).drop("_own_reason", BEST))
+
+
+def tag_submissions(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every input row plus flags, ``household_submissions`` and ``reject_reason``.
+
+    Kept rows have no reason. Rows rejected before deduplication have NULL
+    flags; superseded rows carry theirs.
+    """
+    return with_verdicts(df, verdicts(accepted_rows(df), hot_rows))
 
 
 def split(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:

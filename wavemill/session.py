@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -31,6 +34,18 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """For the actions inside, the limit of ``SETTINGS`` on generated methods, whatever session the caller brings."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, SETTINGS[name])
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def get_session(app: str = "wavemill", **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for key, value in {**SETTINGS, **STATIC_SETTINGS, **extra}.items():

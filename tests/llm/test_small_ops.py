@@ -42,6 +42,36 @@ def test_trie_scores_equal_the_best_of_all_segmentations():
     assert model.segment(["then"])["then"] == found["then"]
 
 
+class Counted(dict):
+    asked = 0
+
+    def get(self, key, default=None):
+        self.asked += 1
+        return super().get(key, default)
+
+
+def test_a_node_asks_for_no_more_than_what_ends_a_piece():
+    model = token_trie.Unigram(PIECES)
+    model.endings = Counted(model.endings)
+    pieces = set(model.pieces)
+    endings = {p[i:] for p in pieces for i in range(len(p))}
+    for word in ("qzqzqzxjxj" * 20, "日本語テキスト" * 20, "internationalisation", "x"):
+        marked = token_trie.MARK + word
+        fits = sum(marked[a:b] in endings for b in range(1, len(marked) + 1) for a in range(max(0, b - 40), b))
+        model.endings.asked = 0
+        model.segment([word])
+        assert fits <= model.endings.asked <= fits + len(marked)
+
+
+def test_long_words_are_not_remembered():
+    model = token_trie.Unigram(PIECES)
+    words = {"short", "long" * 100}
+    model.learn(words)
+    assert set(model.tokens) == set(model.scores) == words
+    model.forget_long(words)
+    assert set(model.tokens) == set(model.scores) == {"short"}
+
+
 def test_token_counts_of_rows(spark):
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate([*ODD, ODD[3]])], "id long, text string, n_tokens int")
     rows = token_trie.token_counts(df, PIECES).orderBy("id").collect()

@@ -4,7 +4,8 @@ A text's words, each with the word mark in front, are segmented into the pieces
 the sum of the pieces' log-probabilities is largest (a unigram model). The best score of a prefix does not depend
 on what follows, so the distinct words of a batch form a trie and a forward score is computed once for each of
 its nodes, however many words share it. The trie is gone through in order of its words: what is held is the path
-to the current word. A terminal node stores its word's number of tokens and score, and texts add these up.
+to the current word. At a node the pieces that end there are found by going back along the path for as long as what
+was gone back over ends some piece. A terminal node stores its word's number of tokens and score, and texts add these up.
 
 Log-probabilities: the vocabulary file has merge ranks, not frequencies; a piece of rank r is taken to be as
 frequent as Zipf's law has it. A character without a piece is as many tokens as it has bytes.
@@ -44,12 +45,14 @@ class Unigram:
         pieces.sort(key=lambda i: (-model.get_score(i), i))
         total = log(sum(1 / r for r in range(1, len(pieces) + 1)))
         self.pieces = {model.id_to_piece(i): -log(r) - total for r, i in enumerate(pieces, 1)}
-        self.longest = max(map(len, self.pieces))
-        self.terminal: dict[str, tuple[int, float]] = {}
+        #: Whatever ends a piece; the score is None where it is no piece itself.
+        self.endings: dict[str, float | None] = {p[i:]: None for p in self.pieces for i in range(1, len(p))} | self.pieces
+        self.tokens: dict[str, int] = {}
+        self.scores: dict[str, float] = {}
 
     def segment(self, words: Iterable[str]) -> dict[str, tuple[int, float]]:
         """Tokens and score of each distinct word; forward scores are shared along the trie of the words."""
-        pieces, longest = self.pieces, self.longest
+        ending = self.endings.get
         score, count, found = [0.0], [0], {}
         before = ""
         for word in sorted(words):
@@ -61,25 +64,38 @@ class Unigram:
                 shared += 1
             del score[shared + 1:], count[shared + 1:]
             for end in range(shared + 1, len(marked) + 1):
-                size = len(marked[end - 1].encode())
-                best, tokens = score[end - 1] + BYTE_SCORE * size, count[end - 1] + size
-                for start in range(max(0, end - longest), end):
-                    p = pieces.get(marked[start:end])
-                    if p is not None and (score[start] + p, -count[start] - 1) > (best, -tokens):
-                        best, tokens = score[start] + p, count[start] + 1
+                char = marked[end - 1]
+                size = 1 if char < "\x80" else len(char.encode())
+                best, tokens = score[-1] + BYTE_SCORE * size, count[-1] + size
+                for start in range(end - 1, -1, -1):
+                    p = ending(marked[start:end], 1.0)
+                    if p is None:
+                        continue
+                    if p > 0:  # no piece ends so, nor with more in front
+                        break
+                    p += score[start]
+                    if p > best or (p == best and count[start] + 1 < tokens):
+                        best, tokens = p, count[start] + 1
                 score.append(best)
                 count.append(tokens)
             found[word] = (count[-1], score[-1])
             before = marked
         return found
 
-    def learn(self, words: set[str]) -> dict[str, tuple[int, float]]:
-        """Results of at least these words; those that are new are segmented together."""
-        if len(self.terminal) > CACHE_WORDS:
-            self.terminal.clear()
-        new = self.segment(words.difference(self.terminal))
-        self.terminal.update({w: r for w, r in new.items() if len(w) <= CACHE_CHARS})
-        return new
+    def learn(self, words: set[str]) -> None:
+        """Take the results of these words into ``tokens`` and ``scores``; those that are new are segmented together."""
+        if len(self.tokens) > CACHE_WORDS:
+            self.tokens.clear()
+            self.scores.clear()
+        new = self.segment(words.difference(self.tokens))
+        self.tokens.update({w: r[0] for w, r in new.items()})
+        self.scores.update({w: r[1] for w, r in new.items()})
+
+    def forget_long(self, words: set[str]) -> None:
+        """Drop those of the words that are too long to be remembered."""
+        for w in words:
+            if len(w) > CACHE_CHARS:
+                del self.tokens[w], self.scores[w]
 
 
 @lru_cache(maxsize=1)
@@ -97,13 +113,11 @@ def token_counts(df: DataFrame, path: str, text: str = "text") -> DataFrame:
         model = unigram(path)
         for batch in slices(batches, text):
             texts = [[w.decode() for w in t.split()] for t in raw_texts(batch.column(text))]
-            new = model.learn({w for words in texts for w in words})
-            known = model.terminal
-            tokens, scores = [], []
-            for words in texts:
-                results = [known[w] if w in known else new[w] for w in words]
-                tokens.append(sum(r[0] for r in results))
-                scores.append(sum(r[1] for r in results))
+            distinct = set().union(*texts)
+            model.learn(distinct)
+            tokens = [sum(map(model.tokens.__getitem__, words)) for words in texts]
+            scores = [sum(map(model.scores.__getitem__, words)) for words in texts]
+            model.forget_long(distinct)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(f.name) for f in kept), pa.array(map(len, texts), pa.int64()),
                  pa.array(tokens, pa.int64()), pa.array(scores, pa.float64())], [f.name for f in [*kept, *added]])

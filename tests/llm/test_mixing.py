@@ -61,6 +61,31 @@ def test_slots_are_permutations_and_meet_the_quotas(spark, docs):
         assert r["epoch"] == r["slot"] // quota[r["src"]]["blocks"]
 
 
+def broadcast_rows(df):
+    """The most rows that one broadcast of the plan held, as it ran."""
+    df.collect()
+    most, left = 0, [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "BroadcastExchangeExec":
+            most = max(most, node.metrics().apply("numOutputRows").value())
+        if kind == "AdaptiveSparkPlanExec":
+            left.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            left.append(node.plan())
+        else:
+            left += [node.children().apply(i) for i in range(node.children().size())]
+    return most
+
+
+def test_slots_are_not_broadcast(spark, docs):
+    sources = mixing.cut(mixing.targets(mixing.sized(docs)))
+    drawn = mixing.slots(sources, 1, shard_slots=4096)
+    shards = drawn.select("shard", "src").distinct().count()
+    assert drawn.count() > 50_000 and broadcast_rows(drawn) <= shards < 1000
+
+
 def test_shards_draw_multinomial_counts(spark, docs):
     quota = mixing.quotas(mixing.targets(mixing.sized(docs)), 1)
     of = {r["src"]: r["quota"] for r in quota.collect()}

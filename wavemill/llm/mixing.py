@@ -162,10 +162,14 @@ def slots(sources: DataFrame, block_words: int, seed: int = 0, shard_slots: int
     whole = counts.groupBy("src").agg(F.sum("n_slots").alias("drawn"))
     quota = quota.join(whole, "src", "left").na.fill(0, ["drawn"])
     first = F.col("before") + F.col("inside")
-    numbers = counts.select("src", "shard", "n_slots", first.alias("first")).repartition(parts, "src", "shard").select(
-        "src", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n_slots") - 1)).alias("number"))
+    # A shard's row learns about its source before it becomes slots: a join of slots with the few sources would pass
+    # for one of few rows with few rows, the slots be broadcast and a single task go through them.
+    shares = counts.select("src", "shard", "n_slots", first.alias("first")).join(quota, "src").repartition(
+        parts, "src", "shard")
+    numbers = shares.select("src", "blocks", "quota", "drawn", "shard", F.explode(
+        F.sequence(F.col("first"), F.col("first") + F.col("n_slots") - 1)).alias("number"))
     # Of ``drawn`` slots ``above`` are taken away, at equal distances; the others close up.
-    kept = numbers.join(quota, "src").withColumn("above", F.greatest(F.col("drawn") - F.col("quota"), F.lit(0)))
+    kept = numbers.withColumn("above", F.greatest(F.col("drawn") - F.col("quota"), F.lit(0)))
     gone = F.expr("number * above div drawn")
     kept = kept.where(F.expr("(number + 1) * above div drawn") == gone).select(
         "src", "blocks", "shard", (F.col("number") - gone).alias("slot"))

@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +80,35 @@ def test_tiles_count_what_plain_counting_does():
         assert len(lefts) == len(want) and (lefts[place] == left).all() and (rights[place] == right).all()
 
 
+def test_tiles_take_little_memory():
+    rnd = np.random.default_rng(5)
+    left, right = ((rnd.zipf(1.2, 1 << 20) % 90_000).astype(np.int64) for _ in range(2))
+    tracemalloc.start()
+    collocations.tiled_counts(left, right)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak <= 56 * len(left)
+
+
+def test_files_of_long_rows_have_small_row_groups_and_pages(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(collocations, "shared_folder", lambda spark: str(tmp_path / "packs"))
+    rows = spark.range(0, 60, 1, 1).selectExpr(
+        "id", "transform(sequence(1, 250000), x -> CAST(xxhash64(id, x) % 1000000007 AS int)) AS ids")  # a megabyte each
+    collocations._written(rows)
+    file, = (tmp_path / "packs").glob("*.parquet")
+    found = pq.ParquetFile(file).metadata
+    sizes = [found.row_group(i).total_byte_size for i in range(found.num_row_groups)]
+    assert found.num_rows == 60 and max(sizes) <= 32 << 20
+
+
+def test_no_files_of_packs_stay(spark, monkeypatch, tmp_path):
+    made = []
+    monkeypatch.setattr(collocations, "shared_folder", lambda spark: made.append(tmp_path / f"{len(made)}") or str(made[-1]))
+    df = spark.createDataFrame([("en", "one two three four")] * 5, "lang string, text string")
+    assert collocations.collocations(df, least=5).count() == 1
+    assert len(made) == 7 and not [f for f in made if f.exists()]
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     a, left, right = 4 * 10**15 + 1, 4 * 10**15 + 3, 9 * 10**15 + 7
     df = spark.createDataFrame([([left, a], [right, a], a)], "heads array<long>, tails array<long>, a long")

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wavemill.llm.shared import cut, raw_texts, shared_folder, slices
+from wavemill.llm.shared import cut, drop_folder, raw_texts, shared_folder, slices
 
 #: Bytes of text whose words are counted together before they meet those of other packs.
 PACK_BYTES = 8 << 20
@@ -34,6 +34,8 @@ PACK_BYTES = 8 << 20
 TILE, DENSE = 512, 1 / 16
 #: Entries of packs that meet in one slot, about, and the most packs that they come from.
 SLOT_PAIRS, SLOT_PACKS = 1 << 20, 100_000
+#: Bytes of a row group of the packs' files: rows are long, and what a task holds of them must not follow its share.
+GROUP_BYTES = 16 << 20
 #: The score of two parts that never stand apart.
 SCALE = 1_000_000
 
@@ -54,8 +56,8 @@ def _fresh() -> tuple[_Places, list[np.ndarray]]:
 
 _WORDS = "pack long, lang string, ids array<int>, words array<binary>, times array<long>"
 # A row of ids for each pack, and a row for each of its slots: entries ``first``, ``first`` + 1, ... of the pack.
-_PAIRS = "pack long, lang string, ids array<int>, slot int, first int, lefts array<long>, rights array<long>, " \
-         "times array<long>"
+_PAIRS = "pack long, lang string, ids array<int>, slot int, first int, lefts array<{0}>, rights array<{0}>, " \
+         "times array<int>"
 # A row of pairs for each slot, and a row for each pack in it: the pack's entries, and which pairs of the slot they are.
 _MERGED = "lang string, slot int, pack long, places array<int>, pairs array<int>, lefts array<long>, " \
           "rights array<long>, times array<long>"
@@ -101,12 +103,15 @@ def packed_words(df: DataFrame, lang: str, text: str, pack_bytes: int) -> DataFr
 def tiled_counts(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs of ids, how often each occurs, and for every pair given its place among the distinct ones."""
     width = 1 + int(max(left.max(), right.max())) // TILE if len(left) else 1
-    tile = left // TILE * width + right // TILE
+    narrow = [np.int32 if n < 1 << 31 else np.int64 for n in (width * width, len(left))]
+    tile = (left // TILE).astype(narrow[0]) * width + (right // TILE).astype(narrow[0])
     order = np.argsort(tile, kind="stable")
-    starts = np.flatnonzero(np.diff(tile[order], prepend=-1))
+    tile = tile[order]
+    starts = np.flatnonzero(np.diff(tile, prepend=-1))
+    del tile
     stops = np.append(starts[1:], len(order))
     dense = stops - starts >= DENSE * TILE * TILE
-    lefts, rights, times, place, base = [], [], [], np.empty(len(left), np.int64), 0
+    lefts, rights, times, place, base = [], [], [], np.empty(len(left), narrow[1]), 0
     for start, stop in zip(starts[dense], stops[dense], strict=True):
         at = order[start:stop]
         cell = left[at] % TILE * TILE + right[at] % TILE
@@ -120,8 +125,16 @@ def tiled_counts(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nd
         times.append(found[used])
         base += len(used)
     rest = order[np.repeat(~dense, stops - starts)]
-    used, back, found = np.unique(left[rest] << 32 | right[rest], return_inverse=True, return_counts=True)
-    place[rest] = back + base
+    del order
+    code = left[rest].astype(np.int64)
+    code <<= 32
+    code |= right[rest]
+    by = np.argsort(code)
+    code = code[by]
+    first = np.flatnonzero(np.diff(code, prepend=-1))
+    used, found = code[first], np.diff(first, append=len(code))
+    del code
+    place[rest[by]] = np.repeat(np.arange(len(first), dtype=narrow[1]) + base, found)
     lefts.append(used >> 32)
     rights.append(used & 0xFFFFFFFF)
     times.append(found)
@@ -139,11 +152,15 @@ def _ranked(rows: DataFrame, *ties: Column) -> DataFrame:
     return placed.join(parts, ["lang", "part"]).withColumn("id", F.col("at") + F.col("shift")).drop("part", "at", "shift")
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """``df`` as Parquet in the shared folder."""
+def _written(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` as Parquet in a folder of the shared one.
+
+    The size of pages and row groups is looked at from the first row on. By default it is after 100 rows, and 100 rows
+    of packs are hundreds of megabytes, in the writer as in every reader and in the buffers that both compress with.
+    """
     spark, folder = df.sparkSession, shared_folder(df.sparkSession)
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    df.write.options(**{"parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 1}).parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder), folder
 
 
 def _lists(kind: pa.DataType, values: np.ndarray, starts: np.ndarray) -> pa.Array:
@@ -160,16 +177,24 @@ def _slots(left: np.ndarray, right: np.ndarray, buckets: int, part: int) -> np.n
     return (mixed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % buckets + part * buckets
 
 
-def _next_level(packs: DataFrame, values: DataFrame, buckets: int, parts: int) -> DataFrame:
-    """Packs of pairs of neighbouring frequent phrases, from packs of phrases and the ids of the frequent ones."""
+def _next_level(packs: DataFrame, values: DataFrame, buckets: int, parts: int, wide: bool = True) -> DataFrame:
+    """Packs of pairs of neighbouring frequent phrases, from packs of phrases and the ids of the frequent ones.
+
+    Unless ``wide``, the corpus has too few words for an id of more than 31 bits.
+    """
+    kind = _LONGS if wide else _INTS
+
     def pairs(rows: pa.Table, values: pa.Table) -> pa.Table:
         ids = rows["ids"].combine_chunks().flatten().to_numpy()
-        rank = np.full(int(ids.max(initial=-1)) + 2, -1, np.int64)  # the last cell answers for -1
+        rank = np.full(int(ids.max(initial=-1)) + 2, -1, np.int32)  # the last cell answers for -1
         places, found = (values[c].combine_chunks().flatten().to_numpy() for c in ("places", "ids"))
         frequent, rank[places] = np.unique(found, return_inverse=True)
         near = rank[ids]
         both = np.flatnonzero((near[:-1] >= 0) & (near[1:] >= 0))
-        lefts, rights, times, place = tiled_counts(near[both], near[both + 1])
+        left, right = near[both], near[1:][both]
+        del near, rank
+        lefts, rights, times, place = tiled_counts(left, right)
+        del left, right
         lefts, rights = frequent[lefts], frequent[rights]
         pack = rows["pack"][0].as_py()
         slot = _slots(lefts, rights, buckets, hash((pack, 7)) % parts)
@@ -182,19 +207,21 @@ def _next_level(packs: DataFrame, values: DataFrame, buckets: int, parts: int) -
         n, lang = len(starts), rows["lang"][0].as_py()
         stream = pa.table({"pack": rows["pack"], "lang": rows["lang"], "ids": pa.array([out], _INTS),
                            "slot": pa.nulls(1, pa.int32()), "first": pa.nulls(1, pa.int32()),
-                           **{c: pa.nulls(1, _LONGS) for c in ("lefts", "rights", "times")}})
+                           "lefts": pa.nulls(1, kind), "rights": pa.nulls(1, kind), "times": pa.nulls(1, _INTS)})
         lists = pa.table({"pack": pa.array(np.full(n, pack)), "lang": pa.array([lang] * n, pa.string()),
                           "ids": pa.nulls(n, _INTS), "slot": pa.array(slot[order][starts], pa.int32()),
                           "first": pa.array(starts, pa.int32()),
-                          **{name: _lists(_LONGS, x[order], starts) for name, x in (
-                              ("lefts", lefts), ("rights", rights), ("times", times))}})
+                          **{name: _lists(of, x[order].astype(of.value_type.to_pandas_dtype()), starts)
+                             for name, of, x in (("lefts", kind, lefts), ("rights", kind, rights),
+                                                 ("times", _INTS, times))}})
         return pa.concat_tables([stream, lists])
 
     rows = packs.where("ids IS NOT NULL").select("pack", "lang", "ids")
-    return rows.groupBy("pack").cogroup(values.groupBy("home")).applyInArrow(pairs, _PAIRS)
+    return rows.groupBy("pack").cogroup(values.groupBy("home")).applyInArrow(
+        pairs, _PAIRS.format("long" if wide else "int"))
 
 
-def _merged(packs: DataFrame, least: int) -> DataFrame:
+def _merged(packs: DataFrame, least: int) -> tuple[DataFrame, str]:
     """The pairs of every slot that occur ``least`` times or more in it, and which of its packs' entries they are."""
     def merge(rows: pa.Table) -> pa.Table:
         lefts, rights, times = (rows[c].combine_chunks().flatten().to_numpy() for c in ("lefts", "rights", "times"))
@@ -218,8 +245,8 @@ def _merged(packs: DataFrame, least: int) -> DataFrame:
 
         of_slot = pa.table({"lang": same(lang, pa.string(), 1), "slot": same(slot, pa.int32(), 1),
                             "pack": pa.nulls(1, pa.int64()), "places": pa.nulls(1, _INTS), "pairs": pa.nulls(1, _INTS),
-                            "lefts": pa.array([own_left[codes // len(own_right)]], _LONGS),
-                            "rights": pa.array([own_right[codes % len(own_right)]], _LONGS),
+                            "lefts": pa.array([own_left[codes // len(own_right)].astype(np.int64)], _LONGS),
+                            "rights": pa.array([own_right[codes % len(own_right)].astype(np.int64)], _LONGS),
                             "times": pa.array([total[kept]], _LONGS)})
         of_packs = pa.table({"lang": same(lang, pa.string(), n), "slot": same(slot, pa.int32(), n),
                              "pack": rows["pack"].take(pa.array(used)).combine_chunks(),
@@ -271,7 +298,7 @@ def phrases(df: DataFrame, least: int = 30, longest: int = 4, lang: str = "lang"
     (occurrences of its first and of its last 1, 2, ... words) and, from two words on, ``left`` and ``right`` (the ids
     of all words but the last, and but the first). A phrase stands within a piece between punctuation or line ends.
     """
-    packs = _written(packed_words(df, lang, text, pack_bytes))
+    packs, stored = _written(packed_words(df, lang, text, pack_bytes))
     listed = packs.select("pack", "lang", F.posexplode(F.arrays_zip("words", "times")).alias("place", "entry")).select(
         F.col("pack").alias("home"), "lang", "place", F.col("entry.words").alias("word"), F.col("entry.times").alias("n"))
     size = F.sum(F.aggregate("times", F.lit(0).cast("long"), lambda s, x: s + x))
@@ -285,9 +312,14 @@ def phrases(df: DataFrame, least: int = 30, longest: int = 4, lang: str = "lang"
     found = [level]
     values = listed.join(level.select("lang", "word", "id"), ["lang", "word"]).select(
         "home", F.array("place").alias("places"), F.array("id").alias("ids"))
+    done = [stored]
+    wide = (words or 0) // max(1, least) >= 1 << 31  # a frequent phrase has ``least`` of the words and more
     for _ in range(longest - 1):
-        packs = _written(_next_level(packs, values, buckets, parts))
-        merged = _merged(packs, least if parts == 1 else 1)
+        packs, stored = _written(_next_level(packs, values, buckets, parts, wide))
+        for folder in done:  # the levels so far are checkpoints: no one reads these any more
+            drop_folder(df.sparkSession, folder)
+        merged, told = _merged(packs, least if parts == 1 else 1)
+        done = [stored, told]
         own = merged.where("pack IS NULL").select("lang", F.inline(F.arrays_zip("lefts", "rights", "times")))
         counts = own.groupBy("lang", F.col("lefts").alias("left"), F.col("rights").alias("right")).agg(
             F.sum("times").alias("a")).where(F.col("a") >= least)
@@ -300,6 +332,8 @@ def phrases(df: DataFrame, least: int = 30, longest: int = 4, lang: str = "lang"
             F.concat("heads", F.array("a")).alias("heads"), F.concat("tails", F.array("a")).alias("tails")))
         found.append(level)
         values = _told(merged, level)
+    for folder in done:
+        drop_folder(df.sparkSession, folder)
     return found, totals.drop("packs")
 
 

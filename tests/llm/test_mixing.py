@@ -86,6 +86,10 @@ def test_slots_are_not_broadcast(spark, docs):
     assert drawn.count() > 50_000 and broadcast_rows(drawn) <= shards < 1000
 
 
+def test_mixed_documents_broadcast_no_slots(spark, docs):
+    assert broadcast_rows(mixing.mixed_documents(docs, block_words=1)) < 1000
+
+
 def test_shards_draw_multinomial_counts(spark, docs):
     quota = mixing.quotas(mixing.targets(mixing.sized(docs)), 1)
     of = {r["src"]: r["quota"] for r in quota.collect()}
